@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm import simhash
+from marlstone.llm import chat, sharding, simhash, urlfilter
 from marlstone.llm.common import table
 
 
@@ -17,9 +17,90 @@ def op1_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as a reply chain, formatted and read back; conversation -1 tests the escapes.
+
+    Rows go by turn (ties by role, then text); rows with a null conv_id form
+    one conversation.
+    """
+    extra = spark.sql("SELECT CAST(-1 AS BIGINT) AS conv_id, CAST(t AS BIGINT) AS turn, r AS role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0, 'user'), (1, 'assistant') AS v(t, r)")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    at = F.row_number().over(Window.partitionBy("tree").orderBy("turn", "role", "text"))
+    rows = rows.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("tree"), "turn", "role", "text")
+    messages = rows.select("tree", at.alias("id"), "role", "text").withColumns({"parent": F.when(F.col("id") > 1, F.col("id") - 1), "score": F.lit(0.0)})
+    shown = chat.format_trees(messages)
+    turns, loss = chat.turns_of(F.col("formatted")), chat.loss_text(F.col("formatted"), F.col("loss_spans"))
+    all_turns = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    read = shown.select("tree", F.size(turns).cast("long").alias("n_turns"), F.sha2(all_turns, 256).alias("turns_sha256"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    return read.select(F.expr("try_cast(tree AS BIGINT)").alias("conv_id"), "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
+OP4_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]', 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]', 'assistant', '</s>[INST] ok [/INST]'
+), d AS (
+  SELECT *, r = 'assistant' AS own,
+    length(t) + length(regexp_replace(t, '[^\\\[<]', '', 'g')) AS shown,
+    length(r) + length(regexp_replace(r, '[^\\\[<\n]', '', 'g')) AS shown_role
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (WHERE own), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, role, text) FILTER (WHERE own), '')) AS loss_sha256,
+  CAST(sum(shown + CASE WHEN own THEN 7 ELSE 14 + shown_role END) AS BIGINT) AS formatted_chars
+FROM d GROUP BY conv_id
+"""
+
+
+def op7_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of 40 and slot, by law key: rendezvous hashing of doc_id."""
+    docs = table(spark, sf_dir, "documents")
+    done = sharding.external_shuffle(docs, shards=40)
+    return done.select(
+        "doc_id", sharding.record_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("key").alias("law"), "shard", "slot", sharding.shard_of(F.col("doc_id"), 41, 20240607).alias("grown_shard"),
+    )
+
+
+#: (host, path, verdict) of the rules that pages are judged by.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op10_url_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url; allow where no rule fits."""
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES) + " AS r(host, path, verdict)")
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP10_SQL = r"""
+WITH p AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM pages
+), r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash_bktree": op1_simhash_bktree}
+    return {
+        "op1_simhash_bktree": op1_simhash_bktree,
+        "op4_chat_trees": op4_chat_trees,
+        "op7_two_pass_shuffle": op7_two_pass_shuffle,
+        "op10_url_expressions": op10_url_expressions,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_chat_trees": OP4_SQL, "op10_url_expressions": OP10_SQL}
