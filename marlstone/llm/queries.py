@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm import chat, sharding, simhash, urlfilter
+from marlstone.llm import chat, packing, sharding, simhash, urlfilter
 from marlstone.llm.common import table
 
 
@@ -55,6 +55,11 @@ FROM d GROUP BY conv_id
 """
 
 
+def op6_column_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of at most 2048 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op7_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 40 and slot, by law key: rendezvous hashing of doc_id."""
     docs = table(spark, sf_dir, "documents")
@@ -97,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_bktree": op1_simhash_bktree,
         "op4_chat_trees": op4_chat_trees,
+        "op6_column_generation": op6_column_generation,
         "op7_two_pass_shuffle": op7_two_pass_shuffle,
         "op10_url_expressions": op10_url_expressions,
     }
