@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm import chat, packing, sharding, simhash, urlfilter
+from marlstone.llm import chat, decontaminate, packing, sharding, simhash, urlfilter
 from marlstone.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op1_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best match of every benchmark item in every document, up to a fifth of the item's words edited."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as a reply chain, formatted and read back; conversation -1 tests the escapes.
 
@@ -101,6 +106,7 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_bktree": op1_simhash_bktree,
+        "op2_cgk_decontamination": op2_cgk_decontamination,
         "op4_chat_trees": op4_chat_trees,
         "op6_column_generation": op6_column_generation,
         "op7_two_pass_shuffle": op7_two_pass_shuffle,
