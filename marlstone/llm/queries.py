@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm import ann, chat, decontaminate, packing, sharding, simhash, urlfilter
+from marlstone.llm import ann, chat, decontaminate, packing, sharding, simhash, substrings, urlfilter
 from marlstone.llm.common import table
 
 
@@ -75,6 +75,11 @@ def op7_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_debruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document left when repeated windows of 35 words are removed."""
+    return substrings.repeated_windows_removed(table(spark, sf_dir, "documents"), window=35).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows found, by inner product, of every embedding whose vec_id is divisible by 20."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
@@ -115,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_chat_trees": op4_chat_trees,
         "op6_column_generation": op6_column_generation,
         "op7_two_pass_shuffle": op7_two_pass_shuffle,
+        "op8_debruijn_substrings": op8_debruijn_substrings,
         "op9_posting_lists": op9_posting_lists,
         "op10_url_expressions": op10_url_expressions,
     }
