@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm import ann, chat, decontaminate, packing, sharding, simhash, substrings, urlfilter
+from marlstone.llm import ann, chat, decontaminate, langid, packing, sharding, simhash, substrings, urlfilter
 from marlstone.llm.common import table
 
 
@@ -22,6 +22,13 @@ def op2_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; the model sees only text and lang of rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as a reply chain, formatted and read back; conversation -1 tests the escapes.
 
@@ -117,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_bktree": op1_simhash_bktree,
         "op2_cgk_decontamination": op2_cgk_decontamination,
+        "op3_crf_language_id": op3_crf_language_id,
         "op4_chat_trees": op4_chat_trees,
         "op6_column_generation": op6_column_generation,
         "op7_two_pass_shuffle": op7_two_pass_shuffle,
