@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 UNDETERMINED = "und"
 BITS = 17
@@ -275,5 +276,5 @@ def identify(docs: DataFrame, model: Model, chars_at_once: int = 1_000_000) -> D
             said += model.predict(part) if part else []
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64())], [*b.schema.names, "lang_pred", "score"])
 
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return docs.mapInArrow(run, schema)
