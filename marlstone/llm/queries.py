@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm import ann, chat, decontaminate, langid, packing, sharding, simhash, substrings, urlfilter
+from marlstone.llm import ann, chat, decontaminate, langid, packing, pii, sharding, simhash, substrings, urlfilter
 from marlstone.llm.common import table
 
 
@@ -67,6 +67,16 @@ FROM d GROUP BY conv_id
 """
 
 
+def op5_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the base spans, and all spans, of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op6_column_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in sequences of at most 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
@@ -126,6 +136,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_cgk_decontamination": op2_cgk_decontamination,
         "op3_crf_language_id": op3_crf_language_id,
         "op4_chat_trees": op4_chat_trees,
+        "op5_skip_chain_pii": op5_skip_chain_pii,
         "op6_column_generation": op6_column_generation,
         "op7_two_pass_shuffle": op7_two_pass_shuffle,
         "op8_debruijn_substrings": op8_debruijn_substrings,
