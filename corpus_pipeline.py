@@ -5,16 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from marlstone.llm import decontaminate, langid, packing, pii, simhash
 from marlstone.llm.common import saved, table
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: A document is rejected where no language has this share of its words; code-switched text of two or three languages stays.
+LEAST_SHARE = 0.35
 
-#: Models and iterative graph steps decide here, which SQL cannot express; the tests compare with brute force.
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the CRF can tell: those without a letter, or without a leading language, go."""
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    said = langid.identify(docs, model)
+    return said.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies: five-word shingles, similarity 0.8 or more."""
+    return simhash.deduplicated(docs, words=5, similarity=0.8)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, edits in up to a fifth of its words included."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data replaced by its kind; n_chars follows the text."""
+    done = pii.redact(docs, pii.fit(docs.select("doc_id", "text")))
+    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of the documents in training sequences of at most 2048 ids."""
+    return packing.pack(docs, capacity=2048)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("sequences", sequences),
+]
+
+#: Fitted models and iterative graph steps decide here, which SQL cannot express; the tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over all documents of sf_dir."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -92,27 +92,32 @@ def shards(prints: DataFrame, radius: int, shard_rows: int = SHARD_ROWS) -> Data
         done.append(now.join(hot, "key", "left_anti").select("item", "fp", "key"))
         now = now.join(hot, "key", "left_semi")
         bits -= cut + bits % (radius + 1)  # the last band may be wider: later levels only use bits all have open
-    count = now.groupBy("key").count()
-    big = count.where(F.col("count") > shard_rows).select("key", F.ceil(F.col("count") / shard_rows).cast("int").alias("n"))
-    if big.isEmpty():
-        done.append(now.select("item", "fp", "key"))
-    else:
-        big = saved(big)
-        done.append(now.join(big, "key", "left_anti").select("item", "fp", "key"))
-        mine = F.pmod(F.xxhash64("item"), F.col("n")).cast("int")
-        cut = now.join(big, "key").select("item", "fp", "key", mine.alias("x"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("y"))
-        done.append(cut.select("item", "fp", F.xxhash64("key", F.least("x", "y"), F.greatest("x", "y")).alias("key")))
-    out = done[0]
-    for part in done[1:]:
+    out = _blocked(now.select("item", "fp", "key"), shard_rows)
+    for part in done:
         out = out.union(part)
     return out
 
 
-def links(sharded: DataFrame, radius: int, parts: int) -> DataFrame:
+def _blocked(rows: DataFrame, shard_rows: int) -> DataFrame:
+    """rows (item, ..., key) with every key of over shard_rows rows cut into blocks, each pair of which becomes a key of its own."""
+    big = rows.groupBy("key").count().where(F.col("count") > shard_rows).select("key", F.ceil(F.col("count") / shard_rows).cast("int").alias("n"))
+    if big.isEmpty():
+        return rows
+    big = saved(big)
+    others = [c for c in rows.columns if c != "key"]
+    mine = F.pmod(F.xxhash64("item"), F.col("n")).cast("int")
+    cut = rows.join(big, "key").select(*others, "key", mine.alias("x"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("y"))
+    cut = cut.select(*others, F.xxhash64("key", F.least("x", "y"), F.greatest("x", "y")).alias("key"))
+    return rows.join(big, "key", "left_anti").select(*others, "key").union(cut)
+
+
+def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None) -> DataFrame:
     """(u, v): for each item with a neighbour in its shard, the smallest item that the shard's links connect it to.
 
     parts: tasks to deal the shards out to; each holds its rows as arrays.
+    second: most differing bits of a further fingerprint, fp2, for a link.
     """
+    columns = ["key", "item", "fp", *(["fp2"] if second is not None else [])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [b for b in batches if len(b)]
@@ -124,11 +129,15 @@ def links(sharded: DataFrame, radius: int, parts: int) -> DataFrame:
             return
         item, fp = df["item"].to_numpy(), df["fp"].to_numpy().view(np.uint64)
         forest = Forest(df["key"].to_numpy(), fp)
-        least = least_labels(len(item), forest.within(radius), item)
+        pairs = forest.within(radius)
+        if second is not None:
+            other = df["fp2"].to_numpy().view(np.uint64)
+            pairs = ((i[near], j[near]) for i, j in pairs if (near := np.bitwise_count(other[i] ^ other[j]) <= second).any())
+        least = least_labels(len(item), pairs, item)
         far = least != item
         yield pd.DataFrame({"u": item[far], "v": least[far]}).drop_duplicates()
 
-    return sharded.repartition(parts, "key").select("key", "item", "fp").mapInPandas(run, "u long, v long")
+    return sharded.repartition(parts, "key").select(*columns).mapInPandas(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, seed: int = 42, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -146,3 +155,79 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, seed: int
     found = components(links(shards(reps.where("item is not null"), radius, shard_rows), radius, parts))
     named = reps.join(found.withColumnRenamed("node", "item"), "item", "left").select("fp", F.coalesce("component", "item").alias("component_id"))
     return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def _sketches(words: int, prints: int):
+    salts = [np.uint64(x * 0x9E3779B97F4A7C15 % 2**64) for x in range(1, prints + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for text in b.column(1).to_pylist():
+                h = np.unique(shingle_hashes(text, words))
+                rows.append([np.array(majority(_salted(h, s)), np.uint64).view(np.int64).item() for s in salts])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int64()))], ["item", "prints"])
+
+    return run
+
+
+def _salted(h: np.ndarray, salt: np.uint64) -> np.ndarray:
+    x = (h ^ salt) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(29))
+
+
+def _jaccard(words: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            near = []
+            for a, c in zip(b["text"], b["lead_text"], strict=True):
+                x, y = np.unique(shingle_hashes(a, words)), np.unique(shingle_hashes(c, words))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0)
+            yield pd.DataFrame({"item": b["item"], "near": near})
+
+    return run
+
+
+def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, prints: int = 8, radius: int = 14, second: int = 20, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """docs without exact and near copies: of each group the row with the smallest doc_id stays, all columns kept.
+
+    Copies of a text go first, by digest. Each text left has ``prints`` SimHash
+    fingerprints of its distinct shingles; texts that agree on a 16-bit band of
+    one, differ in at most radius bits of it (found by the band's BK-tree) and
+    in at most second bits of the next are candidates. In every component of
+    candidates the smallest document is compared with the others by the exact
+    Jaccard similarity of their shingles; those at similarity or more go, and the
+    rest are compared with the next smallest, until none is left. So each row
+    dropped has a kept one that is similar to it, and a clean row stays.
+
+    At similarity 0.8 a pair is a candidate with a chance of about 0.9, at 0.9 of over 0.99.
+    Null texts count as copies of each other, null doc_ids come last, repeated rows
+    are copies, and an empty table gives an empty result.
+    """
+    columns = docs.columns
+    row = F.struct(*[docs[c] for c in columns])
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
+    unique = docs.groupBy(F.md5("text").alias("digest_")).agg(F.min_by(row, order).alias("r"))
+    unique = saved(unique.select("r", F.xxhash64("r.doc_id", "digest_").alias("item")))
+    sketched = saved(unique.select("item", "r.text").mapInArrow(_sketches(words, prints), "item long, prints array<long>"))
+    bands = [F.struct(F.xxhash64(F.lit(p), F.lit(b), F.shiftrightunsigned(F.col("prints")[p], 16 * b).bitwiseAND(F.lit(0xFFFF))).alias("key"), F.col("prints")[p].alias("fp"), F.col("prints")[(p + 1) % prints].alias("fp2")) for p in range(prints) for b in range(4)]
+    banded = saved(sketched.select("item", F.explode(F.array(*bands)).alias("b")).select("item", "b.fp", "b.fp2", "b.key"))
+    parts = max(spread(docs), sketched.count() * 4 * prints // TASK_ROWS)
+    found = components(links(_blocked(banded, shard_rows), radius, parts, second))
+    members = saved(found.withColumnRenamed("node", "item").join(unique, "item").select("item", "component", "r.doc_id", "r.text"))
+    rest, gone = members.select("item", "component", "doc_id"), None
+    while True:
+        first = rest.groupBy("component").agg(F.count("*").alias("n"), F.min_by("item", F.struct(F.col("doc_id").isNull(), "doc_id", "item")).alias("lead")).where("n > 1").select("component", "lead")
+        pairs = saved(rest.join(first, "component").where("item <> lead").select("item", "component", "doc_id", "lead"))
+        if pairs.isEmpty():
+            break
+        texts = members.select("item", "text")
+        shown = pairs.select("item", "lead").join(texts, "item").join(texts.select(F.col("item").alias("lead"), F.col("text").alias("lead_text")), "lead").select("item", "text", "lead_text")
+        near = saved(shown.mapInPandas(_jaccard(words), "item long, near double")).where(F.col("near") >= similarity).select("item")
+        gone = near if gone is None else gone.union(near)
+        rest = pairs.join(near, "item", "left_anti").select("item", "component", "doc_id")
+    if gone is not None:
+        unique = unique.join(gone, "item", "left_anti")
+    return unique.select(*[F.col(f"r.{c}").alias(c) for c in columns])
