@@ -73,7 +73,8 @@ def op5_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(docs, pii.fit(docs))
     kinds = F.array(*[F.lit(k) for k in pii.KINDS])
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    of_kind = lambda k: F.filter("base", lambda s: s["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
