@@ -122,7 +122,7 @@ def agenda_fragments(body: Column) -> Column:
     """HTML of a page, or of the string literals of a script that inserts it."""
     literals = F.regexp_extract_all(body, F.lit(r'"((?:[^"\\]|\\.)*<tr(?:[^"\\]|\\.)*)"'), F.lit(1))
     decoded = F.array_join(F.transform(literals, lambda x: F.get_json_object(F.concat(F.lit('{"x":"'), x, F.lit('"}')), "$.x")), "")
-    return F.when(F.size(literals) > 0, decoded).otherwise(body)
+    return F.when(~F.ltrim(body).startswith("<") & (F.size(literals) > 0), decoded).otherwise(body)
 
 
 def read_agenda(payloads: DataFrame, today: dt.date, horizon_days: int = 120, zone: str = "America/Los_Angeles") -> DataFrame:
