@@ -277,7 +277,8 @@ def find(docs: DataFrame, field: Field, chars_at_once: int = 2_000_000) -> DataF
 
 def redact(docs: DataFrame, field: Field) -> DataFrame:
     """docs with every span in text replaced by its kind in brackets; a null text stays null. Overlapping spans become one, named after the first."""
-    found = find(docs, field)
+    held = {c: unique_name(docs, f"own_{c}") for c in docs.columns if c.lower() in ("base", "spans")}
+    found = find(docs.withColumnsRenamed(held), field)
     name = unique_name(found, "redacted")
     at, spans_at = found.columns.index("text"), found.columns.index("spans")
 
@@ -299,4 +300,4 @@ def redact(docs: DataFrame, field: Field) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], [*b.schema.names, name])
 
     done = found.mapInArrow(run, StructType([*found.schema.fields, StructField(name, StringType())]))
-    return done.select(*[F.col(name).alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return done.select(*[F.col(name).alias("text") if c == "text" else F.col(held.get(c, c)).alias(c) for c in docs.columns])

@@ -1,0 +1,391 @@
+"""The training-data operators against brute force on small tables, with nulls, empties, ties, repeats and clashing columns."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from marlstone.llm import ann, bktree, chat, components, decontaminate, langid, packing, pii, sharding, simhash, substrings, urlfilter
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string"
+
+
+def prose(seed, n, vocab=400):
+    rng = np.random.default_rng(seed)
+    return " ".join(f"w{i}" for i in rng.integers(0, vocab, n))
+
+
+def frame(spark, rows, schema=DOCS):
+    return spark.createDataFrame(rows, schema)
+
+
+def brute_fingerprint(text, n=3):
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    shingles = [" ".join(words[i : i + n]) for i in range(len(words) - n + 1)] if len(words) >= n else ([" ".join(words)] if words else [])
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@pytest.fixture(scope="module")
+def copies(spark):
+    base = prose(1, 300)
+    near = [base.replace(f"w{k}", "x", 1) for k in range(12)]
+    rows = [(1, base), (2, base), (2, base), (3, None), (4, ""), (5, " \t\n"), (6, "One two"), (7, prose(2, 90)), (8, "ÉA Bb é"), (None, prose(3, 50)), *[(20 + i, t) for i, t in enumerate(near)], (60, prose(4, 30_000))]
+    return rows
+
+
+def test_simhash(spark, copies):
+    docs = frame(spark, copies).withColumns({"fp": F.lit("clash"), "component_id": F.lit(0), "key": F.lit(1)})
+    got = {(r.doc_id, r.fp): r.component_id for r in simhash.near_duplicates(docs, shard_rows=3).collect()}
+    fps = [(d, brute_fingerprint(t)) for d, t in copies]
+    label = {i: d for i, (d, _) in enumerate(fps)}
+    big = 1 << 60
+    changed = True
+    while changed:
+        changed = False
+        for i, (_, a) in enumerate(fps):
+            for j, (_, b) in enumerate(fps):
+                if (a ^ b).bit_count() <= 3 and (label[j] if label[j] is not None else big) < (label[i] if label[i] is not None else big):
+                    label[i], changed = label[j], True
+    want = {(d, f - (1 << 64) if f >> 63 else f): label[i] for i, (d, f) in enumerate(fps)}
+    assert got == want
+    assert simhash.near_duplicates(frame(spark, [])).count() == 0
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=60), st.integers(0, 6))
+def test_trees(prints, radius):
+    prints += [p ^ (1 << (p % 64)) for p in prints[:20]]
+    fp, shard = np.array(prints, np.uint64), np.arange(len(prints)) % 3
+    found = {(int(i), int(j)) for u, v in bktree.Forest(shard, fp).within(radius, budget=50) for i, j in zip(u, v, strict=True)}
+    want = {(i, j) for i in range(len(prints)) for j in range(len(prints)) if i != j and i % 3 == j % 3 and (prints[i] ^ prints[j]).bit_count() <= radius}
+    assert found == want
+
+
+def test_components(spark):
+    rng = np.random.default_rng(0)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 80, (50, 2))] + [(i, i + 1) for i in range(100, 140)] + [(7, 7), (None, 3)]
+    got = {r.node: r.component for r in components.components(frame(spark, edges, "u long, v long")).collect()}
+    label = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
+    for _ in range(200):
+        for a, b in edges:
+            if a in label and b in label:
+                label[a] = label[b] = min(label[a], label[b])
+    assert got == label
+    assert components.components(frame(spark, [], "u long, v long")).count() == 0
+
+
+def test_deduplicated(spark, copies):
+    docs = frame(spark, [(*r, "kept") for r in copies], DOCS + ", digest_ string").withColumn("item", F.lit(5))
+    kept = simhash.deduplicated(docs, shard_rows=4).collect()
+    ids = sorted((r.doc_id for r in kept if r.doc_id is not None))
+    assert ids == [1, 3, 4, 6, 7, 8, 60] or ids == [1, 3, 6, 7, 8, 60]  # empty texts of different white space are alike
+    assert set(kept[0].asDict()) == {"doc_id", "text", "digest_", "item"} and sum(r.doc_id is None for r in kept) == 1
+    far = frame(spark, [(i, prose(50 + i, 120)) for i in range(20)])
+    assert simhash.deduplicated(far).count() == 20 and simhash.deduplicated(frame(spark, [])).count() == 0
+
+
+def brute_infix(item, text):
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        last, row = row, [i]
+        for j, b in enumerate(text, 1):
+            row.append(min(last[j - 1] + (a != b), last[j] + 1, row[j - 1] + 1))
+    return min(row)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=9), st.lists(st.integers(0, 3), max_size=14))
+def test_edit_distance(item, text):
+    assert decontaminate.infix_distance(item, text, 9)[0] == brute_infix(item, text)
+
+
+def test_decontamination(spark):
+    items = [(i, prose(100 + i, 15 + 5 * i, 3000)) for i in range(8)] + [(90, None), (91, ""), (92, "w1 w2")]
+    rng = np.random.default_rng(5)
+    rows, want = [(900, None), (901, ""), (902, prose(9, 400, 3000))], set()
+    for n in range(60):
+        item, text = items[n % 8]
+        words = text.split()
+        for _ in range(n % 3):
+            words[int(rng.integers(len(words)))] = "edited"
+        rows.append((n, f"{prose(300 + n, 40, 5000)} {' '.join(words).title()}, {prose(600 + n, 40, 5000)}"))
+        want.add((n, item))
+    rows.append((0, rows[3][1]))
+    found = decontaminate.find_leaks(frame(spark, rows).withColumn("item_id", F.lit(1)), frame(spark, items, "item_id long, text string").withColumn("doc_id", F.lit(2)), items_at_once=5)
+    got = [(r.doc_id, r.item_id, r.distance) for r in found.collect()]
+    strong = {(d, i) for d, i, _ in got if i < 90}
+    assert len(want - strong) <= 1 and strong <= want
+    assert all(dist <= 2 for _, i, dist in got if i < 90) and sum(d == 0 and i == 0 for d, i, _ in got) == 2
+    left = {r.doc_id for r in decontaminate.clean(frame(spark, rows), frame(spark, items[:8], "item_id long, text string")).collect()}
+    assert {900, 901, 902} <= left and len(left) <= 4
+    assert decontaminate.find_leaks(frame(spark, []), frame(spark, items, "item_id long, text string")).count() == 0
+    assert decontaminate.find_leaks(frame(spark, rows), frame(spark, [], "item_id long, text string")).count() == 0
+
+
+def language_text(lang, seed, n=60):
+    parts = {"xx": ["ka", "to", "mi", "ren"], "yy": ["sch", "ein", "ung", "ber"], "zz": ["eau", "oux", "ille", "tre"]}[lang]
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(parts[i] for i in rng.integers(0, 4, rng.integers(1, 4))) for _ in range(n))
+
+
+def test_language(spark):
+    rows = [(i, language_text("xyz"[i % 3] * 2, i), "xyz"[i % 3] * 2) for i in range(240)]
+    rows += [(1000, None, "xx"), (1001, "123 !?", None), (1002, "", "yy"), (None, language_text("xx", 7), "xx"), (1003, language_text("yy", 5, 9000), None), (5, language_text("xx", 1), None)]
+    docs = frame(spark, rows, DOCS + ", lang string").withColumns({"score": F.lit("clash"), "held_out": F.lit(1)})
+    model = langid.fit(docs)
+    got = langid.identify(docs, model).collect()
+    assert len(got) == len(rows)
+    plain = [r for r in got if r.doc_id is not None and r.doc_id < 1000 and r.lang]
+    assert all(r.lang_pred == r.lang and 0 < r.score <= 1 for r in plain)
+    assert {r.doc_id: r.lang_pred for r in got if r.doc_id is not None and r.doc_id >= 1000} == {1000: "und", 1001: "und", 1002: "und", 1003: "yy"}
+    mixed = model.predict([f"{language_text('xx', 900, 30)} {language_text('yy', 901, 10)}"])[0]
+    assert mixed[0] == "xx" and 0.6 < mixed[1] < 0.9
+    assert langid.fit(docs.where("lang is null")).predict(["abc"]) == [("und", 0.0)]
+    held = {r.doc_id: r.h for r in docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("h")).collect()}
+    assert all(h == (d is not None and zlib.crc32(str(d).encode()) % 5 == 0) for d, h in held.items())
+
+
+def test_forward_backward():
+    rng = np.random.default_rng(0)
+    lengths = np.array([5, 0, 130, 64, 65, 1])
+    emit, moves = rng.normal(size=(lengths.sum(), 3)), rng.normal(size=(3, 3))
+    got, at = langid.posteriors(emit, lengths, moves), 0
+    for n in lengths:
+        e, a = np.exp(emit[at : at + n]), np.exp(moves)
+        forward, back = [], np.ones(3)
+        for t in range(n):
+            forward.append((forward[-1] @ a if t else np.ones(3)) * e[t])
+            forward[-1] /= forward[-1].sum()
+        for t in range(n - 1, -1, -1):
+            p = forward[t] * back
+            assert np.allclose(p / p.sum(), got[at + t], atol=1e-6)
+            back = a @ (e[t] * back)
+            back /= back.sum()
+        at += n
+
+
+TEXTS = st.text(alphabet="\\[]</s>INST ol\ngen‹é", max_size=20)
+
+
+def test_chat_round_trip(spark):
+    rows = [("t", 1, None, 0.0, "user", "a </s>[INST] ok [/INST]\\l \\"), ("t", 2, 1, 1.0, "assistant", "b\\g<s>"), ("t", 3, 2, 0.5, "us\ner[", "x"), ("t", 4, 1, 5.0, "assistant", None), ("t", 4, 1, 5.0, "assistant", None), ("u", 1, 9, None, None, ""), ("v", 1, 2, 0.0, "user", "cycle"), ("v", 2, 1, 0.0, "user", "cycle"), (None, 1, None, 0.0, "user", "x"), *[("long", i, i - 1 if i else None, 0.1, "assistant" if i % 2 else "user", f"m{i}") for i in range(300)]]
+    trees = frame(spark, rows, "tree string, id long, parent long, score double, role string, text string").withColumn("formatted", F.lit(1))
+    shown = chat.format_trees(trees).withColumns({"turns": chat.turns_of(F.col("formatted")), "loss": chat.loss_text(F.col("formatted"), F.col("loss_spans"))}).collect()
+    got = {(r.tree, r.leaf): ([tuple(t) for t in r.turns], r.loss, r.rank) for r in shown}
+    assert set(got) == {("t", 3), ("t", 4), ("u", 1), ("long", 299)}
+    a = ("user", "a </s>[INST] ok [/INST]\\l \\")
+    assert got["t", 3] == ([a, ("assistant", "b\\g<s>"), ("us\ner[", "x")], "b\\g<s>", 2) and got["t", 4] == ([a, ("assistant", "")], "", 1)
+    assert got["u", 1] == ([("", "")], "", 1) and [t[1] for t in got["long", 299][0]] == [f"m{i}" for i in range(300)]
+    assert [r.leaf for r in chat.format_trees(trees, top=1).where("tree = 't'").collect()] == [4]
+    assert chat.format_trees(trees.limit(0)).count() == 0
+    texts = ["", "\\", "<s>[INST]", "\\e\\l\\g", "a\\n</s>", "[/INST]\n"]
+    back = frame(spark, [(i, t) for i, t in enumerate(texts)]).select("doc_id", chat.unescaped(chat.escaped(F.col("text"))).alias("t")).sort("doc_id").collect()
+    assert [r.t for r in back] == texts
+
+
+def brute_pii(text):
+    spans = []
+    for k, kind in enumerate(pii.KINDS):
+        for m in re.finditer({"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}[kind], text):
+            digits = re.sub("[^0-9]", "", m[0])
+            total = sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits)))
+            if kind == "email" or (kind == "ip" and all(int(p) <= 255 for p in m[0].split("."))) or (kind == "card" and 13 <= len(digits) <= 19 and total % 10 == 0) or (kind == "phone" and 9 <= len(digits) <= 15):
+                spans.append((k, *m.span()))
+    return spans
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab@.+-() 0123456789%_é", max_size=60))
+def test_patterns(text):
+    assert pii.patterns(text)[0] == brute_pii(text)
+
+
+def test_personal_data(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, f"Call +1 (269) 555-{1000 + i} or mail user{i}@mail.example.com today, host 10.0.{i % 200}.7 of {i} units") for i in range(300)]
+    rows += [(900, None), (901, ""), (902, "plain words only"), (903, "card 4111 1111 1111 1111 and 4111 1111 1111 1112"), (904, "x " * 20000 + "a@b.co"), (905, "+1 (269) 555-7777 again 269 555-7777 said, 555-7777"), (905, "ïé a@b.co")]
+    docs = frame(spark, rows).withColumns({"spans": F.lit(1), "base": F.lit("x"), "redacted": F.lit(2)})
+    field = pii.fit(docs)
+    got = pii.find(docs, field).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert [tuple(s) for s in r.base] == brute_pii(r.text or "") and {tuple(s) for s in r.base} <= {tuple(s) for s in r.spans}
+    assert not next(r for r in got if r.doc_id == 902).spans
+    clean = {r.doc_id: r.text for r in pii.redact(docs, field).collect()}
+    assert clean[900] is None and clean[903].startswith("card [CARD] and 4111") and clean[3].startswith("Call [PHONE] or mail [EMAIL] today, host [IP] of 3 units") and set(pii.redact(docs, field).columns) == set(docs.columns)
+    assert pii.find(docs.limit(0), pii.fit(docs.limit(0))).count() == 0
+    _ = rng
+
+
+def test_skip_links_spread_labels():
+    texts = [f"id {1000000 + i} ref +1 269 555 {1000 + i}" for i in range(5)]
+    g = pii.build(["a 5551234567 b 5551234567 c 5551234567"], [([], [])])
+    assert g.skip and not g.chain and texts
+    field = pii.Field.empty()
+    field.table[g.rows[0][4]] = 0
+    u = field.unary(g)
+    assert u.shape == (3, pii.K)
+    field.table[g.rows[1][0], 4] += 1.0
+    p = field.marginals(g)
+    alone = np.exp([0, 0, 0, 0, 1.0]) / np.exp([0, 0, 0, 0, 1.0]).sum()
+    assert (p[:, 4] > alone[4]).all()
+
+
+def exact_marginals(u, edges):
+    import itertools
+
+    k, n = u.shape[1], len(u)
+    p = np.zeros_like(u)
+    for y in itertools.product(range(k), repeat=n):
+        w = np.exp(sum(u[i, y[i]] for i in range(n)) + sum(m[y[a], y[b]] for a, b, m in edges))
+        for i in range(n):
+            p[i, y[i]] += w
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def test_belief_propagation_is_exact_on_trees():
+    rng = np.random.default_rng(3)
+    field = pii.Field(rng.normal(size=(pii.ROWS, pii.K)), rng.normal(size=(pii.K, pii.K)), rng.normal(size=(pii.K, pii.K)))
+    field.skip = field.skip + field.skip.T
+    g = pii.Graph([0] * 4, [0] * 4, [1] * 4, [0] * 4, [[1], [2], [3], [4]], [(0, 1), (1, 2)], [(1, 3)])
+    want = exact_marginals(field.unary(g), [(0, 1, field.chain), (1, 2, field.chain), (1, 3, field.skip)])
+    assert np.allclose(field.marginals(g, rounds=40), want, atol=1e-4)
+
+
+def test_packing(spark):
+    from tokenizers import Tokenizer
+
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    full = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(i, prose(i, 10 + 37 * i)) for i in range(40)] + [(100, None), (101, ""), (102, "a<|endoftext|>b  \n c"), (103, "é漢字\u00a0x" * 900), (5, prose(5, 195))]
+    got = packing.pack(frame(spark, rows).withColumns({"cls": F.lit("clash"), "offset": F.lit(1)}), capacity=512).toPandas()
+    assert (got.groupby("sequence_id").length.sum() <= 512).all()
+    in_order = got.sort_values(["sequence_id", "offset"])
+    assert (in_order.groupby("sequence_id").length.cumsum() - in_order.length == in_order.offset).all()
+    want = []
+    for d, t in rows:
+        ids = np.array(full.encode(t or "", add_special_tokens=False).ids + [1], "<u4")
+        mine = got[got.doc_id == d]
+        want += [(d, a, min(512, len(ids) - a), zlib.crc32(ids[a : a + 512].tobytes()), len(ids)) for a in range(0, len(ids), 512)]
+        assert len(mine)
+    assert sorted(want) == sorted(map(tuple, got[["doc_id", "start", "length", "ids_crc32", "doc_tokens"]].to_numpy().tolist()))
+    assert got.length.sum() / (got.sequence_id.nunique() * 512) > 0.9
+    assert packing.pack(frame(spark, [])).count() == 0
+
+
+def test_column_generation():
+    rng = np.random.default_rng(2)
+    for _ in range(5):
+        histogram = {int(s): int(rng.integers(1, 60)) for s in rng.integers(1, 65, 12)}
+        plans = packing.plan(histogram, 64)
+        held = Counter()
+        for pattern, times in plans:
+            assert sum(s * a for s, a in pattern.items()) <= 64
+            held.update({s: a * times for s, a in pattern.items()})
+        assert all(held[s] >= n for s, n in histogram.items())
+        bins, least = sum(t for _, t in plans), sum(s * n for s, n in histogram.items()) / 64
+        big = sum(n for s, n in histogram.items() if s > 32)
+        assert bins <= max(least, big) * 1.15 + 6
+    value, taken = packing.best_pattern(np.array([1.0, 1.6]), np.array([3, 5]), 11)
+    assert value == pytest.approx(3.6) and taken.tolist() == [2, 1]
+    assert packing.plan({}, 64) == []
+
+
+def test_sharding(spark):
+    rows = [(i, prose(i, i % 50)) for i in range(800)] + [(None, None), (None, "x"), (5, ""), (5, ""), (6, prose(1, 5000))]
+    docs = frame(spark, rows).withColumns({"shard": F.lit("clash"), "rec": F.lit(1), "bucket": F.lit(2)})
+    got = sharding.external_shuffle(docs, shards=7, bucket_bytes=2000)
+    pdf = got.toPandas()
+    assert len(pdf) == len(rows) and set(pdf.columns) == {"doc_id", "text", "rec", "bucket", "shard", "slot"}
+    for _, part in pdf.groupby("shard"):
+        assert sorted(part.slot) == list(range(len(part)))
+    assert Counter(pdf.text.fillna("∅")) == Counter("∅" if t is None else t for _, t in rows)
+    assert pdf.groupby("shard").size().min() > 60
+    order = pdf[pdf.shard == 0].sort_values("slot").doc_id.dropna().tolist()
+    assert order != sorted(order)
+    both = frame(spark, rows).select("doc_id", sharding.shard_of(F.col("doc_id"), 7, 3).alias("a"), sharding.shard_of(F.col("doc_id"), 8, 3).alias("b")).collect()
+    assert all(r.a == r.b or r.b == 7 for r in both) and any(r.b == 7 for r in both)
+    assert sharding.external_shuffle(frame(spark, []), 4).count() == 0
+
+
+def brute_windows(rows, size):
+    words = [WORD.findall(t or "") for _, t in rows]
+    seen = Counter(tuple(w[i : i + size]) for w in words for i in range(len(w) - size + 1))
+    out = []
+    for (d, _), w in zip(rows, words, strict=True):
+        gone = [False] * len(w)
+        for i in range(len(w) - size + 1):
+            if seen[tuple(w[i : i + size])] > 1:
+                gone[i : i + size] = [True] * size
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((d, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_substrings(spark):
+    passage, other = prose(1, 60), prose(2, 40)
+    rows = [(i, f"{prose(100 + i, 30 + i)} {passage} {prose(200 + i, 25)}") for i in range(6)]
+    rows += [(10, passage), (11, f"{passage} {passage}"), (12, other + "\u00a0x"), (13, f"a\x0bb {other}\n{prose(7, 9)}"), (14, "ha " * 200), (15, "ab cd " * 80 + prose(8, 30)), (16, None), (17, ""), (18, "short copy"), (19, "short copy"), (20, prose(9, 300)), (21, prose(9, 300)), (21, prose(9, 300)), (None, prose(9, 300)), (22, f"{other.split(' ', 3)[3]} tail {other}"), (23, prose(10, 20_000)), (24, " ".join(passage.split()[10:50]))]
+    rows += [(30 + i, " ".join(prose(11, 200).split()[i * 7 : 120 + i * 5])) for i in range(10)]
+    docs = frame(spark, rows).withColumns({"rid": F.lit(1), "marks": F.lit("x")})
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.repeated_windows_removed(docs).collect()]
+    assert sorted(got, key=str) == brute_windows(rows, 35)
+    assert substrings.repeated_windows_removed(frame(spark, [])).count() == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=40), min_size=1, max_size=6))
+def test_substrings_on_few_words(spark, texts):
+    rows = [(i, " ".join("abc"[x] for x in t)) for i, t in enumerate(texts)]
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.repeated_windows_removed(frame(spark, rows), window=9, k=3).collect()]
+    assert sorted(got, key=str) == brute_windows(rows, 9)
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 12)) + 4 * rng.integers(0, 5, (1500, 1))
+    x[200:420] = x[200]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000, None), (2001, [0.0] * 12), (2002, [float("nan")] * 12), (2003, [1.0] * 3), (2004, [None] * 12), (None, [1.0] * 12), (7, x[7].tolist())]
+    vectors = frame(spark, rows, "vec_id long, embedding array<double>").withColumns({"list": F.lit("clash"), "score": F.lit(1)})
+    got = ann.search(vectors, F.col("vec_id") % 20 == 0, k=20, list_rows=150).toPandas()
+    hits = total = 0
+    for q in range(0, 1500, 20):
+        s = x @ x[q]
+        order = [int(i) for i in np.lexsort((np.arange(1500), -s)) if i != q][:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert mine["rank"].tolist() == list(range(1, 21))
+        assert np.allclose(mine.score, s[mine.vec_id], rtol=1e-12)
+        assert mine.sort_values(["score", "vec_id"], ascending=[False, True]).vec_id.tolist() == mine.vec_id.tolist()
+        hits += len({round(v, 9) for v in s[order]} & {round(v, 9) for v in mine.score})
+        total += len({round(v, 9) for v in s[order]})
+    assert hits / total > 0.95
+    few = ann.search(frame(spark, rows[:5], "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=20)
+    assert sorted(r.vec_id for r in few.collect()) == [1, 2, 3, 4]
+    assert ann.search(vectors.limit(0), F.lit(True)).count() == 0
+
+
+URLS = ["https://a.example.net/en/1", "http://EXAMPLE.net/en", "http://example.net/en/", "x://b.example.com/de/2?q", "http://example.com/de", "http://q.org/fr/9#t", "http://org/fr/", "http://forg/fr/", "http://a.net", "http://a.net/", "http://a.net?x", "nourl", None, "", "http://example.net.evil.io/en/", "a://b://c.net/z", "http://example.com:80/de/", "http://É.net/É"]
+
+
+def test_urls(spark):
+    rules = frame(spark, [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"), (None, "/", "block")], "host string, path string, verdict string")
+    pages = frame(spark, [(i, u) for i, u in enumerate(URLS)] + [(0, URLS[0])], "page_id long, url string").withColumns({"rule": F.lit("clash"), "judged": F.lit(1), "u": F.lit(2)})
+    got = urlfilter.judge_urls(pages, rules).collect()
+    assert len(got) == len(URLS) + 1
+    for r in got:
+        u = r.url or ""
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u)
+        host, path = ("".join(c.lower() if "A" <= c <= "Z" else c for c in m[1]), m[2]) if m else ("", "")
+        fits = [(h + p, v) for h, p, v in (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")) if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rule, verdict = max(fits, key=lambda f: len(f[0]), default=(None, "allow"))
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict)
+    assert urlfilter.judge_urls(pages.limit(0), rules).count() == 0 and urlfilter.judge_urls(pages, rules.limit(0)).where("rule is not null").count() == 0
