@@ -289,8 +289,8 @@ WHERE n <= 14 AND run_id <> (SELECT max(event_id) FROM events) GROUP BY source_k
 @query(PREVIOUS)
 def previous_count(spark, sf_dir):
     h = _history(spark, sf_dir)
-    top = h.agg(F.max("run_id").alias("tonight"))
-    return state.previous_count(h.join(F.broadcast(top), F.lit(True)), F.col("tonight"))
+    tonight = h.agg(F.max("run_id")).first()[0]
+    return state.previous_count(h, F.lit(tonight))
 
 
 @query(f"SELECT source_key, min(run_id) AS first_nonzero_run, max(run_id) AS last_nonzero_run, max(event_count) AS max_count, count(*) AS nonzero_runs FROM {HISTORY} WHERE event_count > 0 GROUP BY source_key")
