@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -12,5 +14,9 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        spark.sparkContext.setCheckpointDir(named or f"file://{tempfile.mkdtemp(prefix='marlstone-')}")
+        if not named:
+            own = tempfile.mkdtemp(prefix="marlstone-")
+            atexit.register(shutil.rmtree, own, True)
+            named = f"file://{own}"
+        spark.sparkContext.setCheckpointDir(named)
     return df.checkpoint(eager=True)
