@@ -8,37 +8,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import decontaminate, langid, packing, pii, simhash
-from marlstone.llm.common import saved, table
+from marlstone.llm.common import saved, table, unique_name
 
 #: A document is rejected where no language has this share of its words; code-switched text of two or three languages stays.
 LEAST_SHARE = 0.35
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the CRF can tell: those without a letter, or without a leading language, go."""
+    """Documents whose language the CRF can tell: those without a letter, or without a leading language, go.
+
+    So null and empty texts go, repeated rows stay, and further columns of any name stay as they are.
+    """
     model = langid.fit(docs.select("doc_id", "text", "lang"))
-    said = langid.identify(docs, model)
-    return said.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+    held = {c: unique_name(docs, f"own_{c}") for c in docs.columns if c.lower() in ("lang_pred", "score")}
+    said = langid.identify(docs.withColumnsRenamed(held), model)
+    kept = said.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE))
+    return kept.select(*[F.col(held.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of copies and near copies, the smallest doc_id: five-word shingles, similarity 0.8 or more.
+
+    Repeated rows and null texts are copies; rows with a null doc_id come last in their group.
+    """
     return simhash.deduplicated(docs, words=5, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, edits in up to a fifth of its words included."""
+    """Documents that hold no benchmark item, edits in up to a fifth of its words included.
+
+    Null and empty texts and rows with a null doc_id stay; null and empty items match nothing.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with personal data replaced by its kind; n_chars follows the text."""
+    """All documents, personal data in them replaced by its kind; n_chars follows the text, and null texts stay null."""
     done = pii.redact(docs, pii.fit(docs.select("doc_id", "text")))
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of the documents in training sequences of at most 2048 ids."""
+    """Every piece of the documents in training sequences of at most 2048 ids; null and empty texts have the one id that ends a document."""
     return packing.pack(docs, capacity=2048)
 
 
