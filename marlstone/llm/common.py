@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -21,7 +23,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a temporary one, set here, only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
-        named = f"file://{tempfile.mkdtemp(prefix='marlstone-')}"
+        own = tempfile.mkdtemp(prefix="marlstone-")
+        atexit.register(shutil.rmtree, own, True)
+        named = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
