@@ -6,10 +6,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Byte table that lower-cases A-Z only.
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -59,5 +59,8 @@ def spread(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def as_doc_id(col):
-    return F.col(col).cast("long")
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that a worker holds few rows as Python objects; an empty batch gives none."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)

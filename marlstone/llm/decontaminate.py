@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.llm.common import sliced
+
 ITEMS_AT_ONCE = 20_000
 _PUNCT = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 _GRAMS = 1 << 22
@@ -202,7 +204,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.2, repeat
         index = Index(sorted((tuple(r) for r in rows), key=str), ratio, repeats, samples)
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in sliced(batches, 1000):
                 ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
                 hits = [(ids[d], *rest) for d, *rest in index.matches(texts)] if index.classes else []
                 cols = list(zip(*hits, strict=True)) or [()] * 5

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from marlstone.llm.common import sliced
+
 UNDETERMINED = "und"
 BITS = 17
 BLOCK = 64
@@ -253,7 +255,7 @@ def fit(docs: DataFrame, per_language: int = 300, max_chars: int = 6000) -> Mode
     return Model.fit([s for lang in sorted(by) for s in by[lang][:per_language]])
 
 
-def identify(docs: DataFrame, model: Model, chars_at_once: int = 1_000_000) -> DataFrame:
+def identify(docs: DataFrame, model: Model, chars_at_once: int = 300_000) -> DataFrame:
     """docs with lang_pred and score added (columns of these names are replaced).
 
     lang_pred is und, with score 0, for a null text and one without a letter;
@@ -264,7 +266,7 @@ def identify(docs: DataFrame, model: Model, chars_at_once: int = 1_000_000) -> D
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts = b.column(at).to_pylist()
             said, part, size = [], [], 0
             for t in texts:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import saved
+from marlstone.llm.common import saved, sliced
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 END_ID = 1
@@ -37,10 +37,10 @@ def _encoder(name: str):
     with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    full = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+    full = functools.cache(lambda: Tokenizer.from_file(public_tokenizers.path(f"{name}.json")))  # seldom needed, and large
 
     def encode(text: str) -> np.ndarray:
-        ids = full.encode(text, add_special_tokens=False).ids if "<|" in text else fast.encode_ordinary(text)
+        ids = full().encode(text, add_special_tokens=False).ids if "<|" in text else fast.encode_ordinary(text)
         return np.array(ids, np.uint32)
 
     return encode
@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer)
-        for b in batches:
+        for b in sliced(batches):
             rows: list[tuple] = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = np.append(encode(text or ""), np.uint32(END_ID)).astype("<u4")

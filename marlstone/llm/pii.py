@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from marlstone.llm.common import unique_name
+from marlstone.llm.common import sliced, unique_name
 
 KINDS = ("email", "ip", "card", "phone")
 BASE = {
@@ -247,7 +247,7 @@ def fit(docs: DataFrame, sample_docs: int = 1500, max_chars: int = 20_000) -> Fi
     return Field.fit(build(texts, [patterns(t) for t in texts]))
 
 
-def find(docs: DataFrame, field: Field, chars_at_once: int = 2_000_000) -> DataFrame:
+def find(docs: DataFrame, field: Field, chars_at_once: int = 500_000) -> DataFrame:
     """docs with base and spans added: arrays of (kind number, start, end) in code points, end exclusive.
 
     Null and empty texts have none; repeated rows are all kept; an empty table
@@ -259,7 +259,7 @@ def find(docs: DataFrame, field: Field, chars_at_once: int = 2_000_000) -> DataF
     as_rows = lambda spans: [{"kind": k, "start": s, "end": e} for k, s, e in spans]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             said, part, size = [], [], 0
             for t in b.column(at).to_pylist():
                 part.append(t or "")
@@ -283,7 +283,7 @@ def redact(docs: DataFrame, field: Field) -> DataFrame:
     at, spans_at = found.columns.index("text"), found.columns.index("spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             out = []
             for text, spans in zip(b.column(at).to_pylist(), b.column(spans_at).to_pylist(), strict=True):
                 parts, last = [], 0

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.bktree import Forest, least_labels
-from marlstone.llm.common import LOWER_AZ, saved, spread
+from marlstone.llm.common import LOWER_AZ, saved, sliced, spread
 from marlstone.llm.components import components
 
 #: Fingerprints in a tree, and about those of a task.
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp): the 64-bit SimHash of every whole text, as a signed long. Null and empty texts have 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             fp = np.array([majority(shingle_hashes(t, words, seed)) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
@@ -168,7 +168,7 @@ def _sketches(words: int, prints: int):
     salts = [np.uint64(x * 0x9E3779B97F4A7C15 % 2**64) for x in range(1, prints + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             rows = []
             for text in b.column(1).to_pylist():
                 h = np.unique(shingle_hashes(text, words))
@@ -185,14 +185,14 @@ def _salted(h: np.ndarray, salt: np.uint64) -> np.ndarray:
 
 
 def _jaccard(words: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):
             near = []
-            for a, c in zip(b["text"], b["lead_text"], strict=True):
+            for a, c in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 x, y = np.unique(shingle_hashes(a, words)), np.unique(shingle_hashes(c, words))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 near.append(both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0)
-            yield pd.DataFrame({"item": b["item"], "lead": b["lead"], "near": near})
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near, pa.float64())], ["item", "lead", "near"])
 
     return run
 
@@ -228,7 +228,7 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, print
     found = saved(near_in(banded))
     members = saved(found.join(unique, "item").select("item", "component", "r.doc_id", "r.text"))
     texts, rank = members.select("item", "text"), F.struct(F.col("doc_id").isNull(), "doc_id", "item")
-    alike = lambda pairs: saved(pairs.join(texts, "item").join(texts.select(F.col("item").alias("lead"), F.col("text").alias("lead_text")), "lead").select("item", "lead", "text", "lead_text").mapInPandas(_jaccard(words), "item long, lead long, near double")).where(F.col("near") >= similarity)
+    alike = lambda pairs: saved(pairs.join(texts, "item").join(texts.select(F.col("item").alias("lead"), F.col("text").alias("lead_text")), "lead").select("item", "lead", "text", "lead_text").mapInArrow(_jaccard(words), "item long, lead long, near double")).where(F.col("near") >= similarity)
     rest, left, gone = members.select("item", "component", "doc_id"), members.count(), None
     while left:
         first = rest.groupBy("component").agg(F.count("*").alias("n"), F.min_by("item", rank).alias("lead")).where("n > 1").select("component", "lead")
