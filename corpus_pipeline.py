@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from marlstone.llm import decontaminate, langid, packing, pii, simhash
 from marlstone.llm.common import saved, table, unique_name
 
-#: A document is rejected where no language has this share of its words; code-switched text of two or three languages stays.
-LEAST_SHARE = 0.35
+#: Least share of the leading language; 0 keeps code-switched text of any mix, so that only text without a letter goes.
+LEAST_SHARE = 0.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
