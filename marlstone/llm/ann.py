@@ -5,7 +5,12 @@ overfull clusters split; every vector goes to the list of its nearest centroid
 and, if it lies near a boundary, to further ones (distance ratio and relative
 neighbourhood rule). Queries find centroids by beam search in a neighbour graph
 held in memory, and keep the lists within a distance ratio of the nearest. Lists
-beyond ``list_rows`` are cut into parts of the same centroid, so a list's size
+travel in bundles, so that a query goes to each bundle once with its lists there,
+and k rows come back for it, however many of them it meets. How
+wide the beam must be depends on the table, so it is measured: some of its queries
+are answered exactly, and the beam, then the distance ratio, grow until these find
+the share ``recall`` of their true neighbours. At worst all lists are met. Bundles
+beyond ``bundle_rows`` are cut into parts, so a task's size
 is bounded however many vectors share a spot. Scores are exact inner products.
 
 Inner product becomes Euclidean distance by one more coordinate, sqrt(M^2-|x|^2)
@@ -64,7 +69,11 @@ class Centroids:
     def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and squared distances of up to beam near centroids for each row of x, nearest first: best-first walks of the graph, side by side."""
         q, c, rows = len(x), len(self.points), np.arange(len(x))[:, None]
-        beam = min(beam, c)
+        if beam >= c:  # all of them: a walk would miss what the graph doesn't reach
+            d = squared(x, self.points)
+            ids = np.argsort(d, axis=1, kind="stable")
+            return ids, np.take_along_axis(d, ids, 1)
+        wide = max(1, beam // 64)  # nodes that a step opens
         size = (self.points**2).sum(1)
         near = lambda ids: size[ids] - 2 * np.einsum("qd,qkd->qk", x, self.points[ids])
         seen = np.zeros((q, c), bool)
@@ -74,12 +83,20 @@ class Centroids:
         dist = np.concatenate([near(start), np.full((q, ids.shape[1] - start.shape[1]), np.inf)], axis=1)
         done = np.isinf(dist)
         while not done.all():
-            at = np.where(done, np.inf, dist).argmin(1)
-            active = ~done.all(1)
-            done[np.arange(q), at] = True
-            fresh = self.graph[ids[np.arange(q), at]]
-            new = np.where(seen[rows, fresh] | ~active[:, None], np.inf, near(fresh))
-            seen[rows, fresh] |= active[:, None]
+            at = np.argsort(np.where(done, np.inf, dist), axis=1, kind="stable")[:, :wide]
+            active = np.repeat(~np.take_along_axis(done, at, 1), self.graph.shape[1], axis=1)
+            done[rows, at] = True
+            fresh = self.graph[ids[rows, at]].reshape(q, -1)
+            skip = seen[rows, fresh] | ~active
+            if wide > 1:  # a node may neighbour several of those opened
+                by = np.argsort(np.where(skip, c, fresh), axis=1, kind="stable")
+                lined = np.take_along_axis(fresh, by, 1)
+                again = np.zeros_like(skip)
+                again[:, 1:] = lined[:, 1:] == lined[:, :-1]
+                np.put_along_axis(skip, by, np.take_along_axis(skip, by, 1) | again, 1)
+            new = np.where(skip, np.inf, near(fresh))
+            r, f = np.nonzero(~skip)
+            seen[r, fresh[r, f]] = True
             ids, dist, done = np.concatenate([ids, fresh], 1), np.concatenate([dist, new], 1), np.concatenate([done, np.isinf(new)], 1)
             by = np.argsort(dist, axis=1, kind="stable")[:, :beam]
             ids, dist, done = np.take_along_axis(ids, by, 1), np.take_along_axis(dist, by, 1), np.take_along_axis(done, by, 1)
@@ -99,12 +116,53 @@ def _lifted(v: pd.Series, top: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(top - (x**2).sum(1), 0))[:, None]])
 
 
+def _best(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, score) of the k largest finite scores of each row, largest first; ties go to the first columns."""
+    if s.shape[1] > k:
+        r, c = np.nonzero((s >= np.partition(s, -k, axis=1)[:, -k][:, None]) & (s > -np.inf))
+    else:
+        r, c = np.nonzero(s > -np.inf)
+    got = s[r, c]
+    by = np.lexsort((c, -got, r))
+    r, c, got = r[by], c[by], got[by]
+    first = np.searchsorted(r, r, "left")
+    keep = np.arange(len(r)) - first < k
+    return r[keep], c[keep], got[keep]
+
+
+def _exact(rows: DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
+    """(query_id, vec_id, score): the k nearest rows of each of a few queries, by one scan that keeps k a query in each task."""
+    own, q = asked["vec_id"].to_numpy(), np.stack(asked["v"].to_numpy())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for b in batches:
+            if b.empty:
+                continue
+            ids = b["vec_id"].to_numpy()
+            s = q @ np.stack(b["v"].to_numpy()).T
+            s[own[:, None] == ids[None]] = -np.inf
+            r, c, got = _best(s, k)
+            new = pd.DataFrame({"query_id": own[r], "vec_id": ids[c], "score": got})
+            best = new if best is None else _merged([best, new], k)
+        if best is not None:
+            yield best
+
+    return _merged([rows.mapInPandas(run, "query_id long, vec_id long, score double").toPandas()], k)
+
+
+def _merged(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The k best rows of each query_id in parts, each vec_id once."""
+    rows = pd.concat(parts, ignore_index=True).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+    return rows.drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k)
+
+
 def usable(vectors: DataFrame, vector: str) -> DataFrame:
     ok = F.coalesce(F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vector, lambda x: x != 0), F.lit(False))
     return vectors.where(F.col("vec_id").isNotNull() & ok)
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding", list_rows: int = 2000, max_lists: int = 4096, sample_rows: int = 60_000, close: float = 1.12, replicas: int = 6, probe: float = 1.8, beam: int = 64, query_rows: int = 2000) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding", list_rows: int = 2000, max_lists: int = 4096, sample_rows: int = 60_000, close: float = 1.12, replicas: int = 6, probe: float = 1.8, beam: int = 64, bundle_rows: int = 20_000, query_rows: int = 20_000, recall: float = 0.95, pilots: int = 128) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of vectors where is_query holds its k nearest found among all other rows.
 
     Null or zero vectors, those with null or non-finite components or of another
@@ -112,6 +170,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding",
     vec_id count once. Ties go to the smaller vec_id; an empty table gives an
     empty result. Centroids are fitted on at most sample_rows rows, every row is
     indexed. close, probe: distance ratios for replicating and for searching.
+    probe and beam are where the search starts; they grow until ``pilots`` queries,
+    answered exactly in one scan of the table, find the share recall of their k.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, vector).groupBy("vec_id").agg(F.min(F.col(vector).cast("array<double>")).alias("v"))
@@ -150,43 +210,88 @@ def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding",
     for c, size in counts.items():
         held[c] = size
 
+    pilot = rows.where(is_query).orderBy(F.xxhash64("vec_id"), "vec_id").limit(pilots).toPandas()
+    if pilot.empty:
+        return spark.createDataFrame([], schema)
+    true = _exact(rows, pilot, k)
+    homes: dict[int, list[int]] = {}
+    for r in posted.join(F.broadcast(spark.createDataFrame(true[["vec_id"]].drop_duplicates(), "vec_id long")), "vec_id").select("vec_id", "list").collect():
+        homes.setdefault(r["vec_id"], []).append(r["list"])
+    number = {q: i for i, q in enumerate(pilot["vec_id"])}
+    whose = true["query_id"].map(number).to_numpy()
+
+    def kept(v: pd.Series, beam: int, probe: float) -> tuple[np.ndarray, np.ndarray]:
+        """Lists by nearness for each query, and which of them it meets."""
+        x = np.hstack([np.stack(v.to_numpy()).astype(np.float64), np.zeros((len(v), 1))])
+        scale = np.sqrt(top) / np.linalg.norm(x, axis=1)  # nearness doesn't depend on the query's length
+        ids, d = centroids.search(x * scale[:, None], beam)
+        enough = np.cumsum(held[ids], axis=1) - held[ids] < 4 * k
+        return ids, ((np.sqrt(d) <= probe * np.sqrt(d[:, :1])) | enough) & np.isfinite(d)
+
+    while len(true):
+        ids, keep = kept(pilot["v"], beam, probe)
+        met = np.zeros((len(pilot), len(held)), bool)
+        r, c = np.nonzero(keep)
+        met[r, ids[r, c]] = True
+        share = np.mean([met[i, homes[v]].any() for i, v in zip(whose, true["vec_id"], strict=True)])
+        if share >= recall or (beam >= len(held) and probe == np.inf):
+            break
+        if beam < len(held) and keep[:, -1].any():
+            beam = -(-beam * 5 // 4)
+        else:
+            probe = probe * 1.25 if probe < 100 else np.inf
+            beam = beam if probe < np.inf else len(held)
+
+    bundles = max(32, -(-int(held.sum()) // bundle_rows))
+    bundle = np.minimum((np.cumsum(held) - held / 2) * bundles // max(1, held.sum()), bundles - 1).astype(int)  # of about equal rows
+
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lo in range(0, len(b), 512):
                 part = b.iloc[lo : lo + 512]
-                x = np.hstack([np.stack(part["v"].to_numpy()).astype(np.float64), np.zeros((len(part), 1))])
-                scale = np.sqrt(top) / np.linalg.norm(x, axis=1)  # nearness doesn't depend on the query's length
-                ids, d = centroids.search(x * scale[:, None], beam)
-                enough = np.cumsum(held[ids], axis=1) - held[ids] < 4 * k
-                keep = ((np.sqrt(d) <= probe * np.sqrt(d[:, :1])) | enough) & np.isfinite(d)
-                r, c = np.nonzero(keep)
-                yield pd.DataFrame({"query_id": part["vec_id"].to_numpy()[r], "q": part["v"].to_numpy()[r], "list": ids[r, c]})
-
-    asked = rows.where(is_query).repartition(spread(vectors)).mapInPandas(probes, "query_id long, q array<double>, list int")
+                ids, keep = kept(part["v"], beam, probe)
+                lists_of: dict[tuple[int, int], list[int]] = {}
+                for r, c in zip(*np.nonzero(keep), strict=True):
+                    lists_of.setdefault((r, bundle[ids[r, c]]), []).append(ids[r, c])
+                r = [r for r, _ in lists_of]
+                yield pd.DataFrame({"query_id": part["vec_id"].to_numpy()[r], "q": part["v"].to_numpy()[r], "bundle": [b for _, b in lists_of], "lists": list(lists_of.values())})
+
+    asked = rows.where(is_query).repartition(spread(vectors)).mapInPandas(probes, "query_id long, q array<double>, bundle int, lists array<int>")
     asked = saved(asked)
     cut = lambda id_, per, n: F.pmod(F.xxhash64(id_), F.ceil(n / F.lit(per))).cast("int")
-    loads = posted.groupBy("list").agg(F.count("*").alias("n")).join(asked.groupBy("list").agg(F.count("*").alias("m")), "list")
-    loads = saved(loads)  # a row per list
-    vs = posted.join(F.broadcast(loads), "list").withColumn("part", cut("vec_id", list_rows, F.col("n"))).withColumn("block", F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / query_rows).cast("int") - 1))).select("list", "part", "block", "vec_id", "v")
-    qs = asked.join(F.broadcast(loads), "list").withColumn("block", cut("query_id", query_rows, F.col("m"))).withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / list_rows).cast("int") - 1))).select("list", "part", "block", "query_id", "q")
+    posted = posted.join(F.broadcast(spark.createDataFrame(pd.DataFrame({"list": np.arange(len(bundle)), "bundle": bundle}), "list int, bundle int")), "list")
+    loads = posted.groupBy("bundle").agg(F.count("*").alias("n")).join(asked.groupBy("bundle").agg(F.count("*").alias("m")), "bundle")
+    loads = saved(loads)  # a row per bundle
+    vs = posted.join(F.broadcast(loads), "bundle").withColumn("part", cut("vec_id", bundle_rows, F.col("n"))).withColumn("block", F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / query_rows).cast("int") - 1))).select("bundle", "part", "block", "list", "vec_id", "v")
+    qs = asked.join(F.broadcast(loads), "bundle").withColumn("block", cut("query_id", query_rows, F.col("m"))).withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / bundle_rows).cast("int") - 1))).select("bundle", "part", "block", "query_id", "q", "lists")
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            right = right.sort_values("vec_id")
-            ids, x = right["vec_id"].to_numpy(), np.stack(right["v"].to_numpy())
-            for lo in range(0, len(left), 256):
-                part = left.iloc[lo : lo + 256]
-                own = part["query_id"].to_numpy()
-                s = np.stack(part["q"].to_numpy()) @ x.T
-                s[own[:, None] == ids[None]] = -np.inf
-                best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                got = np.take_along_axis(s, best, 1)
-                r, c = np.nonzero(got > -np.inf)
-                out.append(pd.DataFrame({"query_id": own[r], "vec_id": ids[best[r, c]], "score": got[r, c]}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    key = ["list", "part", "block"]
+        none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        if not len(left) or not len(right):
+            return none
+        right = right.sort_values(["list", "vec_id"])
+        ids, x, of = right["vec_id"].to_numpy(), np.stack(right["v"].to_numpy()), right["list"].to_numpy()
+        own, q = left["query_id"].to_numpy(), np.stack(left["q"].to_numpy())
+        met = left["lists"].to_numpy()
+        who, which = np.repeat(np.arange(len(left)), [len(m) for m in met]), np.concatenate(met)
+        by = np.argsort(which, kind="stable")
+        who, which = who[by], which[by]
+        best, new, size = none, [], 0
+        for c in np.unique(which):
+            at = slice(np.searchsorted(of, c, "left"), np.searchsorted(of, c, "right"))
+            mine = who[np.searchsorted(which, c, "left") : np.searchsorted(which, c, "right")]
+            for lo in range(0, len(mine) if at.stop > at.start else 0, 256):
+                asks = mine[lo : lo + 256]
+                s = q[asks] @ x[at].T
+                s[own[asks][:, None] == ids[at][None]] = -np.inf
+                r, v, got = _best(s, k)
+                new.append(pd.DataFrame({"query_id": own[asks[r]], "vec_id": ids[at][v], "score": got}))
+                size += len(r)
+            if size > 1_000_000:
+                best, new, size = _merged([best, *new], k), [], 0
+        return _merged([best, *new], k)
+
+    key = ["bundle", "part", "block"]
     scored = qs.groupBy(*key).cogroup(vs.groupBy(*key)).applyInPandas(score, "query_id long, vec_id long, score double")
     unique = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -373,6 +373,19 @@ def test_neighbours(spark):
     assert ann.search(vectors.limit(0), F.lit(True)).count() == 0
 
 
+def test_neighbours_among_many_lists(spark):
+    x = np.random.default_rng(5).normal(size=(8000, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    vectors = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(vectors, F.col("vec_id") % 40 == 0, k=20, list_rows=80).toPandas()  # 800 lists
+    hits = 0
+    for q in range(0, 8000, 40):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20].tolist()) & set(got[got.query_id == q].vec_id))
+    assert hits / (200 * 20) >= 0.9
+
+
 URLS = ["https://a.example.net/en/1", "http://EXAMPLE.net/en", "http://example.net/en/", "x://b.example.com/de/2?q", "http://example.com/de", "http://q.org/fr/9#t", "http://org/fr/", "http://forg/fr/", "http://a.net", "http://a.net/", "http://a.net?x", "nourl", None, "", "http://example.net.evil.io/en/", "a://b://c.net/z", "http://example.com:80/de/", "http://É.net/É"]
 
 
