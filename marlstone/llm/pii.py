@@ -7,8 +7,12 @@ share chain potentials, and repeated or similar tokens (equal letters and
 digits, equal digits, an address and its name part) share skip potentials, each
 with the next of its group, so that a group of m tokens has m-1 links. Weights
 are fitted by pseudolikelihood on base labels of a bounded sample; marginals
-come from loopy belief propagation over a batch of documents at once. Tokens
-that the field is sure of and no base span touches become further spans.
+come from loopy belief propagation over a batch of documents at once. Base
+labels are observed there, and each unlabelled token that repeats a labelled one
+(six letters and digits or more, a digit among them, or six equal digits) has a
+link of its own to it, so that a label reaches all repeats at any distance. Tokens
+that the field is sure of and no base span touches become further spans; a match
+that failed its test is a feature and bars nothing.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,8 @@ DIGIT = re.compile("[0-9]")
 ROWS = 1 << 14
 #: Prior of the skip potentials: what repeated tokens gain by equal labels while the sample doesn't say otherwise.
 AGREE = 2.5
+#: The same for a link to a token that a base span labels, which is known and not inferred.
+REPEATS = 10.0
 K = len(KINDS) + 1
 EDGES = "\"'()[]{}<>.,;:!?"
 
@@ -80,7 +86,7 @@ def _row(*parts: object) -> int:
 
 @dataclass
 class Graph:
-    """Active tokens of several texts: spans, weak labels, feature rows, chain and skip edges, and sides open to observed words."""
+    """Active tokens of several texts: spans, weak labels, feature rows, chain and skip edges, sides open to observed words, and links from labelled tokens to their unlabelled repeats."""
 
     text: list[int]
     start: list[int]
@@ -89,6 +95,7 @@ class Graph:
     rows: list[list[int]]
     chain: list[tuple[int, int]]
     skip: list[tuple[int, int]]
+    known: list[tuple[int, int]] = field(default_factory=list)
 
 
 def build(texts: list[str], found: list[tuple[list, list]]) -> Graph:
@@ -106,6 +113,7 @@ def build(texts: list[str], found: list[tuple[list, list]]) -> Graph:
         shapes = [_shape(text[s:e]) for s, e in tokens]
         marks = sorted([(s, e, k + 1) for k, s, e in good] + [(s, e, 0) for k, s, e in bad])
         groups: dict[tuple[str, str], int] = {}
+        telling: list[list[tuple[str, str]]] = []
         lo = 0
         for i, (s, e) in enumerate(tokens):
             token = text[s:e]
@@ -135,6 +143,15 @@ def build(texts: list[str], found: list[tuple[list, list]]) -> Graph:
                 if key in groups and (groups[key], first + i) not in g.skip[-3:]:
                     g.skip.append((groups[key], first + i))
                 groups[key] = first + i
+            telling.append([key for key in keys if DIGIT.search(key[1]) and len(key[1]) >= 6])
+        labelled: dict[tuple[str, str], int] = {}
+        for i, own in enumerate(telling):
+            if g.gold[first + i]:
+                for key in own:
+                    labelled.setdefault(key, first + i)
+        for i, own in enumerate(telling):
+            if not g.gold[first + i]:
+                g.known += sorted({(labelled[key], first + i) for key in own if key in labelled})[:1]
     return g
 
 
@@ -190,6 +207,11 @@ class Field:
     def marginals(self, g: Graph, rounds: int = 12, damp: float = 0.3) -> np.ndarray:
         """Beliefs [token, label] of loopy sum-product belief propagation."""
         u = self.unary(g)
+        gold = np.array(g.gold)
+        u[gold > 0] -= 1e6 * (1 - np.eye(K)[gold[gold > 0]])  # observed
+        if g.known:
+            source, target = np.array(g.known).T
+            np.add.at(u, target, REPEATS * np.eye(K)[gold[source]])  # what an observed end sends along its link
         pairs = [(np.array(e, np.int64), w) for e, w in ((g.chain, self.chain), (g.skip, self.skip)) if e]
         if pairs:
             source = np.concatenate([x for e, _ in pairs for x in (e[:, 0], e[:, 1])])
@@ -230,7 +252,7 @@ class Field:
                 n, s, e = g.text[run[0]], g.start[run[0]], g.end[run[-1]]
                 whole = texts[n][s:e]
                 s, e = s + len(whole) - len(whole.lstrip(EDGES)), e - len(whole) + len(whole.rstrip(EDGES))
-                if s < e and not any(a < e and s < b for _, a, b in [*found[n][0], *found[n][1]]):
+                if s < e and not any(a < e and s < b for _, a, b in found[n][0]):
                     more[n].append((int(label[run[0]]) - 1, s, e))
         return [(good, sorted(good + extra)) for (good, _), extra in zip(found, more, strict=True)]
 

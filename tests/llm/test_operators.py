@@ -240,6 +240,14 @@ def test_skip_links_spread_labels():
     assert (p[:, 4] > alone[4]).all()
 
 
+def test_repeats_of_labelled_numbers():
+    texts = ["call +1 555-123-4567 or 555-123-4567 now", "first 15551234567 then +15551234567", "mail user12@example.org by user12 ok", "call +49 30 1200 4567 for 1200 euros", "in 2023 and 2024 on 12 items"]
+    texts.append("+1 555-123-4567 " + "and 555-123-4567 " * 40)
+    field = pii.Field.fit(pii.build(texts, [pii.patterns(t) for t in texts]))
+    more = [[(pii.KINDS[k], t[s:e]) for k, s, e in sorted(set(found) - set(base))] for t, (base, found) in zip(texts, field.spans(texts), strict=True)]
+    assert more == [[("phone", "555-123-4567")], [("phone", "15551234567")], [("email", "user12")], [], [], [("phone", "555-123-4567")] * 40]
+
+
 def exact_marginals(u, edges):
     import itertools
 
