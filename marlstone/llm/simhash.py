@@ -113,13 +113,14 @@ def _blocked(rows: DataFrame, shard_rows: int) -> DataFrame:
     return rows.join(big, "key", "left_anti").select(*others, "key").union(cut)
 
 
-def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None, every: bool = False) -> DataFrame:
+def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None, every: bool = False, apart: bool = False) -> DataFrame:
     """(u, v): for each item with a neighbour in its shard, the smallest item that the shard's links connect it to; every: all its neighbours v < u instead.
 
     parts: tasks to deal the shards out to; each holds its rows as arrays.
     second: most differing bits of a further fingerprint, fp2, for a link.
+    apart: no links between items of equal ``label``, with every.
     """
-    columns = ["key", "item", "fp", *(["fp2"] if second is not None else [])]
+    columns = ["key", "item", "fp", *(["fp2"] if second is not None else []), *(["label"] if apart else [])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [b for b in batches if len(b)]
@@ -136,7 +137,10 @@ def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None
             other = df["fp2"].to_numpy().view(np.uint64)
             pairs = ((i[near], j[near]) for i, j in pairs if (near := np.bitwise_count(other[i] ^ other[j]) <= second).any())
         if every:
+            label = df["label"].to_numpy() if apart else item
             for i, j in pairs:
+                far = label[i] != label[j]
+                i, j = i[far], j[far]
                 u, v = item[i], item[j]
                 yield pd.DataFrame({"u": u[u > v], "v": v[u > v]}).drop_duplicates()
             return
@@ -205,11 +209,12 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, print
     one, differ in at most radius bits of it (found by the band's BK-tree) and
     in at most second bits of the next are candidates. In every component of
     candidates the smallest document is compared with the others by the exact
-    Jaccard similarity of their shingles; those at similarity or more go, and the
-    rest form components anew, as long as that removes many. Then large groups
-    are gone, and the candidate pairs of the rest are compared one by one; of
-    each component of similar ones the smallest stays. So each row dropped is
-    similar to another of its group, and a clean row stays.
+    Jaccard similarity of their shingles; those at similarity or more join its star,
+    and the rest form components anew, as long as that removes many. Then large
+    groups are stars, and the candidate pairs of all, but for those in one star, are
+    compared one by one. Of each component of similar pairs the smallest stays,
+    whatever the rounds were. So each row dropped is similar to another of its
+    group, and a clean row stays.
 
     At similarity 0.8 a pair is a candidate with a chance of about 0.9, at 0.9 of over 0.99.
     Null texts count as copies of each other, null doc_ids come last, repeated rows
@@ -229,27 +234,29 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, print
     members = saved(found.join(unique, "item").select("item", "component", "r.doc_id", "r.text"))
     texts, rank = members.select("item", "text"), F.struct(F.col("doc_id").isNull(), "doc_id", "item")
     alike = lambda pairs: saved(pairs.join(texts, "item").join(texts.select(F.col("item").alias("lead"), F.col("text").alias("lead_text")), "lead").select("item", "lead", "text", "lead_text").mapInArrow(_jaccard(words), "item long, lead long, near double")).where(F.col("near") >= similarity)
-    rest, left, gone = members.select("item", "component", "doc_id"), members.count(), None
+    rest, left, stars = members.select("item", "component", "doc_id"), members.count(), None
     while left:
         first = rest.groupBy("component").agg(F.count("*").alias("n"), F.min_by("item", rank).alias("lead")).where("n > 1").select("component", "lead")
         pairs = saved(rest.join(first, "component").where("item <> lead").select("item", "doc_id", "lead"))
-        near = alike(pairs.select("item", "lead")).select("item")
-        gone = near if gone is None else gone.union(near)
+        near = alike(pairs.select("item", "lead")).select("item", "lead")
+        stars = near if stars is None else stars.union(near)
         rest = saved(pairs.join(near, "item", "left_anti").select("item", "doc_id"))
         dropped, left = near.count(), rest.count()
         if dropped <= left // 10:
             break  # no large group is left: the rest is settled pair by pair
         rest = saved(near_in(banded.join(rest, "item", "left_semi")).join(rest, "item"))
         left = rest.count()
-    if left:
-        pairs = links(_blocked(banded.join(rest, "item", "left_semi"), shard_rows), radius, parts, second, every=True).distinct().select(F.col("u").alias("item"), F.col("v").alias("lead"))
+    if stars is not None:
+        stars = saved(stars)
+        labels = members.select("item").join(stars, "item", "left").select("item", F.coalesce("lead", "item").alias("label"))
+        pairs = links(_blocked(banded.join(labels, "item"), shard_rows), radius, parts, second, every=True, apart=True).distinct().select(F.col("u").alias("item"), F.col("v").alias("lead"))
         sketch = sketched.select("item", "prints")
         both = pairs.join(sketch, "item").join(sketch.select(F.col("item").alias("lead"), F.col("prints").alias("p2")), "lead")
         bits = F.aggregate(F.zip_with("prints", "p2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
         similar = alike(both.where(bits <= MOST_BITS * prints).select("item", "lead"))
-        groups = components(similar.select(F.col("item").alias("u"), F.col("lead").alias("v"))).withColumnRenamed("node", "item").join(rest, "item")
+        edges = similar.select("item", "lead").union(stars).select(F.col("item").alias("u"), F.col("lead").alias("v"))
+        groups = components(edges).withColumnRenamed("node", "item").join(members.select("item", "doc_id"), "item")
         first = groups.groupBy("component").agg(F.min_by("item", rank).alias("lead"))
-        gone = gone.union(groups.join(first, "component").where("item <> lead").select("item"))
-    if gone is not None:
+        gone = groups.join(first, "component").where("item <> lead").select("item")
         unique = unique.join(gone, "item", "left_anti")
     return unique.select(*[F.col(f"r.{c}").alias(c) for c in columns])

@@ -93,6 +93,25 @@ def test_deduplicated(spark, copies):
     assert simhash.deduplicated(far).count() == 20 and simhash.deduplicated(frame(spark, [])).count() == 0
 
 
+def test_chains_of_near_copies(spark):
+    texts = {}
+    for g in range(6):  # two edited copies of an original, itself not the smallest: 0.86 to the original, 0.73 to each other
+        words = prose(700 + g, 200, 5000).split()
+        for d, at in ((3 * g, (20, 60, 100)), (3 * g + 1, ()), (3 * g + 2, (120, 150, 180))):
+            texts[d] = " ".join("x" if i in at else w for i, w in enumerate(words))
+    sets = {d: set(simhash.shingle_hashes(t, 5).tolist()) for d, t in texts.items()}
+    least = {d: d for d in texts}
+    for _ in texts:
+        for a in texts:
+            for b in texts:
+                if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    least[a] = min(least[a], least[b])
+    unrelated = [(100 + i, prose(900 + i, 120, 5000)) for i in range(10)]
+    for others in ([], unrelated):
+        kept = {r.doc_id for r in simhash.deduplicated(frame(spark, [*texts.items(), *others])).collect()}
+        assert kept == set(least.values()) | {d for d, _ in others}
+
+
 def brute_infix(item, text):
     row = [0] * (len(text) + 1)
     for i, a in enumerate(item, 1):
