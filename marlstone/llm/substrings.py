@@ -1,38 +1,41 @@
 """Removal of word windows that occur more than once, by a compacted de Bruijn graph.
 
-The graph is sparse: its nodes are token k-mers picked as minimizers, of which
-every window of ``window`` words holds one, and equal windows the same one; its
-edges join the minimizers that follow each other in a document. A node that
-occurs more than once and always between the same two edges is nonbranching,
-and a path through such nodes is one repeated stretch: compaction is a min/max
-aggregation over the k-mers and a join back to their source coordinates.
-Windows inside a compacted path, around one of its inner nodes, are repeated
-without further ado. Other windows with a repeated minimizer, at branches and
-at the ends of paths, are verified by 128-bit hashes of all their words.
-
-Exact copies of a whole text are found by digest first; one of each group stands
-for the others in the graph.
+The graph's nodes are word k-mers, thinned to minimizers: every window of
+``window`` words holds one, and equal windows the same one. Its edges are the
+longer word mers from one minimizer of a text to the next. A node that occurs
+more than once and always between the same two edges is nonbranching; joins
+compact the edges around such nodes into paths, in as many rounds of pointer
+doubling as the longest path has binary digits.
+
+Each place where a path occurs is then read at its source coordinates: if a
+BLAKE2b digest of its words is the same everywhere, all windows inside are
+repeated. Windows that no such path covers (at branches and ends of paths, and
+on paths of differing words, which only equal hashes of different words can
+make) are looked up one by one by the digest of their own words. The hashes
+that the graph is built of thus choose what is compared and decide nothing.
+
+Texts of equal words are one text in the graph; where such a text occurs more
+than once it goes as a whole.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import saved
+from marlstone.llm.common import saved, sliced
 
 K = 8
-_M = (1 << 64) - 1
-_BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
-_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+_BASE = 0x9E3779B97F4A7C15 | 1
 EMPTY = hashlib.sha256(b"").hexdigest()
+#: Texts that a task remembers in order to pass over copies among its own rows.
+REMEMBERED = 100_000
 
 
 class _Powers:
@@ -58,7 +61,7 @@ class _Powers:
         return (sums[stop] - sums[start]) * self.up[start]
 
 
-_POWERS = [_Powers(b) for b in _BASES]
+_POWERS = _Powers(_BASE)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -67,17 +70,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Byte starts and ends of the words."""
-    gap = _SPACE[np.frombuffer(raw, np.uint8)]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]])))
-    return edge[::2], edge[1::2]
-
-
-def word_hashes(raw: bytes, spans: tuple[np.ndarray, np.ndarray], which: int = 0) -> np.ndarray:
-    p = _POWERS[which]
-    sums = p.sums(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1))
-    return mixed(p.span(sums, *spans) + (spans[1] - spans[0]).astype(np.uint64))
+def digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
 def slid(x: np.ndarray, width: int, f: np.ufunc) -> np.ndarray:
@@ -90,17 +84,21 @@ def slid(x: np.ndarray, width: int, f: np.ufunc) -> np.ndarray:
 
 
 class Sparse:
-    """The minimizers of one text: word hashes' prefix sums, k-mer hashes, picked positions, and each window's minimizer."""
-
-    def __init__(self, raw: bytes, window: int, k: int = K):
-        self.raw, self.spans = raw, word_spans(raw)
-        self.n = len(self.spans[0])
+    """The minimizers of one text, given as words joined by single spaces: k-mer hashes, picked positions, and each window's minimizer."""
+
+    def __init__(self, words: bytes, window: int, k: int = K):
+        self.words = words
+        gap = np.flatnonzero(np.frombuffer(words, np.uint8) == 32)
+        self.start = np.concatenate([[0], gap + 1]) if words else np.zeros(0, np.int64)
+        self.stop = np.concatenate([gap, [len(words)]]) if words else np.zeros(0, np.int64)
+        self.n = len(self.start)
         self.windows = max(0, self.n - window + 1)
         if not self.windows:
             return
-        self.sums = _POWERS[0].sums(word_hashes(raw, self.spans))
+        letters = _POWERS.sums(np.frombuffer(words, np.uint8).astype(np.uint64) + np.uint64(1))
+        self.sums = _POWERS.sums(mixed(_POWERS.span(letters, self.start, self.stop) + (self.stop - self.start).astype(np.uint64)))
         at = np.arange(self.n - k + 1)
-        self.kmers = mixed(_POWERS[0].span(self.sums, at, at + k))
+        self.kmers = mixed(_POWERS.span(self.sums, at, at + k))
         wide = window - k + 1
         self.least = slid(self.kmers, wide, np.minimum)
         pad = np.zeros(wide - 1, np.uint64)
@@ -110,11 +108,13 @@ class Sparse:
 
     def hashed(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """Hash of words start to stop."""
-        return mixed(_POWERS[0].span(self.sums, start, stop) + (stop - start).astype(np.uint64))
+        return mixed(_POWERS.span(self.sums, start, stop) + (stop - start).astype(np.uint64))
 
-    def hashed_again(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """A second hash, by another base for bytes and words alike."""
-        return mixed(_POWERS[1].span(_POWERS[1].sums(word_hashes(self.raw, self.spans, 1)), start, stop))
+    def digests(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Digests [span, two int64] of words start to stop."""
+        words = self.words
+        found = [digest(words[a:b]) for a, b in zip(self.start[start].tolist(), self.stop[stop - 1].tolist(), strict=True)]
+        return np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
 
     def owner(self) -> np.ndarray:
         """For each window the number (in self.at) of its leftmost minimizer."""
@@ -127,55 +127,114 @@ class Sparse:
             number[wrong] += 1
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
-    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-        yield doc, (text or "").encode()
+def _texts_of(b: pa.RecordBatch, column: int) -> Iterator[bytes]:
+    for text in b.column(column).to_pylist():
+        yield b" ".join((text or "").encode().split())
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64, copy=False).view(np.int64))
 
 
-def _key(doc: int | None, raw: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(raw, (doc if doc is not None else 0x5BD1E995) & _M)
-
-
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1)
-    for b in batches:
-        for lo in range(0, b.num_rows, 2000):
-            rows = list(_rows(b.slice(lo, 2000)))
-            yield pa.RecordBatch.from_arrays([_signed(np.array([_key(*r) for r in rows], np.uint64)), pa.array([pack.compress(r[1]) for r in rows], pa.binary())], ["rid", "z"])
-
-
-def _wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        docs, rids, digests, ns, shas = [], [], [], [], []
-        for doc, raw in _rows(b):
-            words = raw.split()
-            docs.append(doc)
-            rids.append(_key(doc, raw))
-            digests.append(xxhash.xxh3_128_digest(raw))
-            ns.append(len(words))
-            shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), _signed(np.array(rids, np.uint64)), pa.array(digests, pa.binary()), pa.array(ns, pa.int64()), pa.array(shas, pa.string())], ["doc_id", "rid", "digest", "n_words", "whole_sha256"])
-
-
-def _unpacked(batch: pa.RecordBatch, k: int, window: int) -> Iterator[tuple[int, Sparse, np.ndarray, np.ndarray]]:
-    """(rid, text, repeated windows, of these the sure ones) for each row (rid, z, marks)."""
+def _fresh(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[list[tuple[bytes, bytes]]]:
+    """(rid, words) of texts that a window fits in, copies in one task passed over as far as they are remembered."""
+    seen: set[bytes] = set()
+    for b in sliced(batches, 1000):
+        held = []
+        for words in _texts_of(b, 0):
+            if words.count(b" ") + 1 < window:
+                continue
+            rid = digest(words)
+            if rid not in seen:
+                if len(seen) < REMEMBERED:
+                    seen.add(rid)
+                held.append((rid, words))
+        yield held
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in sliced(batches, 1000):
+        rids, ns, shas = [], [], []
+        for words in _texts_of(b, 1):
+            rids.append(digest(words))
+            ns.append(words.count(b" ") + 1 if words else 0)
+            shas.append(hashlib.sha256(words).hexdigest())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rids, pa.binary()), pa.array(ns, pa.int64()), pa.array(shas, pa.string())], ["doc_id", "rid", "n_words", "whole_sha256"])
+
+
+def _packed(window: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
+        for held in _fresh(batches, window):
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in held], pa.binary()), pa.array([pack.compress(r[1]) for r in held], pa.binary())], ["rid", "z"])
+
+    return run
+
+
+def _nodes(window: int, k: int) -> Callable:
+    """Each minimizer of each text: its hash, the edges to its left and right, and where it is; twice: more than once in its text."""
+    names = ["h", "l", "r", "rid", "pos", "t", "twice"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _fresh(batches, window):
+            cols: list[list[np.ndarray]] = [[] for _ in names]
+            rids: list[bytes] = []
+            for rid, words in held:
+                s = Sparse(words, window, k)
+                h, t = s.kmers[s.at], np.frombuffer(rid, np.uint64)[0]
+                edges = s.hashed(s.at[:-1], s.at[1:] + k)
+                ends = mixed(np.array([t, ~t], np.uint64))
+                _, back, n = np.unique(h, return_inverse=True, return_counts=True)
+                rids += [rid] * len(h)
+                for c, x in zip(cols, (h, np.concatenate([ends[:1], edges]), np.concatenate([edges, ends[1:]]), None, s.at.astype(np.int32), np.full(len(h), t), n[back] > 1), strict=True):
+                    if x is not None:
+                        c.append(x)
+            if rids:
+                h, left, right, pos, t, twice = (np.concatenate(c) for i, c in enumerate(cols) if i != 3)
+                yield pa.RecordBatch.from_arrays([_signed(h), _signed(left), _signed(right), pa.array(rids, pa.binary()), pa.array(pos), _signed(t), pa.array(twice)], names)
+
+    return run
+
+
+def compacted(inner: DataFrame) -> DataFrame:
+    """(h, path) for nonbranching nodes inner (h, l, r): path is the first node of the path that shared edges make; nodes on a cycle are left out."""
+    one = lambda side: inner.groupBy(side).agg(F.min("h").alias(f"h_{side}"), F.count("*").alias("n")).where("n = 1").drop("n")
+    steps = one("r").join(one("l"), F.col("r") == F.col("l")).where("h_r <> h_l").select(F.col("h_l").alias("h"), F.col("h_r").alias("up"))
+    first = saved(inner.select("h").join(steps, "h", "left"))  # those without a step begin a path
+    now = first.select("h", F.coalesce("up", "h").alias("up"))
+    for _ in range(first.count().bit_length() + 1):
+        far = now.select(F.col("h").alias("up"), F.col("up").alias("far"))
+        now = saved(now.join(far, "up").select("h", F.col("far").alias("up"), (F.col("far") != F.col("up")).alias("moved")))
+        if now.where("moved").isEmpty():
+            break
+        now = now.drop("moved")
+    return now.select("h", F.col("up").alias("path")).join(first.where("up is null").select(F.col("h").alias("path")), "path", "left_semi")
+
+
+def _marked(batch: pa.RecordBatch, k: int, window: int) -> Iterator[tuple]:
+    """For each row (rid, z, marks): rid, text, windows with a repeated minimizer, of these those that a path covers, and the path's places (path, first and end word)."""
     unpack = zstandard.ZstdDecompressor()
-    for rid, z, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+    marks = batch.column(2)
+    pos, path = marks.flatten().field(0), marks.flatten().field(1)
+    inner, pos, path = path.is_valid().to_numpy(zero_copy_only=False), pos.to_numpy(zero_copy_only=False), path.fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(np.diff(marks.offsets.to_numpy()))
+    for rid, z, hi, lo in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), ends.tolist(), [0, *ends.tolist()], strict=False):
         s = Sparse(unpack.decompress(z), window, k)
-        mark = np.array(marks, np.int64)
-        repeated, inner = np.zeros(len(s.at), bool), np.zeros(len(s.at), bool)
-        number = np.searchsorted(s.at, mark >> 1)
-        repeated[number], inner[number] = True, (mark & 1).astype(bool)
-        order = np.arange(len(s.at))
-        left = np.maximum.accumulate(np.where(inner, 0, order))
-        right = np.minimum.accumulate(np.where(inner, len(s.at) - 1, order)[::-1])[::-1]
+        m = len(s.at)
+        number = np.searchsorted(s.at, pos[lo:hi])
+        repeated, within, own_path = np.zeros(m, bool), np.zeros(m, bool), np.zeros(m, np.int64)
+        repeated[number], within[number], own_path[number] = True, inner[lo:hi], path[lo:hi]
+        # runs of neighbouring nodes of one path reach from the node before to the node after
+        first = within & ~(np.concatenate([[False], within[:-1]]) & (own_path == np.concatenate([[0], own_path[:-1]])))
+        last = within & ~(np.concatenate([within[1:], [False]]) & (own_path == np.concatenate([own_path[1:], [0]])))
+        run = np.cumsum(first) - 1
+        start, stop = s.at[np.maximum(np.flatnonzero(first) - 1, 0)], s.at[np.minimum(np.flatnonzero(last) + 1, m - 1)] + k
         own, at = s.owner(), np.arange(s.windows)
-        sure = inner[own] & (s.at[left[own]] <= at) & (at + window <= s.at[right[own]] + k)
-        yield rid, s, repeated[own], sure
+        sure = within[own]
+        if len(start):
+            r = np.maximum(run[own], 0)
+            sure = sure & (start[r] <= at) & (at + window <= stop[r])
+        yield rid, s, repeated[own], sure, (own_path[first], start, stop)
 
 
 def repeated_windows_removed(docs: DataFrame, window: int = 35, k: int = K) -> DataFrame:
@@ -189,78 +248,78 @@ def repeated_windows_removed(docs: DataFrame, window: int = 35, k: int = K) -> D
     other, extra columns are ignored, and an empty table gives an empty result.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-
-    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "sides", "rid", "pos", "t", "twice"]
-        for b in batches:
-            for lo in range(0, b.num_rows, 1000):
-                cols: list[list[np.ndarray]] = [[] for _ in names]
-                for doc, raw in _rows(b.slice(lo, 1000)):
-                    s = Sparse(raw, window, k)
-                    if not s.windows:
-                        continue
-                    h, t = s.kmers[s.at], np.uint64(xxhash.xxh64_intdigest(raw))
-                    edges = s.hashed(s.at[:-1], s.at[1:] + k)
-                    ends = mixed(np.array([t, t + np.uint64(1)], np.uint64) if t < _M else np.array([t, 0], np.uint64))
-                    sides = mixed(np.concatenate([ends[:1], edges]) * np.uint64(3) + mixed(np.concatenate([edges, ends[1:]])))
-                    _, back, n = np.unique(h, return_inverse=True, return_counts=True)
-                    for c, x in zip(cols, (h, sides, np.full(len(h), _key(doc, raw), np.uint64), s.at.astype(np.int32), np.full(len(h), t), n[back] > 1), strict=True):
-                        c.append(x)
-                if cols[0]:
-                    whole = [np.concatenate(c) for c in cols]
-                    yield pa.RecordBatch.from_arrays([_signed(whole[0]), _signed(whole[1]), _signed(whole[2]), pa.array(whole[3]), _signed(whole[4]), pa.array(whole[5])], names)
-
-    wholes = saved(source.mapInArrow(_wholes, "doc_id long, rid long, digest binary, n_words long, whole_sha256 string"))
-    copies = wholes.groupBy("digest").agg(F.count("*").alias("n"), F.min("rid").alias("first")).where("n > 1")
-    copied = saved(wholes.select("rid", "digest").join(copies, "digest").select("rid", (F.col("rid") != F.col("first")).alias("spare")).distinct())
-    found = saved(source.mapInArrow(nodes, "h long, sides long, rid long, pos int, t long, twice boolean"))
-    stats = found.groupBy("h").agg(F.min("t").alias("t0"), F.max("t").alias("t1"), F.max("twice").alias("twice"), F.min("sides").alias("s0"), F.max("sides").alias("s1"))
-    shared = stats.where("t0 <> t1 or twice").select("h", (F.col("s0") == F.col("s1")).cast("int").alias("inner"))
-    marks = found.select("h", "rid", "pos").join(shared, "h").select("rid", (F.col("pos") * 2 + F.col("inner")).alias("m"))
-    marks = marks.join(copied.where("spare"), "rid", "left_anti").groupBy("rid").agg(F.sort_array(F.collect_set("m")).alias("marks"))
-    held = saved(source.mapInArrow(_texts, "rid long, z binary").join(marks, "rid"))
+    texts = source.select("text")
+    rows = saved(source.mapInArrow(_rows, "doc_id long, rid binary, n_words long, whole_sha256 string"))
+    copied = rows.where(F.col("n_words") >= window).groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select("rid")
+
+    found = saved(texts.mapInArrow(_nodes(window, k), "h long, l long, r long, rid binary, pos int, t long, twice boolean"))
+    least, most = [F.min(c).alias(f"{c}0") for c in "tlr"], [F.max(c).alias(f"{c}1") for c in "tlr"]
+    stats = found.groupBy("h").agg(*least, *most, F.max("twice").alias("twice"))
+    shared = saved(stats.where("t0 <> t1 or twice").select("h", F.col("l0").alias("l"), F.col("r0").alias("r"), ((F.col("l0") == F.col("l1")) & (F.col("r0") == F.col("r1"))).alias("inner")))
+    # a table of its own, so that a join on a much repeated node can be split at runtime
+    labels = saved(shared.select("h").join(compacted(shared.where("inner").select("h", "l", "r")), "h", "left"))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):
+            paths, seen = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)]
+            for _, s, _, _, (path, start, stop) in _marked(b, k, window):
+                if len(path):
+                    paths.append(path)
+                    seen.append(s.digests(start, stop))
+            d = np.concatenate(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(paths)), pa.array(np.ascontiguousarray(d[:, 0])), pa.array(np.ascontiguousarray(d[:, 1]))], ["path", "d1", "d2"])
+
+    while True:
+        marks = found.select("h", "rid", "pos").join(labels, "h").groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("pos", "path"))).alias("marks"))
+        packed = texts.mapInArrow(_packed(window), "rid binary, z binary").groupBy("rid").agg(F.first("z").alias("z"))
+        held = saved(packed.join(marks, "rid").select("rid", "z", "marks"))
+        read = held.mapInArrow(places, "path long, d1 long, d2 long").groupBy("path").agg(F.count("*").alias("n"), *[f(c).alias(f"{c}{i}") for c in ("d1", "d2") for i, f in enumerate((F.min, F.max))])
+        differing = saved(read.where("n < 2 or d10 <> d11 or d20 <> d21").select("path"))
+        if differing.isEmpty():
+            break
+        labels = saved(labels.join(differing.withColumn("off", F.lit(True)), "path", "left").select("h", F.when(F.col("off").isNull(), F.col("path")).alias("path")))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                parts: list[tuple] = []
-                for rid, s, repeated, sure in _unpacked(b.slice(lo, 500), k, window):
-                    at = np.flatnonzero(repeated & ~sure)
-                    if len(at):
-                        parts.append((s.hashed(at, at + window), s.hashed_again(at, at + window), np.full(len(at), rid, np.int64), at.astype(np.int32)))
-                if parts:
-                    g1, g2, rid, at = (np.concatenate(c) for c in zip(*parts, strict=True))
-                    yield pa.RecordBatch.from_arrays([_signed(g1), _signed(g2), pa.array(rid), pa.array(at)], ["g1", "g2", "rid", "at"])
-
-    asked = saved(held.mapInArrow(windows, "g1 long, g2 long, rid long, at int"))
-    again = asked.groupBy("g1", "g2").agg(F.count("*").alias("n")).where("n > 1").select("g1", "g2")
+        for b in sliced(batches):
+            parts: list[tuple] = []
+            rids: list[bytes] = []
+            for rid, s, repeated, sure, _ in _marked(b, k, window):
+                at = np.flatnonzero(repeated & ~sure)
+                if len(at):
+                    rids += [rid] * len(at)
+                    parts.append((s.digests(at, at + window), at.astype(np.int32)))
+            if parts:
+                d, at = (np.concatenate(c) for c in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(d[:, 0])), pa.array(np.ascontiguousarray(d[:, 1])), pa.array(rids, pa.binary()), pa.array(at)], ["g1", "g2", "rid", "at"])
+
+    asked = saved(held.mapInArrow(windows, "g1 long, g2 long, rid binary, at int"))
+    again = saved(asked.groupBy("g1", "g2").agg(F.count("*").alias("n")).where("n > 1").select("g1", "g2"))
     verified = asked.join(again, ["g1", "g2"], "left_semi").groupBy("rid").agg(F.collect_set("at").alias("verified"))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                out: list[tuple] = []
-                for (rid, s, repeated, sure), more in zip(_unpacked(part, k, window), part.column(3).to_pylist(), strict=True):
-                    gone = repeated & sure
-                    gone[np.array(more or [], np.int64)] = True
-                    step = np.zeros(s.n + 1, np.int64)
-                    at = np.flatnonzero(gone)
-                    np.add.at(step, at, 1)
-                    np.add.at(step, at + window, -1)
-                    stays = np.cumsum(step[:-1]) == 0
-                    words = b" ".join(s.raw[x:y] for x, y in zip(s.spans[0][stays].tolist(), s.spans[1][stays].tolist(), strict=True))
-                    out.append((rid, int((~stays).sum()), words.decode() if len(at) else None, hashlib.sha256(words).hexdigest()))
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], ["rid", "removed", "kept_", "sha"])
-
-    cleaned = held.join(verified, "rid", "left").select("rid", "z", "marks", "verified").mapInArrow(kept, "rid long, removed long, kept_ string, sha string").dropDuplicates(["rid"])
-    whole_gone = F.col("spare").isNotNull() & (F.col("n_words") >= window)
-    joined = wholes.join(copied, "rid", "left").join(cleaned, "rid", "left")
+        for b in sliced(batches):
+            out: list[tuple] = []
+            for (rid, s, repeated, sure, _), more in zip(_marked(b, k, window), b.column(3).to_pylist(), strict=True):
+                gone = repeated & sure
+                gone[np.array(more or [], np.int64)] = True
+                step = np.zeros(s.n + 1, np.int64)
+                at = np.flatnonzero(gone)
+                np.add.at(step, at, 1)
+                np.add.at(step, at + window, -1)
+                stays = np.cumsum(step[:-1]) == 0
+                words = b" ".join(s.words[x:y] for x, y in zip(s.start[stays].tolist(), s.stop[stays].tolist(), strict=True))
+                out.append((rid, int((~stays).sum()), words.decode() if len(at) else None, hashlib.sha256(words).hexdigest()))
+            cols = list(zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int64(), pa.string(), pa.string()), strict=True)], ["rid", "removed", "kept_", "sha"])
+
+    cleaned = held.join(verified, "rid", "left").select("rid", "z", "marks", "verified").mapInArrow(kept, "rid binary, removed long, kept_ string, sha string")
+    told = saved(cleaned.where("removed > 0").join(copied, "rid", "left_anti").unionByName(copied, allowMissingColumns=True))  # removed is null: all words go
+    joined = rows.join(told.withColumn("told", F.lit(True)), "rid", "left")
+    whole, part = F.col("told") & F.col("removed").isNull(), F.col("told").isNotNull()
     return joined.select(
         "doc_id",
         "n_words",
-        F.when(whole_gone, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0).cast("long"))).alias("n_removed"),
-        F.when(whole_gone, F.lit(EMPTY)).otherwise(F.coalesce("sha", "whole_sha256")).alias("kept_sha256"),
-        F.when(whole_gone, F.lit("")).otherwise(F.col("kept_")).alias("kept"),
+        F.when(whole, F.col("n_words")).when(part, F.col("removed")).otherwise(F.lit(0).cast("long")).alias("n_removed"),
+        F.when(whole, F.lit(EMPTY)).when(part, F.col("sha")).otherwise(F.col("whole_sha256")).alias("kept_sha256"),
+        F.when(whole, F.lit("")).when(part, F.col("kept_")).alias("kept"),
     )

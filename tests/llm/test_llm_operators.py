@@ -429,3 +429,26 @@ def test_urls(spark):
         rule, verdict = max(fits, key=lambda f: len(f[0]), default=(None, "allow"))
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict)
     assert urlfilter.judge_urls(pages.limit(0), rules).count() == 0 and urlfilter.judge_urls(pages, rules.limit(0)).where("rule is not null").count() == 0
+
+
+def thue_morse(n, a, b):
+    """n letters of a and b on which every polynomial hash modulo a power of two gives what it gives with a and b swapped."""
+    return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
+
+
+def test_substrings_whose_hashes_collide(spark):
+    left, right = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    head, tail, other = prose(21, 34), prose(22, 60), prose(23, 80)
+    rows = [(1, f"{head} {left}"), (2, f"{head} {right}"), (3, f"{head} {left} {tail}"), (4, f"{head} {right} {tail}")]
+    # on a nonbranching path of equal hashes: the words differ in the middle, and a part of it stands elsewhere
+    rows += [(5, f"{other} {left} {tail}"), (6, f"{other} {right} {tail}"), (7, " ".join(other.split()[20:70]))]
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.repeated_windows_removed(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == brute_windows(rows, 35)
+    two = frame(spark, rows[:2])
+    assert [r.n_removed for r in substrings.repeated_windows_removed(two).collect()] == [0, 0]
+
+
+def test_compaction(spark):
+    chain = [(i, i, i + 1) for i in range(1, 40)] + [(100, 70, 71), (101, 72, 73), (200, 80, 81), (201, 81, 80)]
+    got = {r.h: r.path for r in substrings.compacted(frame(spark, chain, "h long, l long, r long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 40)}, 100: 100, 101: 101}  # two nodes on a cycle have no path
