@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm import ann, chat, decontaminate, langid, packing, pii, sharding, simhash, substrings, urlfilter
-from marlstone.llm.common import table
+from marlstone.llm.common import shared_dir, table
 
 
 def op1_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,9 +85,11 @@ def op6_column_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's shard of 40 and slot, by law key: rendezvous hashing of doc_id."""
-    docs = table(spark, sf_dir, "documents")
-    done = sharding.external_shuffle(docs, shards=40)
+    """Every document's shard of 40 and slot, by law key (rendezvous hashing of doc_id), read back from the shards written."""
+    shuffled = sharding.external_shuffle(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
+    path = f"{shared_dir(spark)}/shards/{uuid.uuid4().hex}"
+    sharding.write_shards(shuffled, path)
+    done = sharding.read_shards(spark, path, shuffled.schema)
     return done.select(
         "doc_id", sharding.record_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.lit("key").alias("law"), "shard", "slot", sharding.shard_of(F.col("doc_id"), 41, 20240607).alias("grown_shard"),
