@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,11 +26,16 @@ from marlstone.llm.common import saved, sliced
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 END_ID = 1
+#: Characters of white space in a row from which the full tokenizer takes over: the fast one's pattern engine keeps a stack as deep.
+LONG_GAP = 2000
+GAP = re.compile(r"\s{2,}")
+#: Most parts that the rows of a length class are dealt into; their size grows beyond that.
+MOST_SALTS = 10_000
 
 
 @functools.lru_cache(maxsize=2)
 def _encoder(name: str):
-    """Ids of a text as numpy uint32: byte pair ranks for ordinary texts, the full tokenizer where a special token's string occurs."""
+    """Ids of a text as numpy uint32: byte pair ranks for ordinary texts, the full tokenizer where a special token's string or a very long gap occurs."""
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
@@ -40,7 +46,8 @@ def _encoder(name: str):
     full = functools.cache(lambda: Tokenizer.from_file(public_tokenizers.path(f"{name}.json")))  # seldom needed, and large
 
     def encode(text: str) -> np.ndarray:
-        ids = full().encode(text, add_special_tokens=False).ids if "<|" in text else fast.encode_ordinary(text)
+        whole = "<|" in text or (len(text) >= LONG_GAP and any(m.end() - m.start() >= LONG_GAP for m in GAP.finditer(text)))
+        ids = full().encode(text, add_special_tokens=False).ids if whole else fast.encode_ordinary(text)
         return np.array(ids, np.uint32)
 
     return encode
@@ -140,14 +147,16 @@ def plan(histogram: dict[int, int], room: int) -> list[tuple[dict[int, int], int
     return found
 
 
-def pack(docs: DataFrame, capacity: int = 2048, grain: int = 8, tokenizer: str = "byte_bpe_50k", rank_rows: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 2048, grain: int = 8, tokenizer: str = "byte_bpe_50k", rank_rows: int = 1000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document's ids are its text's and then END_ID; null and empty texts have
     that one id. Every id lies in one piece, and a sequence holds at most
     capacity ids. Repeated rows are packed each for itself, extra columns are
     ignored, and an empty table gives an empty result. grain: width of a length
-    class, so at most grain-1 ids are lost per remainder.
+    class, so at most grain-1 ids are lost per remainder. A class is ranked in
+    parts of about rank_rows rows, so that one length held by many documents
+    is not one task.
     """
     room = capacity // grain
     cut = saved(pieces(docs, capacity, tokenizer))
@@ -161,12 +170,12 @@ def pack(docs: DataFrame, capacity: int = 2048, grain: int = 8, tokenizer: str =
             seen[cls] += each * times
         base += times
     plans = F.broadcast(spark.createDataFrame(rows, "p_cls int, p_from long, p_to long, p_each long, p_base long").coalesce(1))  # bounded by room squared
-    salts = max(1, -(-max(totals.values(), default=0) // rank_rows))
-    cut = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
+    salts = F.array(*[F.lit(max(1, min(-(-totals.get(c, 0) // rank_rows), MOST_SALTS))) for c in range(room + 1)])
+    cut = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.get(salts, F.col("cls"))).cast("int"))
     counts = cut.groupBy("cls", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("cls").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("cls", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    own = F.row_number().over(Window.partitionBy("cls", "salt").orderBy("doc_id", "start"))
+    own = F.row_number().over(Window.partitionBy("cls", "salt").orderBy("doc_id", "start", "ids_crc32", "doc_tokens"))  # rows equal in all of these are the same piece twice
     ranked = cut.withColumn("own", own).join(offsets, ["cls", "salt"]).withColumn("rank", F.col("first") + F.col("own") - 1)
     placed = ranked.join(plans, (F.col("cls") == F.col("p_cls")) & (F.col("rank") >= F.col("p_from")) & (F.col("rank") < F.col("p_to")))
     placed = placed.withColumn("sequence_id", (F.col("p_base") + F.floor((F.col("rank") - F.col("p_from")) / F.col("p_each"))).cast("long"))
