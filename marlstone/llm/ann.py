@@ -11,7 +11,8 @@ wide the beam must be depends on the table, so it is measured: some of its queri
 are answered exactly, and the beam, then the distance ratio, grow until these find
 the share ``recall`` of their true neighbours. At worst all lists are met. Bundles
 beyond ``bundle_rows`` are cut into parts, so a task's size
-is bounded however many vectors share a spot. Scores are exact inner products.
+is bounded however many vectors share a spot. Scores are inner products of the
+original vectors in double precision, added up in the order of the components.
 
 Inner product becomes Euclidean distance by one more coordinate, sqrt(M^2-|x|^2)
 with M the largest norm; queries have 0 there.
@@ -116,18 +117,35 @@ def _lifted(v: pd.Series, top: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(top - (x**2).sum(1), 0))[:, None]])
 
 
-def _best(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, score) of the k largest finite scores of each row, largest first; ties go to the first columns."""
+def _first_of_equals(x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first k+1 rows of each value, in order of ids: no others of equal vectors can be among k neighbours (a query may be one itself)."""
+    raw, size = x.tobytes(), x.shape[1] * x.itemsize
+    seen: dict[bytes, int] = {}
+    count = [seen.__setitem__(v, n := seen.get(v, 0) + 1) or n for v in (raw[i : i + size] for i in range(0, len(raw), size))]
+    keep = np.array(count) <= k + 1
+    return (x, ids) if keep.all() else (x[keep], ids[keep])
+
+
+def _nearest(q: np.ndarray, own: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
+    """(query_id, vec_id, score): of rows x, ordered by ids, the k of largest inner product with each query, other than itself.
+
+    A matrix product names the candidates, with a margin for its rounding; their
+    scores are then added up component by component, so that a pair has one score
+    wherever it is met, equal vectors have equal ones, and ties go to the smaller id.
+    """
+    s = q @ x.T
+    s[own[:, None] == ids[None]] = -np.inf
     if s.shape[1] > k:
-        r, c = np.nonzero((s >= np.partition(s, -k, axis=1)[:, -k][:, None]) & (s > -np.inf))
+        least = np.partition(s, -k, axis=1)[:, -k]
+        margin = 1e-13 * x.shape[1] * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+        r, c = np.nonzero((s >= (least - margin)[:, None]) & (s > -np.inf))
     else:
         r, c = np.nonzero(s > -np.inf)
-    got = s[r, c]
-    by = np.lexsort((c, -got, r))
-    r, c, got = r[by], c[by], got[by]
-    first = np.searchsorted(r, r, "left")
-    keep = np.arange(len(r)) - first < k
-    return r[keep], c[keep], got[keep]
+    exact = np.concatenate([np.cumsum(q[r[i : i + 20_000]] * x[c[i : i + 20_000]], axis=1)[:, -1] for i in range(0, len(r), 20_000)]) if len(r) else np.zeros(0)
+    by = np.lexsort((c, -exact, r))
+    r, c, exact = r[by], c[by], exact[by]
+    first = np.arange(len(r)) - np.searchsorted(r, r, "left") < k
+    return pd.DataFrame({"query_id": own[r[first]], "vec_id": ids[c[first]], "score": exact[first]})
 
 
 def _exact(rows: DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -139,11 +157,9 @@ def _exact(rows: DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
         for b in batches:
             if b.empty:
                 continue
-            ids = b["vec_id"].to_numpy()
-            s = q @ np.stack(b["v"].to_numpy()).T
-            s[own[:, None] == ids[None]] = -np.inf
-            r, c, got = _best(s, k)
-            new = pd.DataFrame({"query_id": own[r], "vec_id": ids[c], "score": got})
+            b = b.sort_values("vec_id")
+            x, ids = _first_of_equals(np.stack(b["v"].to_numpy()), b["vec_id"].to_numpy(), k)
+            new = _nearest(q, own, x, ids, k)
             best = new if best is None else _merged([best, new], k)
         if best is not None:
             yield best
@@ -234,13 +250,13 @@ def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding",
         r, c = np.nonzero(keep)
         met[r, ids[r, c]] = True
         share = np.mean([met[i, homes[v]].any() for i, v in zip(whose, true["vec_id"], strict=True)])
-        if share >= recall or (beam >= len(held) and probe == np.inf):
+        if share >= recall or (beam >= len(held) and probe == 1e300):
             break
         if beam < len(held) and keep[:, -1].any():
             beam = -(-beam * 5 // 4)
         else:
-            probe = probe * 1.25 if probe < 100 else np.inf
-            beam = beam if probe < np.inf else len(held)
+            probe = probe * 1.25 if probe < 100 else 1e300
+            beam = beam if probe < 1e300 else len(held)
 
     bundles = max(32, -(-int(held.sum()) // bundle_rows))
     bundle = np.minimum((np.cumsum(held) - held / 2) * bundles // max(1, held.sum()), bundles - 1).astype(int)  # of about equal rows
@@ -280,13 +296,13 @@ def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding",
         for c in np.unique(which):
             at = slice(np.searchsorted(of, c, "left"), np.searchsorted(of, c, "right"))
             mine = who[np.searchsorted(which, c, "left") : np.searchsorted(which, c, "right")]
-            for lo in range(0, len(mine) if at.stop > at.start else 0, 256):
+            if at.stop == at.start:
+                continue
+            there, there_ids = _first_of_equals(x[at], ids[at], k)
+            for lo in range(0, len(mine), 256):
                 asks = mine[lo : lo + 256]
-                s = q[asks] @ x[at].T
-                s[own[asks][:, None] == ids[at][None]] = -np.inf
-                r, v, got = _best(s, k)
-                new.append(pd.DataFrame({"query_id": own[asks[r]], "vec_id": ids[at][v], "score": got}))
-                size += len(r)
+                new.append(_nearest(q[asks], own[asks], there, there_ids, k))
+                size += len(new[-1])
             if size > 1_000_000:
                 best, new, size = _merged([best, *new], k), [], 0
         return _merged([best, *new], k)
