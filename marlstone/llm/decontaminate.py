@@ -4,8 +4,11 @@ The CGK random walk (Chakraborty, Goldenberg, Koucky 2016) embeds word sequences
 so that edit distance becomes Hamming distance. Item-sized windows of every
 document are embedded, a few sampled symbols of the embedding form a hash key,
 and repetitions with fresh walks and samples bring a window within the radius to
-a key it shares with its item. Each candidate is then confirmed by the exact
-edit distance of the item to the best stretch of the document nearby.
+a key it shares with its item, at its start, middle or end. How many repetitions
+a length takes is measured: its items are edited as much as the radius allows, and
+repetitions are added until the share ``recall`` of these copies meets its item.
+Each candidate is then confirmed by the exact edit distance of the item to the
+best stretch of the document nearby.
 
 Two exact conditions spare windows the walk and lose no match: of the words of a
 match at most k are in no item, and, k edits leaving k+1 blocks of which one is
@@ -26,6 +29,8 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import sliced
 
 ITEMS_AT_ONCE = 20_000
+#: Words of the widest window: beyond, walks of edited texts part for good before they end.
+WIDEST = 48
 _PUNCT = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 _GRAMS = 1 << 22
 SCHEMA = "doc_id long, item_id long, distance int, item_words int, at_word long"
@@ -36,10 +41,26 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_PUNCT).split()
 
 
-def window_of(n: int) -> tuple[int, int]:
-    """Window words and stride for an item of n words: a window at every stride-th word lies in the item at one of the first stride offsets."""
-    sizes = [w for w in (*range(1, 16), *range(16, 64, 8), *range(64, 1 << 20, 64)) if w + max(1, w // 8) - 1 <= n]
-    return sizes[-1], max(1, sizes[-1] // 8)
+def window_of(n: int, widest: int = WIDEST) -> tuple[int, int]:
+    """Window words and stride for an item of n words: about four fifths of it, in steps of an eighth, so that several windows of a stride lie in every occurrence; of a long item widest words, at all places along it."""
+    w = 1
+    while w + max(1, w // 8) <= min(n - n // 5, widest):
+        w += max(1, w // 8)
+    return w, max(1, w // 8)
+
+
+def edited(codes: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
+    """codes with that many words replaced, left out or put in, at random places."""
+    out = codes.tolist()
+    for kind in rng.integers(0, 3, edits).tolist():
+        at = int(rng.integers(0, max(1, len(out))))
+        if kind == 2 or not out:
+            out.insert(at, 0)
+        elif kind == 1:
+            del out[at]
+        else:
+            out[at] = 0
+    return np.array(out, np.int64)
 
 
 def infix_distance(item: list[int], text: list[int], most: int) -> tuple[int, int]:
@@ -71,7 +92,7 @@ def infix_distance(item: list[int], text: list[int], most: int) -> tuple[int, in
 class Index:
     """Items by hash key; built on the driver from a bounded part, used on the executors."""
 
-    def __init__(self, items: list[tuple[int, str | None]], ratio: float, repeats: int, samples: int, seed: int = 7):
+    def __init__(self, items: list[tuple[int, str | None]], ratio: float, recall: float, samples: int, seed: int = 7):
         self.vocab: dict[bytes, int] = {}
         self.items: list[tuple[int, list[int]]] = []
         for item_id, text in items:
@@ -87,27 +108,55 @@ class Index:
             by_window.setdefault((w, s, min(4, len(c) // (self.most[i] + 1))), []).append(i)
         self.pad = max([0, *(2 * len(c) for _, c in self.items)]) + 8
         for (w, s, block), members in sorted(by_window.items()):
-            steps = 3 * w
             cls = {"w": w, "s": s, "block": block, "k": max(self.most[i] for i in members), "reach": max(len(self.items[i][1]) for i in members)}
-            cls["flips"] = rng.integers(0, 2, (repeats, steps, 1 << 10), dtype=np.uint8)
-            cls["at"] = np.sort(np.stack([rng.permutation(max(2 * w, 1))[:samples] for _ in range(repeats)]), axis=1) if 2 * w >= samples else np.tile(np.arange(2 * w), (repeats, 1))
-            cls["mix"] = rng.integers(1, 1 << 62, cls["at"].shape, dtype=np.int64) | 1
+            codes = [np.array(self.items[i][1], np.int64) for i in members]
             grams = np.zeros(_GRAMS, bool)
-            for i in members:
-                grams[_runs(np.array(self.items[i][1], np.int64), block)] = True
+            for c in codes:
+                grams[_runs(c, block)] = True
             cls["grams"] = np.packbits(grams)
-            flat = np.concatenate([np.array(self.items[i][1], np.int64) for i in members])
-            begin = np.cumsum([0] + [len(self.items[i][1]) for i in members])[:-1]
-            starts = np.concatenate([begin + o for o in range(s)])
-            owner = np.tile(np.array(members), s)
-            offset = np.repeat(np.arange(s), len(members))
-            keys = self._keys(cls, np.append(flat, np.zeros(self.pad, np.int64)), starts)
+            self._repeat(cls, codes, [self.most[i] for i in members], recall, samples, rng)
+            offsets = [np.arange(len(c) - w + 1) for c in codes]
+            begin = np.cumsum([0] + [len(c) for c in codes])[:-1]
+            starts = np.concatenate([x + o for x, o in zip(begin, offsets, strict=True)])
+            owner, offset = np.repeat(np.array(members), [len(o) for o in offsets]), np.concatenate(offsets)
+            keys = self._keys(cls, np.append(np.concatenate(codes), np.zeros(self.pad, np.int64)), starts)
             cls["tables"] = []
             for r in range(keys.shape[0]):
                 by = np.argsort(keys[r], kind="stable")
                 cls["tables"].append((keys[r][by], owner[by], offset[by]))
             self.classes.append(cls)
 
+    def _repeat(self, cls: dict, codes: list[np.ndarray], most: list[int], recall: float, samples: int, rng: np.random.Generator, trials: int = 150, rounds: int = 8) -> None:
+        """Draws the walks and samples of a class: as many repetitions as bring the share recall of items, edited to the limit, to their item's key."""
+        w, s = cls["w"], cls["s"]
+        picks = [int(x) for x in rng.integers(0, len(codes), trials)]
+        copies = [edited(codes[i], most[i], rng) for i in picks]
+        phase = [int(rng.integers(0, s)) for _ in picks]
+        # all copies and all originals laid end to end, with the windows that lie in each
+        at = [np.arange(shift, len(c) - w + 1, s) for c, shift in zip(copies, phase, strict=True)]
+        own = [np.arange(len(codes[i]) - w + 1) for i in picks]
+        lay = lambda texts, windows: (np.append(np.concatenate(texts), np.zeros(w, np.int64)), np.concatenate([b + x for b, x in zip(np.cumsum([0] + [len(t) for t in texts])[:-1], windows, strict=True)]))
+        theirs, ours = lay(copies, at), lay([codes[i] for i in picks], own)
+        ends = [np.cumsum([0] + [len(x) for x in windows]).tolist() for windows in (at, own)]
+        met, drawn = np.zeros(trials, bool), []
+        for _ in range(rounds):
+            part = {"w": w, "flips": rng.integers(0, 2, (8, 3 * w, 1 << 10), dtype=np.uint8)}
+            steps = max(2 * w, 1)
+            part["at"] = np.sort(np.stack([rng.permutation(steps)[:samples] for _ in range(8)]), axis=1) if steps >= samples else np.tile(np.arange(steps), (8, 1))
+            part["mix"] = rng.integers(1, 1 << 62, part["at"].shape, dtype=np.int64) | 1
+            left, right = self._keys(part, *theirs), self._keys(part, *ours)
+            hits = np.array([[np.isin(a, b).any() for a, b in zip(left[:, ends[0][t] : ends[0][t + 1]], right[:, ends[1][t] : ends[1][t + 1]], strict=True)] for t in range(trials)])
+            sums = (met[:, None] | np.logical_or.accumulate(hits, axis=1)).mean(axis=0)
+            enough = np.flatnonzero(sums >= recall)
+            take = int(enough[0]) + 1 if len(enough) else 8
+            drawn.append({k: part[k][:take] for k in ("flips", "at", "mix")})
+            met |= hits[:, :take].any(axis=1)
+            if len(enough):
+                break
+        for k in ("flips", "at", "mix"):
+            cls[k] = np.concatenate([d[k] for d in drawn])
+        cls["recall"] = float(met.mean())
+
     @staticmethod
     def _keys(cls: dict, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Keys [repeat, window]: sampled symbols of the walk over each window, mixed."""
@@ -188,9 +237,26 @@ def _runs(codes: np.ndarray, block: int) -> np.ndarray:
     return (h ^ (h >> 18)) & (_GRAMS - 1)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.2, repeats: int = 16, samples: int = 4, items_at_once: int = ITEMS_AT_ONCE) -> DataFrame:
+def _portions(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple[list, list]]:
+    """(ids, texts) of about that many characters at most, or of one longer text."""
+    for b in batches:
+        ids, texts, size = [], [], 0
+        for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            if texts and size + len(t or "") > chars:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(i)
+            texts.append(t)
+            size += len(t or "")
+        yield ids, texts
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.2, recall: float = 0.97, samples: int = 4, items_at_once: int = ITEMS_AT_ONCE, chars_at_once: int = 2_000_000) -> DataFrame:
     """(doc_id, item_id, distance, item_words, at_word): the best match of each item in each document, within ratio edits a word.
 
+    recall: the share of matches edited to the limit of ratio that are found; of
+    less edited ones more are, of unedited ones all.
+
     Words are lower-cased and free of ASCII punctuation. Null or empty texts and
     items match nothing, repeated documents are reported each for itself,
     repeated item rows once per row, and extra columns are ignored.
@@ -201,11 +267,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.2, repeat
     out = None
     for part in range(n_parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)) == part).collect()  # about items_at_once rows
-        index = Index(sorted((tuple(r) for r in rows), key=str), ratio, repeats, samples)
+        index = Index(sorted((tuple(r) for r in rows), key=str), ratio, recall, samples)
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for b in sliced(batches, 1000):
-                ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for ids, texts in _portions(sliced(batches, 1000), chars_at_once):
                 hits = [(ids[d], *rest) for d, *rest in index.matches(texts)] if index.classes else []
                 cols = list(zip(*hits, strict=True)) or [()] * 5
                 types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]

@@ -150,6 +150,44 @@ def test_decontamination(spark):
     assert decontaminate.find_leaks(frame(spark, rows), frame(spark, [], "item_id long, text string")).count() == 0
 
 
+def test_decontamination_against_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    items = [(i, prose(400 + i, n, 2000)) for i, n in enumerate((1, 3, 5, 8, 12, 15, 30, 59, 71, 100, 142, 300))]
+    rows = []
+    for n in range(48):
+        codes = np.array([int(w[1:]) + 1 for w in items[n % 12][1].split()])
+        text = " ".join("x" if c == 0 else f"w{c - 1}" for c in decontaminate.edited(codes, int(rng.integers(0, len(codes) // 3 + 1)), rng))
+        rows.append((n, f"{prose(800 + n, 30, 2000)} {text} {prose(900 + n, int(rng.integers(0, 90)), 2000)}"))
+    want = {}
+    for d, text in rows:
+        for i, item in items:
+            distance = decontaminate.infix_distance(item.split(), text.split(), len(item.split()))[0]
+            if distance <= len(item.split()) // 5:
+                want[d, i] = distance
+    assert brute_infix(items[7][1].split(), rows[7][1].split()) == decontaminate.infix_distance(items[7][1].split(), rows[7][1].split(), 59)[0]
+    got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.find_leaks(frame(spark, rows), frame(spark, items, "item_id long, text string")).collect()}
+    assert got.items() <= want.items() and len(got) >= 0.97 * len(want)
+    assert all(k in got for k, distance in want.items() if distance == 0)
+
+
+@pytest.mark.parametrize("words", [10, 15, 24, 59, 71, 100, 142, 300])
+def test_decontamination_at_the_limit(words):
+    rng = np.random.default_rng(words)
+    items = [(i, prose(5000 + i, words, 5000)) for i in range(40)]
+    index = decontaminate.Index(items, 0.2, 0.97, 4)
+    assert all(c["recall"] >= 0.97 for c in index.classes)
+    texts, hits = [], 0
+    for i, item in items:
+        for spread in (1.0, 0.5):  # edits anywhere, or in the first half alone
+            part = np.array([int(w[1:]) + 1 for w in item.split()])
+            cut = int(len(part) * spread)
+            codes = np.concatenate([decontaminate.edited(part[:cut], len(part) // 5, rng), part[cut:]])
+            texts.append((i, f"{prose(i, 37, 5000)} " + " ".join("x" if c == 0 else f"w{c - 1}" for c in codes) + f" {prose(i + 1, 41, 5000)}"))
+    for n, item_id, *_ in index.matches([t for _, t in texts]):
+        hits += item_id == texts[n][0]
+    assert hits / len(texts) >= 0.92, hits / len(texts)
+
+
 def language_text(lang, seed, n=60):
     parts = {"xx": ["ka", "to", "mi", "ren"], "yy": ["sch", "ein", "ung", "ber"], "zz": ["eau", "oux", "ille", "tre"]}[lang]
     rng = np.random.default_rng(seed)
@@ -533,6 +571,21 @@ def test_neighbours(spark):
     assert ann.search(vectors.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("dimension", [64, 100])
+def test_neighbours_among_equal_vectors(spark, dimension):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2000, dimension))
+    x[rng.permutation(2000)[:500]] = x[3]
+    x[rng.permutation(2000)[:40]] = 2.5 * x[3]
+    vectors = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(vectors, F.col("vec_id") % 20 == 0, k=20, list_rows=300, recall=1.0, probe=1e300, beam=1 << 20).toPandas()
+    for q in range(0, 2000, 20):
+        s = np.cumsum(x * x[q], axis=1)[:, -1]
+        order = [int(i) for i in np.lexsort((np.arange(2000), -s)) if i != q][:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert mine.vec_id.tolist() == order and mine.score.tolist() == s[order].tolist()
+
+
 def test_neighbours_among_many_lists(spark):
     x = np.random.default_rng(5).normal(size=(8000, 48))
     x /= np.linalg.norm(x, axis=1)[:, None]
