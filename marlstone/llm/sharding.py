@@ -20,8 +20,8 @@ from marlstone.llm.common import saved
 
 #: Text bytes and rows of a bucket, on average: a bucket is one array while it is permuted, in time that grows with the square of its rows.
 BUCKET_BYTES, BUCKET_ROWS = 8 << 20, 1000
-#: Bytes of a task that permutes and writes buckets.
-TASK_BYTES = 64 << 20
+#: Bytes of a task that permutes and writes buckets, and the most tasks, beyond which their share grows.
+TASK_BYTES, MOST_TASKS = 8 << 20, 100_000
 
 
 def _best(key: Column, shards: int, seed: int) -> Column:
@@ -65,14 +65,18 @@ def external_shuffle(docs: DataFrame, shards: int, seed: int = 20240607, bucket_
     largest, most, total = keys.groupBy("shard").agg(F.sum("bytes").alias("b"), F.count("*").alias("n")).agg(F.max("b"), F.max("n"), F.sum("b")).first()
     buckets = max(1, -(-(largest or 0) // bucket_bytes), -(-(most or 0) // bucket_rows))
     hot = saved(keys.groupBy("h").count().where(F.col("count") > bucket_rows).select("h"))  # at most a row per bucket_rows rows
+    numbered = lambda rows: rows.withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
+    counted = keys
     if not hot.isEmpty():
         copies = placed.join(hot, "h", "left_semi").groupBy("rec", "shard", "h").agg(F.count("*").alias("n"))
         dealt = copies.select("rec", "shard", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("c"), "h").select("rec", "shard", F.xxhash64("h", "c").alias("h"))
         placed = placed.join(hot, "h", "left_anti").select("rec", "shard", "h").union(dealt)
-    placed = placed.select("rec", "shard", F.pmod("h", F.lit(buckets)).cast("int").alias("bucket"))
-    tasks = max(1, -(-(total or 0) // TASK_BYTES))
-    together = max(1, shards * buckets // tasks)  # neighbouring buckets of a task, so that shards are few files
-    counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+        counted = placed
+    placed = numbered(placed.select("rec", "shard", "h"))
+    share = max(TASK_BYTES, (total or 0) // MOST_TASKS) * shards * buckets // max(1, total or 0)
+    together = max(1, min(buckets, share))  # neighbouring buckets of a shard in a task, so that shards are few files
+    tasks = shards * -(-buckets // together)
+    counts = numbered(counted).groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     near = placed.withColumn("near", F.floor(F.col("bucket") / together).cast("int")).repartition(tasks, "shard", "near")
