@@ -8,7 +8,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 #: Abbreviations by which address words count as equal.
 ADDRESS_SYNONYMS = {
@@ -99,3 +99,22 @@ def nfkc(text: pd.Series) -> pd.Series:
 def folded(text: pd.Series) -> pd.Series:
     """Case folding, for comparisons that ignore case in every script."""
     return text.map(lambda t: t if t is None else t.casefold())
+
+
+def forms(text: str | None) -> list[str] | None:
+    """What a text is compared as where case and HTML entities don't count: case-folded, and unescaped as well if that differs."""
+    if text is None:
+        return None
+    low = text.casefold()
+    plain = html.unescape(low) if "&" in low else low
+    return [low] if plain == low else [low, plain]
+
+
+@pandas_udf(ArrayType(StringType()))
+def match_forms(text: pd.Series) -> pd.Series:
+    return text.map(forms)
+
+
+@pandas_udf(ArrayType(ArrayType(StringType())))
+def match_forms_of_each(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda each: None if each is None else [forms(t) for t in each])

@@ -19,9 +19,17 @@ def clean(c: Column) -> Column:
     return F.nullif(trimmed(c), F.lit(""))
 
 
+def compatible(c: Column) -> Column:
+    """NFKC; ASCII text is its own form and stays in the JVM."""
+    from marlstone.functions.fuzzy import nfkc
+
+    other = c.rlike(r"[^\x00-\x7F]")
+    return F.when(other, nfkc(F.when(other, c))).otherwise(c)
+
+
 def normalize_title(c: Column) -> Column:
-    """Punctuation and underscores to spaces, white space collapsed, lower case; null becomes empty. Compatibility forms: see nfkc()."""
-    spaced = F.regexp_replace(F.regexp_replace(c, r"(?U)[^\w\s]|_", " "), r"(?U)\s+", " ")
+    """Compatibility forms folded, all but letters and numbers to spaces, white space collapsed, lower case; null becomes empty."""
+    spaced = F.regexp_replace(F.regexp_replace(compatible(c), r"[^\p{L}\p{N}\s]", " "), r"(?U)\s+", " ")
     return F.coalesce(F.lower(F.trim(spaced)), F.lit(""))
 
 
@@ -69,6 +77,38 @@ def url_host(c: Column) -> Column:
     return F.lower(F.try_parse_url(c, F.lit("HOST")))
 
 
+def url_origin(c: Column) -> Column:
+    """scheme://host[:port], lower-cased."""
+    return F.nullif(F.lower(F.regexp_extract(c, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#@]+)", 1)), F.lit(""))
+
+
+def same_host(a: Column, b: Column) -> Column:
+    return F.coalesce(url_host(a) == url_host(b), F.lit(False))
+
+
+def url_joined(base: Column, link: Column) -> Column:
+    """link as seen from the page base: absolute as it is, //host with the scheme, /path with the origin, ?query and relative paths beside the page."""
+    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    bare = F.regexp_extract(base, r"^([^?#]*)", 1)
+    folder = F.when(bare.rlike(r"^[^:]+://[^/]*$"), F.concat(bare, F.lit("/"))).otherwise(F.regexp_extract(bare, r"^(.*/)", 1))
+    root = F.regexp_extract(base, r"^([^:]+://[^/?#]+)", 1)
+    return (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link).when(link.startswith("//"), F.concat(scheme, F.lit(":"), link)).when(link.startswith("/"), F.concat(root, link))
+        .when(link.startswith("?"), F.concat(bare, link)).otherwise(F.concat(folder, link))
+    )
+
+
+def url_slug(c: Column) -> Column:
+    """The last part of a URL's path; null if there is none."""
+    return F.nullif(F.regexp_extract(F.regexp_replace(F.try_parse_url(c, F.lit("PATH")), r"/+$", ""), r"([^/]+)$", 1), F.lit(""))
+
+
+def permissive_number(c: Column, kind: str = "bigint") -> Column:
+    """A whole or decimal number written as text, else null; blank is null."""
+    text = trimmed(c.cast("string"))
+    return F.when(text.rlike(r"^[+-]?\d+$" if kind == "bigint" else r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"), text.try_cast(kind))
+
+
 def content_type(header: Column) -> Column:
     return F.lower(F.trim(F.substring_index(header, ";", 1)))
 

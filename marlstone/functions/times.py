@@ -33,6 +33,18 @@ def all_day_text(first: Column, last: Column) -> Column:
     return F.when(first == last, day(first)).otherwise(F.concat(day(first), F.lit(" – "), day(last)))
 
 
+def offset_text(instant: Column, zone: Column) -> Column:
+    """The offset of a zone at an instant, as +HH:MM or -HH:MM."""
+    minutes = ((F.unix_timestamp(F.from_utc_timestamp(instant, zone)) - F.unix_timestamp(instant)) / 60).cast("int")
+    return F.format_string("%s%02d:%02d", F.when(minutes < 0, "-").otherwise("+"), F.floor(F.abs(minutes) / 60), F.abs(minutes) % 60)
+
+
+def iso_offset(c: Column) -> Column:
+    """The offset that an ISO 8601 time ends in (Z is +00:00), else null."""
+    found = F.regexp_extract(c, r"(Z|[+-]\d{2}:?\d{2})$", 1)
+    return F.when(found == "Z", "+00:00").when(found != "", F.concat(F.substring(found, 1, 3), F.lit(":"), F.substring(found, -2, 2)))
+
+
 def epoch_instant(c: Column, millis: bool = False) -> Column:
     """Seconds (or milliseconds) since 1970 within 1990 to 2100; else null."""
     seconds = c.cast("double") / (1000 if millis else 1)

@@ -78,5 +78,15 @@ def assembled(verdicts: DataFrame, total: DataFrame) -> DataFrame:
     return each.groupBy().agg(F.coalesce(F.bool_or("r.blocking"), F.lit(False)).alias("blocked"), pick(F.col("r.blocking")).alias("blocking"), pick(~F.col("r.blocking")).alias("notes"), pick(F.col("r.alert")).alias("alerts"))
 
 
+def run_totals(records: DataFrame) -> DataFrame:
+    """One row of a run's counts: spaces seen, sources that ran, were skipped, failed, carried forward or escalated, and events."""
+    on = lambda c: F.coalesce(F.col(c), F.lit(False))
+    status = F.col("status")
+    return records.agg(
+        F.count_distinct("space_id").alias("spaces_seen"), F.count("*").alias("sources"), F.count_if(~status.isin("skipped", "blocked", *FAILED)).alias("ran"), F.count_if(status == "skipped").alias("skipped"), F.count_if(status.isin("blocked", *FAILED)).alias("failed"),
+        F.count_if(on("carried_forward")).alias("carried_forward"), F.count_if(on("escalated")).alias("escalated"), F.coalesce(F.sum("event_count"), F.lit(0)).alias("events"),
+    )
+
+
 def repair_candidates(zero_streaks: DataFrame, nights: int = REPAIR_AFTER) -> DataFrame:
     return zero_streaks.where(F.col("streak") >= nights)

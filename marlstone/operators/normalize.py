@@ -89,6 +89,14 @@ def normalize(raws: DataFrame, spaces: DataFrame, now: Column, calendar_zone: Co
     return events.withColumns({"disposition": disposition, "reason": reason, "quarantine": F.when(dropped.isNull(), held)}).drop("zone", "contradiction")
 
 
+def day_order() -> list[Column]:
+    """Raw events by local day, whole days first, then time and uid."""
+    from marlstone.sources.base import day_of
+
+    local = F.coalesce(F.from_utc_timestamp("start_instant", F.coalesce("tz", "source_tz", F.lit("UTC"))).cast("timestamp_ntz"), F.col("start_local"))
+    return [day_of(), F.desc(F.coalesce("all_day", F.lit(False))), local, F.col("source_uid")]
+
+
 def accepted(normalized: DataFrame) -> DataFrame:
     """Publishable events, by start and uid when written."""
     return normalized.where(F.col("disposition") == "event").drop("disposition", "reason")

@@ -1,30 +1,34 @@
-"""Near-duplicate events: blocked interval join, fuzzy scores, islands, merge.
+"""Near-duplicate events: blocked interval join, fuzzy scores, clusters, merge.
 
 Blocking turns the 30-minute window into an equi-join: starts fall into
-half-hour buckets and the probe side looks into the neighbouring ones. Only
-events with a match go on. Chains of their starts with gaps of at most the
-window form time islands, which hold every component of the pair graph; the
-merge runs per island, so no graph iteration is needed.
+half-hour buckets and the probe side looks into the neighbouring ones. Across
+spaces the join also takes the house number, which two matching addresses that
+begin with one share, or any number in them. Pairs carry keys, titles and
+addresses only. Matches are the edges of a graph whose components decide, as ids
+and scores, who absorbs whom; whole rows then meet per winner.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
-from datetime import timedelta
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marlstone.functions.fuzzy import address_score, address_similarity, title_score, title_similarity
+from marlstone.functions.fuzzy import LEAST_ADDRESS_WORDS, address_similarity, title_similarity
 from marlstone.functions.identity import content_hash
+from marlstone.functions.text import normalize_title
+from marlstone.operators.components import components
 from marlstone.staging import staged
 
 #: Fixed thresholds of the two passes.
 WINDOW_SECONDS, WITHIN, ACROSS, ADDRESS, NEAR_MISS = 1800, 85.0, 92.0, 90.0, 10.0
-SPAN = timedelta(seconds=WINDOW_SECONDS)
+#: Most near misses that a report lists.
+NEAR_MISSES = 500
+#: What pairs are judged by.
+NARROW = ["uid", "space_id", "title", "address", "start_utc"]
 #: Fields a merge may fill, in the order in which it does.
 FIELDS = ["end_utc", "location_name", "address", "url", "price", "description", "categories", "summary_line", "rrule"]
 HASHED = {"end_utc", "location_name", "address", "url", "description"}
@@ -45,22 +49,31 @@ def trusted(events: DataFrame, sources: DataFrame) -> DataFrame:
     return events.drop("trust").join(known, ["space_id", "source_label"], "left").na.fill(0, ["trust"])
 
 
-def window_pairs(events: DataFrame, block: Column | list[Column], start: str = "start_utc", key: str = "uid", seconds: int = WINDOW_SECONDS) -> DataFrame:
-    """(left, right): each pair of rows, as structs, in one block with starts at most seconds apart, once (left is earlier; ties by key)."""
+def window_pairs(events: DataFrame, block: Column | list[Column], start: str = "start_utc", key: str = "uid", seconds: int = WINDOW_SECONDS, later: DataFrame | None = None) -> DataFrame:
+    """(left, right): each pair of rows, as structs, in one block with starts at most seconds apart, once (left is earlier; ties by key).
+
+    later: rows to take the right side from, events by default; of equal columns.
+    """
     blocks = block if isinstance(block, list) else [block]
-    at = F.unix_micros(F.col(start).cast("timestamp"))
-    rows = events.select(F.struct("*").alias("row"), at.alias("at"), F.floor(at / (seconds * 1_000_000)).alias("bucket"), F.col(key).alias("k"), *[b.alias(f"b{i}") for i, b in enumerate(blocks)])
     names = [f"b{i}" for i in range(len(blocks))]
-    right = rows.select(F.col("row").alias("right"), F.col("at").alias("r_at"), F.col("k").alias("r_k"), "bucket", *names)
-    left = rows.withColumn("bucket", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1))).select(F.col("row").alias("left"), F.col("at").alias("l_at"), F.col("k").alias("l_k"), "bucket", *names)
-    near = (F.col("r_at") - F.col("l_at")).between(0, seconds * 1_000_000) & ((F.col("l_at") < F.col("r_at")) | (F.col("l_k") < F.col("r_k")))
+
+    def keyed(rows: DataFrame, side: str) -> DataFrame:
+        at = F.unix_micros(F.col(start).cast("timestamp"))
+        return rows.select(F.struct("*").alias(side), at.alias(f"{side}_at"), F.floor(at / (seconds * 1_000_000)).alias("bucket"), F.col(key).alias(f"{side}_k"), *[b.alias(n) for b, n in zip(blocks, names, strict=True)])
+
+    right = keyed(events if later is None else later, "right")
+    left = keyed(events, "left").withColumn("bucket", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)))
+    near = (F.col("right_at") - F.col("left_at")).between(0, seconds * 1_000_000) & ((F.col("left_at") < F.col("right_at")) | (F.col("left_k") < F.col("right_k")))
     return left.join(right, ["bucket", *names]).where(near).select("left", "right")
 
 
 def scored_pairs(events: DataFrame, across: bool) -> DataFrame:
-    """Compared pairs with score, address_score and outcome: match, near_miss_score, near_miss_address or null."""
-    block = F.lit(0) if across else F.col("space_id")
-    pairs = window_pairs(events, block)
+    """All pairs in the window with score, address_score and outcome: match, near_miss_score, near_miss_address or null."""
+    pairs = window_pairs(events.select(*NARROW), F.lit(0) if across else F.col("space_id"))
+    return _judged(pairs, across)
+
+
+def _judged(pairs: DataFrame, across: bool) -> DataFrame:
     if across:
         pairs = pairs.where("left.space_id <> right.space_id")
     least = ACROSS if across else WITHIN
@@ -72,94 +85,114 @@ def scored_pairs(events: DataFrame, across: bool) -> DataFrame:
     return out.withColumn("outcome", outcome)
 
 
-def islands(events: DataFrame, by: list[str], start: str = "start_utc", seconds: int = WINDOW_SECONDS) -> DataFrame:
-    """events with island: rows whose starts chain by gaps of at most seconds share one.
+def matches(events: DataFrame, across: bool) -> DataFrame:
+    """(u, v, score, address_score) of the matching pairs, found in blocks that hold them all.
 
-    Chains are found over the occupied time buckets, of which a year has some
-    seventeen thousand at half an hour however many events there are.
+    Across spaces an address of fewer words than count matches nothing. If both
+    begin with a number, it is the same one; if both hold numbers, they share one;
+    only addresses without any number meet all others of their half-hours.
     """
-    bucket = F.floor(F.unix_micros(F.col(start).cast("timestamp")) / (seconds * 1_000_000))
-    marked = events.withColumn("_bucket", bucket)
-    w = Window.partitionBy(*by).orderBy("_bucket")
-    jump = F.coalesce((F.col("_bucket") - F.lag("_bucket").over(w) > 1).cast("long"), F.lit(1))
-    chains = marked.select(*by, "_bucket").distinct().withColumn("_jump", jump).withColumn("island", F.sum("_jump").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_jump")
-    return marked.join(chains, [*by, "_bucket"]).drop("_bucket")
+    narrow = events.select(*NARROW)
+    if not across:
+        pairs = window_pairs(narrow, F.col("space_id"))
+    else:
+        words = F.split(normalize_title(F.col("address")), " ")
+        placed = narrow.withColumn("_words", words).where(F.size("_words") >= LEAST_ADDRESS_WORDS)
+        number = r"^\p{Nd}+$"
+        lead = F.when(F.get("_words", F.lit(0)).rlike(number), F.get("_words", F.lit(0)))
+        placed = staged(placed.withColumns({"_lead": lead, "_numbers": F.array_distinct(F.filter("_words", lambda w: w.rlike(number)))}).drop("_words"))
+        led, some, none = placed.where("_lead is not null"), placed.where("_lead is null and size(_numbers) > 0"), placed.where("size(_numbers) = 0")
+        each = lambda rows: rows.withColumn("_number", F.explode("_numbers"))
+        shared = F.col("left._number") == F.array_min(F.array_intersect("left._numbers", "right._numbers"))  # once, however many they share
+        parts = [window_pairs(led, F.col("_lead"))]
+        parts += [window_pairs(each(a), F.col("_number"), later=each(b)).where(shared) for a, b in ((some, some), (some, led), (led, some))]
+        parts += [window_pairs(a, F.lit(0), later=b) for a, b in ((none, placed), (placed.where("size(_numbers) > 0"), none))]
+        ends = lambda side: F.struct(*[F.col(f"{side}.{c}").alias(c) for c in NARROW]).alias(side)
+        pairs = reduce(DataFrame.union, [p.select(ends("left"), ends("right")) for p in parts])
+    return _judged(pairs, across).where("outcome = 'match'").select(F.col("left.uid").alias("u"), F.col("right.uid").alias("v"), "score", "address_score")
+
+
+def near_misses(pairs: DataFrame, most: int = NEAR_MISSES) -> tuple[DataFrame, DataFrame]:
+    """(the ``most`` nearest misses of scored_pairs, best first; one row with how many there are and how many are not listed)."""
+    missed = pairs.where("outcome like 'near_miss%'").select(F.col("left.uid").alias("left_uid"), F.col("right.uid").alias("right_uid"), "score", "address_score", "outcome")
+    listed = missed.orderBy(F.desc("score"), "left_uid", "right_uid").limit(most)
+    return listed, missed.agg(F.count("*").alias("found")).select("found", F.greatest(F.col("found") - most, F.lit(0)).alias("not_listed"))
+
+
+RANK = ["trust", "off_site", "richness", "uid"]
+
+
+def _order() -> list[Column]:
+    return [F.desc("trust"), F.col("off_site").cast("int"), F.desc("richness"), F.col("uid")]
 
 
 def ranked(events: DataFrame, by: list[str]) -> DataFrame:
     """events with winner_rank: trust first, then on site, then the fuller record, then uid."""
-    w = Window.partitionBy(*by).orderBy(F.desc("trust"), F.col("off_site").cast("int"), F.desc("richness"), "uid")
-    return events.withColumn("winner_rank", F.row_number().over(w))
+    return events.withColumn("winner_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*_order())))
+
+
+def _better(row) -> tuple:
+    return -row["trust"], bool(row["off_site"]), -row["richness"], row["uid"]
+
+
+def absorptions(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(uid, base, score, address_score): who goes into whom. edges: matches(); nodes: RANK of every uid in them.
+
+    By rank, each event not yet taken becomes a base and takes the untaken events
+    that match it. Components of the match graph are settled side by side, with ids
+    and scores alone.
+    """
+    hashed = edges.select(F.xxhash64("u").alias("u"), F.xxhash64("v").alias("v"))  # two uids of one hash share a group, no more
+    found = components(hashed)
+    sides = edges.join(found.select(F.col("node").alias("n"), F.col("component").alias("g")), F.xxhash64("u") == F.col("n")).drop("n")
+    members = nodes.select(*RANK).join(found.select("node", F.col("component").alias("group")), F.xxhash64("uid") == F.col("node")).drop("node")
+
+    def settle(own: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
+        near: dict[str, list[tuple]] = {}
+        for u, v, score, place in links[["u", "v", "score", "address_score"]].itertuples(index=False):
+            near.setdefault(u, []).append((v, score, place))
+            near.setdefault(v, []).append((u, score, place))
+        order = sorted(own.to_dict("records"), key=_better)
+        taken, out = set(), []
+        for row in order:
+            if row["uid"] in taken:
+                continue
+            taken.add(row["uid"])
+            for other, score, place in near.get(row["uid"], []):
+                if other not in taken:
+                    taken.add(other)
+                    out.append((other, row["uid"], score, place))
+        return pd.DataFrame(out, columns=["uid", "base", "score", "address_score"])
+
+    return members.groupBy("group").cogroup(sides.groupBy("g")).applyInPandas(settle, "uid string, base string, score double, address_score double")
 
 
 def _has(value) -> bool:
     return value is not None and not (isinstance(value, float) and value != value) and value is not pd.NaT and (len(value) > 0 if hasattr(value, "__len__") else True)
 
 
-def _fold(rows: list[dict], across: bool, preferences: list[tuple[str, str, list[str]]]) -> Iterator[tuple[dict, list[tuple]]]:
-    """Survivors of one island with what each absorbed: (loser uid, score, address score, filled, preferred)."""
-    seconds = lambda a, b: abs((a["start_utc"] - b["start_utc"]).total_seconds())
-
-    def verdict(a: dict, b: dict):
-        if (a["space_id"] == b["space_id"]) == across or seconds(a, b) > WINDOW_SECONDS:
-            return None
-        score = title_score(a["title"], b["title"])
-        if score < (ACROSS if across else WITHIN):
-            return None
-        place = address_score(a["address"], b["address"]) if across else None
-        return None if across and place < ADDRESS else (score, place)
-
-    def owner(name: str, pair: tuple[dict, dict]) -> dict | None:
-        return next((e for e in pair for space, label, fields in preferences if name in fields and (e["space_id"], e["source_label"]) == (space, label)), None)
-
-    # clusters: matches link neighbours in time order
-    rows = sorted(rows, key=lambda e: (e["start_utc"], e["uid"]))
-    group = list(range(len(rows)))
-
-    def root(i: int) -> int:
-        while group[i] != i:
-            group[i] = i = group[group[i]]
-        return i
-
-    for i, e in enumerate(rows):
-        for j in range(i - 1, -1, -1):
-            if seconds(e, rows[j]) > WINDOW_SECONDS:
-                break
-            if root(i) != root(j) and verdict(e, rows[j]) is not None:
-                group[root(i)] = root(j)
-    clusters: dict[int, list[dict]] = {}
-    for i, e in enumerate(rows):
-        clusters.setdefault(root(i), []).append(e)
-    for members in clusters.values():  # in time order, as rows are
-        times = [e["start_utc"] for e in members]
-        taken = [False] * len(members)
-        for b in sorted(range(len(members)), key=lambda i: members[i]["winner_rank"]):
-            if taken[b]:
+def _merged(base: dict, others: list[dict], preferences: list[tuple[str, str, list[str]]]) -> tuple[dict, list[dict], bool]:
+    """The base with what the others, by rank, give it; what each gave; and whether a hashed field changed."""
+    prefers = lambda e, name: any(name in fields and (e["space_id"], e["source_label"]) == (space, label) for space, label, fields in preferences)
+    kept, absorbed, changed = dict(base), [], False
+    for e in others:
+        filled, preferred = [], []
+        for name in FIELDS:
+            if prefers(base, name):
                 continue
-            base, taken[b] = members[b], True
-            kept, absorbed = dict(base), []
-            near = range(bisect_left(times, times[b] - SPAN), bisect_right(times, times[b] + SPAN))
-            for i in sorted((i for i in near if not taken[i]), key=lambda i: members[i]["winner_rank"]):
-                e, said = members[i], verdict(base, members[i])
-                if said is None:
-                    continue
-                taken[i] = True
-                filled, preferred = [], []
-                for name in FIELDS:
-                    holder = owner(name, (kept, e))
-                    if holder is not None:
-                        if holder is e and _has(e[name]) and e[name] is not kept[name]:
-                            kept[name] = e[name]
-                            preferred.append(name)
-                    elif not _has(kept[name]) and _has(e[name]):
-                        kept[name] = e[name]
-                        filled.append(name)
-                for name, pick in (("first_seen", min), ("last_seen", max)):
-                    seen = [x for x in (kept[name], e[name]) if _has(x)]
-                    kept[name] = pick(seen) if seen else None
-                kept["_rehash"] = kept.get("_rehash", False) or bool(HASHED & {*filled, *preferred})
-                absorbed.append((e["uid"], *said, filled, preferred))
-            yield kept, absorbed
+            if prefers(e, name):
+                if _has(e[name]) and e[name] is not kept[name]:
+                    kept[name] = e[name]
+                    preferred.append(name)
+            elif not _has(kept[name]) and _has(e[name]):
+                kept[name] = e[name]
+                filled.append(name)
+        for name, pick in (("first_seen", min), ("last_seen", max)):
+            seen = [x for x in (kept[name], e[name]) if _has(x)]
+            kept[name] = pick(seen) if seen else None
+        changed = changed or bool(HASHED & {*filled, *preferred})
+        absorbed.append({"uid": e["uid"], "score": e["_score"], "address_score": e["_place"], "filled": filled, "preferred": preferred})
+    return kept, absorbed, changed
 
 
 def merge_pass(events: DataFrame, sources: DataFrame, across: bool, preferences: list[tuple[str, str, list[str]]] = ()) -> DataFrame:
@@ -168,28 +201,26 @@ def merge_pass(events: DataFrame, sources: DataFrame, across: bool, preferences:
     A winner keeps its uid and is compared, unmerged, with every member of its
     cluster; members that only hang on through others go on among themselves.
     """
-    by = [] if across else ["space_id"]
-    events = events.drop("absorbed", "winner_rank", "richness", "island")
-    match = scored_pairs(events, across).where("outcome = 'match'")
-    involved = staged(match.select(F.explode(F.array("left.uid", "right.uid")).alias("uid")).distinct())
+    events = events.drop("absorbed", "winner_rank", "richness")
+    edges = staged(matches(events, across))
+    involved = edges.select(F.explode(F.array("u", "v")).alias("uid")).distinct()
     ready = trusted(events.join(involved, "uid", "left_semi"), sources).withColumn("richness", richness())
-    grouped = ranked(islands(ready, by), [*by, "island"])
+    goes = staged(absorptions(edges, ready))
     took = "array<struct<uid:string,score:double,address_score:double,filled:array<string>,preferred:array<string>>>"
     out_columns = events.columns
-    schema = StructType([*grouped.select(*out_columns).schema.fields, *StructType.fromDDL(f"absorbed {took}, _rehash boolean").fields])
+    schema = StructType([*events.schema.fields, *StructType.fromDDL(f"absorbed {took}, _rehash boolean").fields])
+    bases = goes.select(F.col("base").alias("uid")).distinct()
+    stars = ready.join(bases, "uid", "left_semi").withColumns({"_base": F.col("uid"), "_score": F.lit(None).cast("double"), "_place": F.lit(None).cast("double")})
+    lost = ready.join(goes.select("uid", F.col("base").alias("_base"), F.col("score").alias("_score"), F.col("address_score").alias("_place")), "uid")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.astype(object).where(frame.notna(), None)
-        done = []
-        for kept, absorbed in _fold(frame.to_dict("records"), across, list(preferences)):
-            row = {c: kept[c] for c in out_columns}
-            row["absorbed"] = [dict(zip(("uid", "score", "address_score", "filled", "preferred"), a, strict=True)) for a in absorbed]
-            row["_rehash"] = kept.get("_rehash", False)
-            done.append(row)
-        return pd.DataFrame(done, columns=[*out_columns, "absorbed", "_rehash"])
-
-    single = events.join(involved, "uid", "left_anti").select(*out_columns, F.array().cast(took).alias("absorbed"))
-    merged = grouped.groupBy(*by, "island").applyInPandas(run, schema)
+        rows = frame.astype(object).where(frame.notna(), None).to_dict("records")
+        base = next(r for r in rows if r["uid"] == r["_base"])
+        kept, absorbed, changed = _merged(base, sorted((r for r in rows if r is not base), key=_better), list(preferences))
+        return pd.DataFrame([{**{c: kept[c] for c in out_columns}, "absorbed": absorbed, "_rehash": changed}], columns=[*out_columns, "absorbed", "_rehash"])
+
+    single = events.join(bases.union(goes.select("uid")), "uid", "left_anti").select(*out_columns, F.array().cast(took).alias("absorbed"))
+    merged = stars.unionByName(lost).groupBy("_base").applyInPandas(run, schema)
     fresh = content_hash(*[F.col(c) for c in ("title", "start_utc", "end_utc", "location_name", "address", "url", "description")])
     merged = merged.withColumn("content_hash", F.when(F.col("_rehash"), fresh).otherwise(F.col("content_hash"))).drop("_rehash")
     return single.unionByName(merged)

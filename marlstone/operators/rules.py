@@ -5,53 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.functions.fuzzy import match_forms, match_forms_of_each
 from marlstone.functions.text import location_state
 
 RULES = ("title_excludes", "location_excludes", "categories_exclude", "title_contains", "location_contains")
 #: A source whose filters drop this share of at least so many events is suspicious.
 LOUD_SHARE, LOUD_EVENTS = 0.9, 5
-#: Named HTML entities that patterns and texts commonly differ in, with what they stand for; html_unescape covers the rest.
-ENTITIES = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#039;": "'", "&apos;": "'", "&nbsp;": " "}
+NONE = "array<string>"
 
 
-def _plain(c: Column) -> Column:
-    for entity, ch in ENTITIES.items():
-        if entity != "&amp;":
-            c = F.replace(c, F.lit(entity), F.lit(ch))
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+def meets(text_forms: Column, pattern_forms: Column) -> Column:
+    """Whether a pattern is part of a text, in any of the forms of either (fuzzy.forms)."""
+    return F.exists(text_forms, lambda t: F.exists(pattern_forms, lambda p: F.contains(t, p)))
 
 
-def contains_pattern(text: Column, pattern: Column) -> Column:
-    """Case-insensitive containment, entities in either unescaped or not; empty texts and patterns never match."""
-    t, p = F.lower(text), F.lower(pattern)
-    found = F.contains(t, p) | F.contains(_plain(t), p) | F.contains(t, _plain(p)) | F.contains(_plain(t), _plain(p))
-    return F.coalesce((text != "") & (pattern != "") & found, F.lit(False))
+def matching(text: Column, text_forms: Column, patterns: Column, pattern_forms: Column) -> Column:
+    """The patterns found in text, in order: case and entities don't count; empty texts and patterns never match."""
+    each = F.filter(F.coalesce(patterns, F.array().cast(NONE)), lambda p, i: (p != "") & meets(text_forms, F.get(pattern_forms, i)))
+    return F.when(F.coalesce(text, F.lit("")) != "", each).otherwise(F.array().cast(NONE))
 
 
-def matching(text: Column, patterns: Column) -> Column:
-    """The patterns found in text, in order."""
-    return F.filter(F.coalesce(patterns, F.array().cast("array<string>")), lambda p: contains_pattern(text, p))
+def matching_categories(categories: Column, category_forms: Column, patterns: Column, pattern_forms: Column) -> Column:
+    known = F.coalesce(categories, F.array().cast(NONE))
+    return F.flatten(F.transform(known, lambda c, i: matching(c, F.get(category_forms, i), patterns, pattern_forms)))
 
 
-def matching_categories(categories: Column, patterns: Column) -> Column:
-    return F.flatten(F.transform(F.coalesce(categories, F.array().cast("array<string>")), lambda c: matching(c, patterns)))
+def pattern_forms(filters: Column) -> Column:
+    """struct by rule of the forms of its patterns; computed on the registry's rows, once a source."""
+    return F.struct(*[match_forms_of_each(filters[r]).alias(r) for r in RULES])
 
 
-def judged(events: DataFrame, filters: Column | None = None) -> DataFrame:
+def judged(events: DataFrame, filters: Column | None = None, forms: Column | None = None) -> DataFrame:
     """events with rule, pattern (of the drop; null if kept), hits (rule, pattern) and kept_on_missing_location added.
 
-    filters: the struct of schemas.SOURCES; the first rule of the cascade that
-    drops an event owns the drop.
+    filters: the struct of schemas.SOURCES, forms: their pattern_forms; the first
+    rule of the cascade that drops an event owns the drop.
     """
     f = filters if filters is not None else F.col("filters")
     wanted = lambda name: F.coalesce(F.size(f[name]), F.lit(0)) > 0
     state = location_state(F.col("location_name"))
-    out = events.withColumns({
-        "_te": matching(F.col("title"), f["title_excludes"]),
-        "_le": F.when(state == "present", matching(F.col("location_name"), f["location_excludes"])).otherwise(F.array().cast("array<string>")),
-        "_ce": matching_categories(F.col("categories"), f["categories_exclude"]),
-        "_tc": matching(F.col("title"), f["title_contains"]),
-        "_lc": matching(F.col("location_name"), f["location_contains"]),
+    out = events.withColumns({"_forms": forms if forms is not None else pattern_forms(f), "_t": match_forms("title"), "_l": match_forms("location_name"), "_c": match_forms_of_each("categories")})
+    found = lambda text, own, rule: matching(F.col(text), F.col(own), f[rule], F.col(f"_forms.{rule}"))
+    out = out.withColumns({
+        "_te": found("title", "_t", "title_excludes"),
+        "_le": F.when(state == "present", found("location_name", "_l", "location_excludes")).otherwise(F.array().cast(NONE)),
+        "_ce": matching_categories(F.col("categories"), F.col("_c"), f["categories_exclude"], F.col("_forms.categories_exclude")),
+        "_tc": found("title", "_t", "title_contains"),
+        "_lc": found("location_name", "_l", "location_contains"),
         "_missing": state != "present",
     })
     some = lambda c: F.size(c) > 0
@@ -74,12 +74,14 @@ def judged(events: DataFrame, filters: Column | None = None) -> DataFrame:
         credit("title_contains", F.col("_tc"), passed & later & wanted("title_contains")), credit("location_contains", F.col("_lc"), owner.isNull() & wanted("location_contains") & ~F.col("_missing")),
     )
     pattern = F.when(owner == "title_excludes", first("_te")).when(owner == "location_excludes", first("_le")).when(owner == "categories_exclude", first("_ce"))
-    return out.withColumns({"pattern": pattern, "hits": hits, "kept_on_missing_location": owner.isNull() & lacking}).drop("_te", "_le", "_ce", "_tc", "_lc", "_missing")
+    return out.withColumns({"pattern": pattern, "hits": hits, "kept_on_missing_location": owner.isNull() & lacking}).drop("_te", "_le", "_ce", "_tc", "_lc", "_missing", "_forms", "_t", "_l", "_c")
 
 
 def apply_filters(events: DataFrame, sources: DataFrame) -> DataFrame:
     """Events of every source judged by that source's filters; sources is the registry and is broadcast."""
-    return judged(events.join(F.broadcast(sources.select("space_id", "source_label", "filters")), ["space_id", "source_label"], "left"))
+    known = sources.select("space_id", "source_label", "filters").withColumn("_known", pattern_forms(F.col("filters")))
+    joined = events.join(F.broadcast(known), ["space_id", "source_label"], "left")
+    return judged(joined, forms=F.col("_known")).drop("_known")
 
 
 def drop_tallies(judged_events: DataFrame, sources: DataFrame) -> DataFrame:
@@ -100,6 +102,11 @@ def pattern_tallies(judged_events: DataFrame, sources: DataFrame) -> DataFrame:
     return domain.join(counts, ["space_id", "source_label", "rule", "pattern"], "left").na.fill(0, ["hits"])
 
 
+def kept_without_place(judged_events: DataFrame) -> DataFrame:
+    """(space_id, source_label, kept_on_missing_location): events kept although a location was asked for and they have none."""
+    return judged_events.groupBy("space_id", "source_label").agg(F.count_if("kept_on_missing_location").alias("kept_on_missing_location"))
+
+
 def loud_sources(judged_events: DataFrame) -> DataFrame:
     """(space_id, source_label, total, dropped, drop_rate, loud)."""
     out = judged_events.groupBy("space_id", "source_label").agg(F.count("*").alias("total"), F.count_if(F.col("rule").isNotNull()).alias("dropped"))

@@ -130,6 +130,27 @@ def carried_events(plan: DataFrame, stored: DataFrame, now: Column, horizon_days
     return stored.join(plan.where("action in ('carry', 'replay')").select("source_key", "action"), "source_key").where(within_horizon(now, horizon_days))
 
 
+def http_state(stored: DataFrame, answers: DataFrame) -> DataFrame:
+    """The next (source_key, etag, last_modified, body_sha256, failures) of each source.
+
+    answers: a source's (source_key, outcome, etag, last_modified, body_sha256). A
+    good answer replaces what is known and ends the count of failures; not
+    modified keeps the validators and ends it too; a failure keeps them and counts.
+    """
+    old = stored.select("source_key", F.struct("etag", "last_modified", "body_sha256", "failures").alias("o"))
+    new = answers.select("source_key", F.struct("outcome", "etag", "last_modified", "body_sha256").alias("n"))
+    both = old.join(new, "source_key", "full_outer")
+    fetched, failed = F.col("n.outcome") == "fetched", F.col("n.outcome") == "failed"
+    kept = [F.when(fetched, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in ("etag", "last_modified", "body_sha256")]
+    count = F.when(F.col("n").isNull(), F.coalesce("o.failures", F.lit(0))).when(failed, F.coalesce("o.failures", F.lit(0)) + 1).otherwise(0)
+    return both.select("source_key", *kept, count.cast("int").alias("failures"))
+
+
+def with_runs(source_runs: DataFrame, runs: DataFrame) -> DataFrame:
+    """Per-source history with its run's dry_run and space_filter, as the run says; rows of an unknown run are left out."""
+    return source_runs.drop("dry_run", "space_filter").join(runs.select("run_id", "dry_run", "space_filter"), "run_id")
+
+
 def unchanged_payloads(payloads: DataFrame, state: DataFrame) -> DataFrame:
     """payloads with outcome not_modified where the body's digest is the stored one; state: (source_key, body_sha256)."""
     hashed = payloads.withColumn("body_sha256", F.sha2("body", 256))

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import identity, text, times
-from marlstone.functions.fuzzy import html_unescape
 from marlstone.operators import gates, normalize, resolve, rules, state
 from marlstone.sinks import calendar, feed
 from marlstone.sources import feeds, ics, jsondocs
@@ -195,32 +194,89 @@ def cross_window_pairs(spark, sf_dir):
     return pairs.select(F.col("left.event_id").alias("l"), F.col("right.event_id").alias("r"))
 
 
-def _titled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with part names as titles, in the columns that the resolver takes."""
+#: Words without a letter in common, so that SQL can say how much titles made of them differ.
+WORDS = ["aaaaa", "bbbb", "cccccc", "ddd", "eeeeeee", "ff"]
+
+
+def _events(spark: SparkSession, sf_dir: str, **columns: Column) -> DataFrame:
+    """Events in the columns that the resolver takes; those not given are null."""
     e = read(spark, sf_dir, "events")
-    names = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("pick"), "p_name")
-    e = e.withColumn("pick", F.col("event_id") % 1000).join(names, "pick")
-    null = F.lit(None).cast("string")
-    return e.select(F.col("event_id").cast("string").alias("uid"), F.col("event_type").alias("space_id"), F.concat(F.lit("src"), F.col("user_id") % 3).alias("source_label"), F.col("p_name").alias("title"), instant(F.col("ts")).alias("start_utc"), F.lit(None).cast("timestamp").alias("end_utc"), null.alias("location_name"), F.lit("12 main street oakland").alias("address"), F.when(F.col("event_id") % 2 == 0, F.lit("http://example.org")).alias("url"), null.alias("price"), null.alias("description"), F.array().cast("array<string>").alias("categories"), null.alias("summary_line"), null.alias("rrule"), F.lit(None).cast("timestamp").alias("first_seen"), F.lit(None).cast("timestamp").alias("last_seen"), F.lit("").alias("content_hash"), (F.col("event_id") % 5 == 0).alias("off_site"))
+    have = {"uid": F.col("event_id").cast("string"), "space_id": F.col("event_type"), "source_label": F.concat(F.lit("src"), F.col("user_id") % 3), "start_utc": instant(F.col("ts")), "categories": F.array().cast("array<string>"), "content_hash": F.lit(""), "off_site": F.col("event_id") % 5 == 0, **columns}
+    kinds = {"end_utc": "timestamp", "first_seen": "timestamp", "last_seen": "timestamp"}
+    names = ["uid", "space_id", "source_label", "title", "start_utc", "end_utc", "location_name", "address", "url", "price", "description", "categories", "summary_line", "rrule", "first_seen", "last_seen", "content_hash", "off_site"]
+    return e.select(*[have.get(n, F.lit(None).cast(kinds.get(n, "string"))).alias(n) for n in names])
 
 
 def _trust(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(s, f"src{n}", n * 10) for s in ("view", "click", "purchase", "signup") for n in range(3)], "space_id string, source_label string, trust int")
 
 
-@query()
+MASKS = "(SELECT m, sum(CASE WHEN m & (1 << i) > 0 THEN n ELSE 0 END) + greatest(bit_count(m) - 1, 0) AS len, greatest(bit_count(m) - 1, 0) AS gaps FROM (SELECT CAST(range AS INTEGER) AS m FROM range(64)), (VALUES (0, 5), (1, 4), (2, 6), (3, 3), (4, 7), (5, 2)) w(i, n) GROUP BY m)"
+SCORED = f"""(SELECT l, r, CASE WHEN s.m > 0 AND (a.m = 0 OR b.m = 0) THEN 100.0 ELSE greatest(100 - 100.0 * (a.len + b.len - 2 * least(a.gaps, b.gaps)) / (s.len + g + a.len + s.len + g + b.len), CASE WHEN s.m > 0 THEN 100 - 100.0 * (g + a.len) / (s.len + s.len + g + a.len) ELSE 0 END, CASE WHEN s.m > 0 THEN 100 - 100.0 * (g + b.len) / (s.len + s.len + g + b.len) ELSE 0 END) END AS score
+FROM (SELECT l, r, x & y AS sm, x & ~y AS am, y & ~x AS bm, CASE WHEN x & y > 0 THEN 1 ELSE 0 END AS g FROM (SELECT l.event_id AS l, r.event_id AS r, CAST(l.event_id % 63 + 1 AS INTEGER) AS x, CAST(r.event_id % 63 + 1 AS INTEGER) AS y FROM events l JOIN events r ON {{same}} AND r.ts >= l.ts AND r.ts <= l.ts + INTERVAL 30 MINUTE AND (l.ts < r.ts OR CAST(l.event_id AS VARCHAR) < CAST(r.event_id AS VARCHAR)))) p JOIN {MASKS} s ON s.m = sm JOIN {MASKS} a ON a.m = am JOIN {MASKS} b ON b.m = bm)"""
+FUZZY = SCORED.format(same="l.event_type = r.event_type")
+
+
+def _worded() -> Column:
+    """A title of the words whose bit the event's number has."""
+    mask = F.col("event_id") % 63 + 1
+    return F.array_join(F.array_compact(F.array(*[F.when(mask.bitwiseAND(1 << i) > 0, w) for i, w in enumerate(WORDS)])), " ")
+
+
+@query(f"SELECT CAST(l AS VARCHAR) AS l, CAST(r AS VARCHAR) AS r, round(score, 6) AS score, CASE WHEN score >= 85 THEN 'match' WHEN score >= 75 THEN 'near_miss_score' END AS outcome FROM {FUZZY}")
 def fuzzy_pairs(spark, sf_dir):
     """Within-space pairs and how they were judged."""
-    pairs = resolve.scored_pairs(_titled(spark, sf_dir), across=False)
+    pairs = resolve.scored_pairs(_events(spark, sf_dir, title=_worded()), across=False)
     return pairs.select(F.col("left.uid").alias("l"), F.col("right.uid").alias("r"), F.round("score", 6).alias("score"), "outcome")
 
 
-@query()
+@query(f"SELECT CAST(l AS VARCHAR) AS left_uid, CAST(r AS VARCHAR) AS right_uid, round(score, 6) AS score FROM {FUZZY} WHERE score >= 75 AND score < 85 ORDER BY score DESC, left_uid, right_uid LIMIT 500")
+def near_misses(spark, sf_dir):
+    """The report of pairs that fell just short: the best five hundred."""
+    listed, _ = resolve.near_misses(resolve.scored_pairs(_events(spark, sf_dir, title=_worded()), across=False))
+    return listed.select("left_uid", "right_uid", F.round("score", 6).alias("score"))
+
+
+@query(f"SELECT count(*) AS found, greatest(count(*) - 500, 0) AS not_listed FROM {FUZZY} WHERE score >= 75 AND score < 85")
+def near_miss_count(spark, sf_dir):
+    _, count = resolve.near_misses(resolve.scored_pairs(_events(spark, sf_dir, title=_worded()), across=False))
+    return count
+
+
+def _grouped(spark: SparkSession, sf_dir: str, url: Column | None = None) -> DataFrame:
+    """Events of whole hours and forty titles that no two of are alike: those of one hour and title are one event.
+
+    Addresses begin with a number, hold one, or have none; one title has no address.
+    """
+    pick = F.col("user_id") % 40
+    main = F.when(F.col("event_id") % 2 == 0, " Main Street, Oakland").otherwise(" main st. oakland")
+    address = F.when(pick == 7, None).when(pick == 8, F.concat(F.lit("Harbor"), main)).when(pick % 2 == 0, F.concat(F.lit("Hall "), pick, main)).otherwise(F.concat(pick, main))
+    return _events(spark, sf_dir, title=F.md5(pick.cast("string")), address=address, start_utc=instant(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")), url=url if url is not None else F.when(F.col("event_id") % 2 == 0, "http://example.org"))
+
+
+GROUPED = """(SELECT CAST(event_id AS VARCHAR) AS uid, event_type AS space_id, user_id % 40 AS pick, user_id % 3 AS src, date_trunc('hour', ts) AS h, CASE WHEN event_type IN ('view', 'click', 'purchase', 'signup') THEN (user_id % 3) * 10 ELSE 0 END AS trust, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS off, event_id % 2 = 0 AS even,
+  CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN user_id % 40 = 7 THEN 0 ELSE 1 END AS rich FROM events)"""
+SURVIVED = f"""WITH g AS (SELECT *, row_number() OVER (PARTITION BY space_id, h, pick ORDER BY trust DESC, off, rich DESC, uid) AS n, count(*) OVER (PARTITION BY space_id, h, pick) AS size, bool_or(even) OVER (PARTITION BY space_id, h, pick) AS linked FROM {GROUPED}),
+f AS (SELECT *, CASE WHEN pick = 7 THEN space_id ELSE '' END AS apart, CASE WHEN linked THEN 1 ELSE 0 END + CASE WHEN pick = 7 THEN 0 ELSE 1 END AS rich2 FROM g WHERE n = 1),
+s AS (SELECT *, row_number() OVER (PARTITION BY apart, h, pick ORDER BY trust DESC, off, rich2 DESC, uid) AS n2, count(*) OVER (PARTITION BY apart, h, pick) AS size2, bool_or(linked) OVER (PARTITION BY apart, h, pick) AS linked2 FROM f)
+SELECT uid, space_id, md5(CAST(pick AS VARCHAR)) AS title, CASE WHEN linked2 THEN 'http://example.org' END AS url, CAST(size - 1 AS INTEGER) AS within, CAST(size2 - 1 AS INTEGER) AS across FROM s WHERE n2 = 1"""
+
+
+@query(SURVIVED)
 def dedupe_survivors(spark, sf_dir):
-    done = resolve.dedupe(_titled(spark, sf_dir), _trust(spark))
+    """Both passes: who is left, with what was filled in and how many each took in."""
+    done = resolve.dedupe(_grouped(spark, sf_dir), _trust(spark))
     return done.select("uid", "space_id", "title", "url", F.size(F.coalesce("absorbed_within", F.array())).alias("within"), F.size("absorbed_across").alias("across"))
 
 
+@query(f"""WITH g AS (SELECT *, CASE WHEN even THEN 'u' || uid END AS url, space_id = 'view' AND src = 1 AS pref, row_number() OVER (PARTITION BY space_id, h, pick ORDER BY trust DESC, off, rich DESC, uid) AS n FROM {GROUPED})
+SELECT max(uid) FILTER (WHERE n = 1) AS uid, CASE WHEN bool_or(pref AND n = 1) THEN max(url) FILTER (WHERE n = 1) ELSE coalesce(arg_max(url, n) FILTER (WHERE pref AND url IS NOT NULL), arg_min(url, n) FILTER (WHERE url IS NOT NULL)) END AS url FROM g GROUP BY space_id, h, pick""")
+def field_preferences(spark, sf_dir):
+    """A source preferred for a field gives it even to a winner that has it, and a preferred winner takes none."""
+    url = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("u"), "event_id"))
+    return resolve.merge_pass(_grouped(spark, sf_dir, url), _trust(spark), False, [("view", "src1", ["url"])]).select("uid", "url")
+
+
 TRUST = "(SELECT space_id, 'src' || n AS source_label, n * 10 AS trust FROM (VALUES ('view'), ('click'), ('purchase'), ('signup')) s(space_id), range(3) r(n))"
 
 
@@ -370,29 +426,11 @@ def json_props(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", F.try_variant_get(v, "$.k", "bigint").alias("k"))
 
 
-@query(r"SELECT page_id, len(regexp_extract_all(html, '(?is)<script\b[^>]*>(.*?)</script>', 1)) AS n_scripts, coalesce(regexp_extract_all(html, '(?is)<script\b[^>]*>(.*?)</script>', 1)[1], '') AS first_script FROM pages")
-def html_scripts(spark, sf_dir):
-    found = F.regexp_extract_all("html", F.lit(r"(?is)<script\b[^>]*>(.*?)</script>"), F.lit(1))
-    return read(spark, sf_dir, "pages").select("page_id", F.size(found).cast("long").alias("n_scripts"), F.coalesce(F.try_element_at(found, F.lit(1)), F.lit("")).alias("first_script"))
-
-
-@query(r"""SELECT page_id, list_distinct(regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]*)"', 1)).len() AS n_links, array_to_string(list_sort(list_distinct(regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]*)"', 1))), ' ') AS links FROM pages""")
-def html_links(spark, sf_dir):
-    found = F.array_distinct(F.regexp_extract_all("html", F.lit(r"""(?is)<a\b[^>]*?href="([^"]*)\""""), F.lit(1)))
-    return read(spark, sf_dir, "pages").select("page_id", F.size(found).cast("long").alias("n_links"), F.array_join(F.array_sort(found), " ").alias("links"))
-
-
 @query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages")
 def strip_tags(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", text.strip_tags(F.col("html")).alias("text"))
 
 
-@query()
-def html_text(spark, sf_dir):
-    """Page text with entities decoded."""
-    return read(spark, sf_dir, "pages").select("page_id", text.clean(html_unescape(text.strip_tags(F.col("html")))).alias("text"))
-
-
 @query("SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host FROM pages")
 def url_host(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", text.url_host(F.col("url")).alias("host"))
@@ -432,11 +470,6 @@ def trust_lookup(spark, sf_dir):
     return resolve.trusted(s, n.where("n_nationkey % 2 = 0")).select("s_suppkey", F.col("space_id").alias("n_name"), "trust")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier)")
-def space_anti(spark, sf_dir):
-    return read(spark, sf_dir, "customer").join(read(spark, sf_dir, "supplier"), F.col("c_nationkey") == F.col("s_nationkey"), "left_anti").select("c_custkey")
-
-
 @query("SELECT event_id, '[' || event_type || '] ' || props AS summary, strftime(ts, '%A, %B ') || CAST(day(ts) AS VARCHAR) || strftime(ts, ', %Y, ') || CAST(CASE WHEN hour(ts) % 12 = 0 THEN 12 ELSE hour(ts) % 12 END AS VARCHAR) || strftime(ts, ':%M %p') AS date_text FROM events")
 def event_text(spark, sf_dir):
     """Summary and human date of every event."""
@@ -444,13 +477,13 @@ def event_text(spark, sf_dir):
     return e.select("event_id", calendar.summary().alias("summary"), times.event_date_text(F.col("start"), F.lit("UTC")).alias("date_text"))
 
 
-@query("SELECT event_type AS space_id, sum(CASE WHEN audit IS NULL THEN 1 ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN audit = 'past' THEN 1 ELSE 0 END)::BIGINT AS past FROM (SELECT event_type, CASE WHEN ts < timestamp '2024-01-15 08:00:00' THEN 'past' END AS audit FROM events) GROUP BY 1")
+@query("SELECT event_type AS space_id, count(*) FILTER (WHERE audit IS NULL) AS kept, count(*) FILTER (WHERE audit = 'past') AS past, count(*) FILTER (WHERE audit = 'empty_title') AS empty FROM (SELECT event_type, CASE WHEN event_id % 7 = 0 THEN 'empty_title' WHEN ts < timestamp '2024-01-15 08:00:00' THEN 'past' END AS audit FROM events) GROUP BY 1")
 def publish_audit(spark, sf_dir):
-    e = read(spark, sf_dir, "events").select(F.col("event_type").alias("space_id"), F.col("props").alias("title"), instant(F.col("ts")).alias("start_utc"), F.lit(False).alias("all_day"), F.lit(None).cast("date").alias("end_date"), F.lit(None).cast("string").alias("tz"))
-    return gates.audited(e, F.lit(NOW)).groupBy("space_id").agg(F.count_if(F.col("audit").isNull()).alias("kept"), F.count_if(F.col("audit") == "past").alias("past"))
+    e = read(spark, sf_dir, "events").select(F.col("event_type").alias("space_id"), F.when(F.col("event_id") % 7 > 0, F.col("props")).alias("title"), instant(F.col("ts")).alias("start_utc"), F.lit(False).alias("all_day"), F.lit(None).cast("date").alias("end_date"), F.lit(None).cast("string").alias("tz"))
+    return gates.audited(e, F.lit(NOW)).groupBy("space_id").agg(F.count_if(F.col("audit").isNull()).alias("kept"), F.count_if(F.col("audit") == "past").alias("past"), F.count_if(F.col("audit") == "empty_title").alias("empty"))
 
 
-@query()
+@query("SELECT event_type AS space_id, CASE WHEN ts < timestamp '2024-01-15' THEN 'dropped' ELSE 'event' END AS disposition, CASE WHEN ts < timestamp '2024-01-15' THEN 'past' END AS reason, count(*) AS n, count(DISTINCT event_id) AS uids FROM events GROUP BY ALL")
 def normalized_events(spark, sf_dir):
     """The whole normalization over the events table, counted by disposition and reason."""
     from marlstone.schemas import RAW_EVENT
@@ -462,7 +495,7 @@ def normalized_events(spark, sf_dir):
     return normalize.normalize(raws, spaces, F.lit(NOW)).groupBy("space_id", "disposition", "reason").agg(F.count("*").alias("n"), F.count_distinct("uid").alias("uids"))
 
 
-@query()
+@query("SELECT event_type AS space_id, count(*) AS n FROM events WHERE CAST(ts AS DATE) BETWEEN date '2024-01-16' AND date '2024-01-26' GROUP BY 1")
 def json_items(spark, sf_dir):
     """The embedded-document reader over the events' props as documents."""
     docs = read(spark, sf_dir, "events").select(F.col("event_type").alias("space_id"), F.lit("props").alias("source_label"), F.lit(None).cast("string").alias("problem"), F.concat(F.lit('{"items": [{"id": "'), "event_id", F.lit('", "name": "x", "start": "'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('"}]}')).alias("doc"))
@@ -471,8 +504,11 @@ def json_items(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from marlstone.plans import feed_queries  # noqa: F401  registers its queries
+
     return {name: f for name, (f, _) in REGISTERED.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return {name: sql for name, (_, sql) in REGISTERED.items() if sql}

@@ -54,7 +54,7 @@ RAW_EVENT = ddl(
 PARSE_REPORT = ddl("space_id string, source_label string, problem string, detail string, raw_count long, horizon_count long, undated_count long, newest_change timestamp")
 #: What a fetch left in the landing zone.
 PAYLOAD = ddl("space_id string, source_label string, url string, status int, content_type string, headers map<string,string>, body binary, outcome string, fetched_at timestamp")
-SPACES = ddl("space_id string, name string, url string, timezone string, address_override string, ordinal int")
+SPACES = ddl("space_id string, name string, url string, timezone string, address_override string, ordinal int, health struct<allow_zero:boolean,ignore_count_drop:boolean,require_nonzero_once:boolean,max_stale_days:int>")
 SOURCES = ddl(
     "space_id string, source_label string, adapter string, url string, calendar_id string, enabled boolean, todo boolean, trust int, params map<string,string>, script_id string, shape string, rss_mode string, pubdate_means string, "
     "filters struct<title_contains:array<string>,title_excludes:array<string>,location_contains:array<string>,location_excludes:array<string>,categories_exclude:array<string>,location_allow_when_missing:boolean>, "

@@ -112,6 +112,11 @@ def validate(data: bytes, expected: int, tolerance: int = 0) -> int:
     return len(events)
 
 
+def repeated(events: DataFrame, key: str = "uid") -> DataFrame:
+    """(uid, n) of uids that occur more than once: what validation names when it refuses a set."""
+    return events.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+
+
 def emit(events: DataFrame, spaces: DataFrame, out: str | Path, now: dt.datetime, name: str = "Events", zone: str = "America/Los_Angeles") -> list[Path]:
     """Write events.ics and <space>.ics; everything is rendered and validated before the first file is touched.
 

@@ -29,6 +29,12 @@ def newest(events: DataFrame, limit: int = LIMIT, seen: str = "seen_at", key: st
     return events.orderBy(F.desc(seen), key).limit(limit)
 
 
+def left_out(events: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """One row: how many events the feed holds and how many older ones it leaves out."""
+    n = F.count("*")
+    return events.agg(F.least(n, F.lit(limit)).cast("long").alias("listed"), F.greatest(n - limit, F.lit(0)).cast("long").alias("left_out"))
+
+
 def date_text() -> Column:
     days = F.concat(all_day_text(F.coalesce("start_date", F.to_date("start_utc")), F.coalesce("end_date", "start_date", F.to_date("start_utc"))), F.lit(" (all day)"))
     return F.when(F.col("all_day"), days).otherwise(event_date_text(F.col("start_utc"), F.col("tz")))

@@ -178,7 +178,7 @@ def read_ics(payloads: DataFrame, today: dt.date, horizon_days: int = 120) -> Da
             for space, label, text, problem in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 base = {"space_id": space, "source_label": label, "problem": problem}
                 rows, newest, _ = ([], None, None) if problem else parse(text, today, last)
-                out = [base | r | {"newest_change": newest, "has_event": not r.get("undated", False)} for r in rows] or [base | {"newest_change": newest, "has_event": False}]
+                out = [base | r | {"newest_change": newest, "has_event": True} for r in rows] or [base | {"newest_change": newest, "has_event": False}]
                 yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in out], f.type) for f in schema], schema=schema)
 
     return finished(checked.mapInArrow(run, PARSED), today, horizon_days)

@@ -7,9 +7,10 @@ paths; nothing is inferred, and a document of another shape is a verdict.
 from __future__ import annotations
 
 import datetime as dt
+import zoneinfo
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.fuzzy import html_unescape
@@ -28,10 +29,38 @@ def _looks_json() -> Column:
     return F.coalesce(F.ltrim(text_body()).rlike(r"^[\[{]"), F.lit(False))
 
 
+#: Pages of one source beyond which a catalog counts as endless.
+MOST_PAGES = 20
+
+
+def paged(pages: DataFrame, most: int = MOST_PAGES) -> DataFrame:
+    """pages (space_id, source_label, url, problem, next_url) with the source's verdict in problem.
+
+    The page that no other names is the first. A source whose pages name a next
+    one that was not landed is truncated (missing_page); one that names a page
+    already read, or more than most pages, never ends (runaway_pagination); a
+    later page that fails, fails the whole source. Rows of the source's other
+    pages then carry the problem too, so that nothing of it is published.
+    """
+    key = ["space_id", "source_label"]
+    named = pages.select(*key, F.col("next_url").alias("url")).where("url is not null").groupBy(*key, "url").agg(F.count("*").alias("_named"))
+    seen = pages.join(named, [*key, "url"], "left")
+    known = pages.select(*key, F.col("url").alias("next_url"), F.lit(True).alias("_landed")).distinct()
+    seen = seen.join(known, [*key, "next_url"], "left")
+    own = Window.partitionBy(*key)
+    heads, count = F.sum(F.col("_named").isNull().cast("int")).over(own), F.count("*").over(own)
+    # every page names one other: without a first page, or with a page named twice, the chain closes on itself
+    loop = (heads == 0) | (F.max(F.coalesce("_named", F.lit(0))).over(own) > 1) | F.max((F.col("next_url") == F.col("url")).cast("int")).over(own).cast("boolean")
+    endless = F.when(F.coalesce(loop, F.lit(False)) | (count > most), "runaway_pagination")
+    missing = F.when(F.max((F.col("next_url").isNotNull() & F.col("_landed").isNull()).cast("int")).over(own) == 1, "missing_page")
+    return seen.withColumn("problem", F.coalesce("problem", endless, F.when(count > 1, F.min("problem").over(own)), missing)).drop("_named", "_landed")
+
+
 def read_tribe(payloads: DataFrame, today: dt.date, horizon_days: int = 120) -> DataFrame:
-    """Events-calendar REST pages; each payload is a page."""
-    page = payloads.select("space_id", "source_label", guard(JSON, _looks_json(), "not_json").alias("problem"), F.from_json(text_body(), TRIBE, {"mode": "PERMISSIVE"}).alias("d"))
+    """Events-calendar REST pages; each payload is a page, and all pages of a source stand or fall together (paged)."""
+    page = payloads.select("space_id", "source_label", "url", guard(JSON, _looks_json(), "not_json").alias("problem"), F.from_json(text_body(), TRIBE, {"mode": "PERMISSIVE"}).alias("d"))
     page = page.withColumn("problem", F.coalesce("problem", F.when(F.col("d.events").isNull(), F.when(F.coalesce(F.col("d.total"), F.lit(-1)) == 0, None).otherwise("unexpected_shape")).when((F.size("d.events") == 0) & (F.col("d.total") > 0), "count_disagrees")))
+    page = paged(page.withColumn("next_url", clean(F.col("d.next_rest_url"))))
     rows = page.select("space_id", "source_label", "problem", F.explode_outer(F.when(F.col("problem").isNull(), F.col("d.events"))).alias("e"))
     venue = F.from_json("e.venue", VENUE)
     place = F.array_join(F.array_distinct(F.array_compact(F.array(*[clean(venue[c]) for c in ("venue", "address", "city")], F.coalesce(clean(venue["state"]), clean(venue["province"])), clean(venue["zip"])))), ", ")
@@ -50,9 +79,9 @@ def read_tribe(payloads: DataFrame, today: dt.date, horizon_days: int = 120) ->
 
 @dataclass(frozen=True)
 class Shape:
-    """Where an item's fields lie (paths of VARIANT); starts: an array path or a single value."""
+    """Where an item's fields lie (paths of VARIANT); starts: an array path or a single value. items: None to look for the list (discovered)."""
 
-    items: str
+    items: str | None
     uid: str
     title: str
     starts: str
@@ -83,11 +112,19 @@ def started(c: Column, form: str, zone: str) -> dict[str, Column]:
     return {"start_instant": F.when(zoned, sane(F.try_to_timestamp(c))), "start_local": F.when(~zoned, sane(F.try_to_timestamp(c)).cast("timestamp_ntz"))}
 
 
+def discovered(doc: Column) -> Column:
+    """The items of a document whose list has no declared path: the document itself if it is a list of objects, else its first top-level value that is one."""
+    listed = r"^\s*\[\s*\{"
+    values = F.map_values(F.from_json(doc, "map<string,string>"))
+    inner = F.get(F.filter(values, lambda v: v.rlike(listed)), F.lit(0))
+    return F.try_variant_get(F.try_parse_json(F.when(doc.rlike(listed), doc).otherwise(inner)), "$", "array<variant>")
+
+
 def read_items(documents: DataFrame, shape: Shape, today: dt.date, horizon_days: int) -> DataFrame:
     """PARSED rows of documents (space_id, source_label, problem, doc string) of a declared shape: one per start value of each item."""
     parsed = documents.withColumn("v", F.try_parse_json("doc"))
     parsed = parsed.withColumn("problem", F.coalesce("problem", F.when(F.col("v").isNull(), "unparseable")))
-    where = _path(F.col("v"), shape.items, "map<string,variant>" if shape.keyed else "array<variant>")
+    where = _path(F.col("v"), shape.items, "map<string,variant>" if shape.keyed else "array<variant>") if shape.items is not None else discovered(F.col("doc"))
     total = _path(F.col("v"), shape.total, "bigint")
     parsed = parsed.withColumn("_items", F.map_values(where) if shape.keyed else where)
     empty_but = (F.size("_items") == 0) & (F.coalesce(total, F.lit(0)) > 0)
@@ -151,11 +188,52 @@ def read_embedded(payloads: DataFrame, today: dt.date, horizon_days: int = 120,
     return read_items(payloads.select("space_id", "source_label", problem.alias("problem"), blob.alias("doc")), shape, today, horizon_days)
 
 
-NEXT = Shape(items="props.pageProps.upcomingEvents", uid="id", title="name", starts="start.utc", description="summary", url="url", location="venue.name", total="props.pageProps.upcomingEventsCount")
+#: Where a page's props hold an organizer's events, and the parts that make up an address.
+PROPS, ADDRESS = "props.pageProps", ("address_1", "address_2", "city", "region", "postal_code")
+DEFAULT_ZONE = "America/Los_Angeles"
+
 
+def assembled_start(item: Column) -> Column:
+    """The wall clock of start_date and start_time; a date alone is none; start.local where these two are not given."""
+    day, time = clean(_path(item, "start_date")), clean(_path(item, "start_time"))
+    return F.coalesce(F.concat(day, F.lit("T"), time), clean(_path(item, "start.local")))
 
-def read_nextdata(payloads: DataFrame, today: dt.date, horizon_days: int = 120, shape: Shape = NEXT) -> DataFrame:
-    return read_embedded(payloads, today, horizon_days, "__NEXT_DATA__", shape)
+
+def venue_text(item: Column) -> Column:
+    """primary_venue: its address as a text, as a display line, as several, or from its parts; else its name."""
+    at = lambda p: clean(_path(item, f"primary_venue.{p}"))
+    joined = lambda parts: F.nullif(F.array_join(F.array_compact(parts), ", "), F.lit(""))
+    plain = F.when(F.schema_of_variant(F.try_variant_get(item, "$.primary_venue.address", "variant")) == "STRING", at("address"))
+    lines = F.transform(_path(item, "primary_venue.address.localized_multi_line_address_display", "array<string>"), clean)
+    return F.coalesce(plain, at("address.localized_address_display"), joined(lines), joined(F.array(*[at(f"address.{p}") for p in ADDRESS])), at("name"))
+
+
+def read_nextdata(payloads: DataFrame, today: dt.date, horizon_days: int = 120) -> DataFrame:
+    """An organizer's upcoming events in a page's __NEXT_DATA__ blob.
+
+    Problems: no_events_key, no_total, count_disagrees (one of the list and its
+    total is empty and the other isn't) and no_dates (items, but no usable start).
+    A total of zero with an empty list is an answer and no problem.
+    """
+    blob = script_json(text_body(), "__NEXT_DATA__")
+    problem = F.coalesce(guard(HTML, F.coalesce(F.contains(F.lower(text_body()), F.lit("<script")), F.lit(False)), "not_html"), F.when(blob.isNull(), "no_blob"))
+    pages = payloads.select("space_id", "source_label", problem.alias("problem"), F.try_parse_json(blob).alias("v"))
+    items, total = _path(F.col("v"), f"{PROPS}.upcomingEvents", "array<variant>"), F.when(F.schema_of_variant(F.try_variant_get("v", f"$.{PROPS}.upcomingEventsTotal", "variant")) == "BIGINT", _path(F.col("v"), f"{PROPS}.upcomingEventsTotal", "bigint"))
+    pages = pages.withColumns({"_items": items, "_total": total})
+    apart = (F.col("_total") != F.size("_items")) & ((F.size("_items") == 0) | (F.col("_total") == 0))
+    start = lambda i: F.try_to_timestamp(assembled_start(i))
+    sane = lambda i: F.coalesce(F.year(start(i)).between(1990, 2040), F.lit(False))
+    undated = (F.size("_items") > 0) & ~F.exists("_items", sane)
+    pages = pages.withColumn("problem", F.coalesce("problem", F.when(F.col("v").isNull(), "unparseable").when(F.col("_items").isNull(), "no_events_key").when(F.col("_total").isNull(), "no_total").when(apart, "count_disagrees").when(undated, "no_dates")))
+    rows = pages.select("space_id", "source_label", "problem", F.explode_outer(F.when(F.col("problem").isNull(), F.col("_items"))).alias("i"))
+    item, zone = F.col("i"), clean(_path(F.col("i"), "timezone"))
+    tz = F.when(zone.isin(*sorted(zoneinfo.available_timezones())), zone).otherwise(DEFAULT_ZONE)
+    first = lambda *paths: F.coalesce(*[clean(html_unescape(F.when(F.schema_of_variant(F.try_variant_get(item, f"$.{p}", "variant")) == "STRING", _path(item, p)))) for p in paths])
+    return finished(rows.select(
+        "space_id", "source_label", "problem", item.isNotNull().alias("has_event"), _path(item, "id").alias("source_uid"), first("name.text", "name", "title").alias("title"), F.lit(False).alias("all_day"),
+        F.when(sane(item), F.to_utc_timestamp(start(item), tz)).alias("start_instant"), tz.alias("tz"), F.lit("tzid").alias("dtstart_form"), F.lit(False).alias("recurring"),
+        strip_tags(first("summary", "description.text", "description")).alias("description"), _path(item, "url").alias("url"), venue_text(item).alias("location"),
+    ), today, horizon_days)
 
 
 ADAPTERS |= {"tribe_rest": read_tribe, "json": read_json, "products": read_products, "embedded_json": read_embedded, "nextdata": read_nextdata}

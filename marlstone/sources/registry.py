@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping
 from pathlib import Path
 from typing import Any, Literal
-from urllib.parse import quote, unquote, urlencode
+from urllib.parse import parse_qsl, quote, unquote, urlencode, urlsplit, urlunsplit
 
 import yaml
 from pydantic import BaseModel, ConfigDict, Field, model_validator
@@ -105,7 +105,7 @@ class Registry(_Strict):
     def frames(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
         """(spaces, sources) in schemas.SPACES and SOURCES, in registry order: a few rows each."""
         zone = self.defaults.get("timezone", "America/Los_Angeles")
-        spaces = [(s.id, s.name, s.url, s.timezone or zone, s.address_override, i) for i, s in enumerate(self.spaces)]
+        spaces = [(s.id, s.name, s.url, s.timezone or zone, s.address_override, i, s.health.model_dump()) for i, s in enumerate(self.spaces)]
         rows, n = [], 0
         for space in self.spaces:
             for s in space.sources:
@@ -159,7 +159,9 @@ def source_url(source: SourceSpec) -> str | None:
         return calendar_url(source.calendar_id)
     if not source.url or not source.params:
         return source.url
-    return f"{source.url}{'&' if '?' in source.url else '?'}{urlencode({k: str(v) for k, v in source.params.items()})}"
+    parts = urlsplit(source.url)
+    own = [(k, v) for k, v in parse_qsl(parts.query, keep_blank_values=True) if k not in source.params]
+    return urlunsplit(parts._replace(query=urlencode([*own, *((k, str(v)) for k, v in source.params.items())])))
 
 
 def runnable(sources: DataFrame, space: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 
@@ -14,6 +15,8 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not named:
             own = tempfile.mkdtemp(prefix="marlstone-")
             atexit.register(shutil.rmtree, own, True)

@@ -76,7 +76,7 @@ def raws(spark, *rows):
 
 
 def space(spark, override=None):
-    return spark.createDataFrame([("s", "Space", "https://s.example", "America/Los_Angeles", override, 0)], SPACES)
+    return spark.createDataFrame([("s", "Space", "https://s.example", "America/Los_Angeles", override, 0, None)], SPACES)
 
 
 def test_normalize(spark):

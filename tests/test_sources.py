@@ -108,7 +108,7 @@ def test_embedded_and_next(spark):
     assert row.title == "Glass" and row.start_instant == dt.datetime(2026, 3, 5, 8, 40)
     gone = read_source("embedded_json", payload(spark, "<html><script></script></html>", "text/html"), TODAY, 30, script_id="course-data", shape=shape)
     assert reports_of(gone).first()["problem"] == "no_blob"
-    props = {"props": {"pageProps": {"upcomingEvents": [{"id": "9", "name": "Open day", "start": {"utc": "2026-03-08T18:00:00Z"}, "venue": {"name": "Yard"}}], "upcomingEventsCount": 1}}}
+    props = {"props": {"pageProps": {"upcomingEvents": [{"id": "9", "name": "Open day", "start_date": "2026-03-08", "start_time": "11:00", "timezone": "America/Los_Angeles", "primary_venue": {"name": "Yard"}}, {"id": "8", "start_date": "2026-03-08"}], "upcomingEventsTotal": 1}}}
     row = events_of(read_source("nextdata", payload(spark, f'<script id="__NEXT_DATA__" type="application/json">{json.dumps(props)}</script>', "text/html"), TODAY, 30)).first()
     assert (row.title, row.location, row.start_instant) == ("Open day", "Yard", dt.datetime(2026, 3, 8, 18))
 
