@@ -7,6 +7,12 @@ transitions between the languages of neighbouring words are learned with them.
 Training sequences splice stretches of labelled documents of different
 languages, so that the transitions have seen switches. Forward-backward gives
 each word its posterior, and a document takes the language with the largest sum.
+
+A posterior only says which of the learned languages fits best. Whether any does
+is told by the share of a text's letter trigrams that the fitted samples held:
+texts of these languages, mixed or not, hold hardly any other, and gibberish, other
+scripts and unknown languages hold many. The share below which a text is rejected
+is calibrated on the samples.
 """
 
 from __future__ import annotations
@@ -26,6 +32,8 @@ from marlstone.llm.common import sliced
 UNDETERMINED = "und"
 BITS = 17
 BLOCK = 64
+#: A text is rejected below this part of the least share of known trigrams among the samples (their lowest hundredth aside); its own share counts so many known ones more, since few letters tell little.
+LEAST_PART, GRACE = 0.75, 10
 
 
 @functools.lru_cache(maxsize=1)
@@ -161,11 +169,22 @@ def posteriors(emit: np.ndarray, lengths: np.ndarray, moves: np.ndarray, block:
     return gamma / gamma.sum(axis=1, keepdims=True)
 
 
+def _share(w: Words, known: np.ndarray) -> np.ndarray:
+    """Of each text's letter trigrams the share known, GRACE known ones added."""
+    of_word = np.repeat(np.arange(len(w.per_text)), w.per_text)
+    letters = np.diff(np.append(w.begin, len(w.grams[1])))
+    n = np.bincount(of_word, letters, len(w.per_text))
+    hits = np.bincount(of_word, np.add.reduceat(known[w.grams[1]].astype(np.int64), w.begin), len(w.per_text)) if w.n else np.zeros(len(w.per_text))
+    return (hits + GRACE) / (n + GRACE)
+
+
 @dataclass
 class Model:
     languages: list[str]
     table: np.ndarray
     moves: np.ndarray
+    known: np.ndarray
+    least: float = 0.0
 
     @staticmethod
     def fit(samples: list[tuple[str, str]], epochs: int = 3, length: int = 96, seed: int = 5, rate: float = 0.2) -> Model:
@@ -173,8 +192,12 @@ class Model:
         languages = sorted({s[1] for s in samples})
         k = len(languages)
         table, moves = np.zeros((1 << BITS, k), np.float32), np.zeros((k, k))
+        known = np.zeros(1 << BITS, bool)
+        lots = [samples[i : i + 100] for i in range(0, len(samples), 100)]
+        for lot in lots:
+            known[featurize([s[0] for s in lot]).grams[1]] = True
         if k < 2:
-            return Model(languages, table, moves)
+            return Model(languages, table, moves, known).calibrated(lots)
         rng = np.random.default_rng(seed)
         seen, seen_moves = np.full((1 << BITS, k), 1e-2, np.float32), np.full((k, k), 1e-2)
         pieces: list[tuple[str, int]] = []
@@ -216,18 +239,38 @@ class Model:
                 pull_moves = (real - pair.sum(axis=0)) / len(lengths)
                 seen_moves += pull_moves**2
                 moves += rate * pull_moves / np.sqrt(seen_moves)
-        return Model(languages, table, moves)
+        return Model(languages, table, moves, known).calibrated(lots)
+
+    def calibrated(self, lots: list[list[tuple[str, str]]]) -> Model:
+        """With the least share of trigrams known from the other half of the samples that texts of these languages have."""
+        halves, shares = [np.zeros(1 << BITS, bool), np.zeros(1 << BITS, bool)], []
+        for part, held in ((0, halves[0]), (1, halves[1])):
+            for lot in lots:
+                held[featurize([s[0] for s in lot[part::2]]).grams[1]] = True
+        for part in (0, 1):
+            for lot in lots:
+                w = featurize([s[0] for s in lot[part::2]])
+                shares.append(_share(w, halves[1 - part])[w.per_text > 0])
+        found = np.concatenate(shares) if shares else np.zeros(0)
+        self.least = LEAST_PART * float(np.quantile(found, 0.01)) if len(found) else 0.0
+        return self
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, score) of each text."""
+        return [said[:2] for said in self.judge(texts)]
+
+    def judge(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """(language, score, share of known trigrams) of each text."""
         w = featurize(texts)
         if not self.languages:
-            return [(UNDETERMINED, 0.0)] * len(texts)
+            return [(UNDETERMINED, 0.0, 0.0)] * len(texts)
+        share_known = _share(w, self.known)
         gamma = posteriors(scores(w, self.table), w.per_text, self.moves)
         text = np.repeat(np.arange(len(texts)), w.per_text)
         mass = np.stack([np.bincount(text, gamma[:, c], len(texts)) for c in range(len(self.languages))], axis=1)
         best = mass.argmax(axis=1)
         share = mass[np.arange(len(texts)), best] / np.maximum(w.per_text, 1)
-        return [(self.languages[b], float(min(1.0, s))) if n else (UNDETERMINED, 0.0) for b, s, n in zip(best, share, w.per_text, strict=True)]
+        return [(self.languages[b], float(min(1.0, s)), float(h)) if n else (UNDETERMINED, 0.0, 0.0) for b, s, h, n in zip(best, share, share_known, w.per_text, strict=True)]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -235,34 +278,40 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = 300, max_chars: int = 6000) -> Model:
-    """A model from at most per_language labelled documents of each language, max_chars of each, that are not held out.
+def fit(docs: DataFrame, per_language: int = 400, stretch: int = 4000) -> Model:
+    """A model from at most per_language stretches of that many characters of each language, drawn evenly from all of its labelled documents that are not held out, whole texts.
 
     Both bounds concern fitting alone. Null languages, ids and texts are left out.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row per language
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "doc_id", "text", F.greatest(F.ceil(F.length("text") / stretch), F.lit(1)).cast("long").alias("n"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # a row per language
     if not counts:
-        return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0)))
+        return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0)), np.zeros(1 << BITS, bool))
     limit = F.lit(0)
     for lang, n in counts.items():
-        limit = F.when(F.col("lang") == lang, int(min(1.0, (per_language * 1.1 + 20) / n) * (1 << 20))).otherwise(limit)
-    rows = known.where(draw < limit).select("lang", F.substring("text", 1, max_chars).alias("text"), draw.alias("draw"), "doc_id").collect()
+        limit = F.when(F.col("lang") == lang, int(min(1.0, (per_language * 1.1 + 20) / n) * (1 << 30))).otherwise(limit)
+    cut = known.select("lang", "doc_id", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
+    drawn = cut.withColumn("draw", F.pmod(F.xxhash64("doc_id", "i"), F.lit(1 << 30))).where(F.col("draw") < limit)
+    rows = drawn.select("lang", F.expr(f"substring(text, cast(i * {stretch} + 1 as int), {stretch})").alias("text"), "draw", "doc_id", "i").collect()
     by: dict[str, list] = {}
-    for r in sorted(rows, key=lambda r: (r["draw"], r["doc_id"], r["text"])):
+    for r in sorted(rows, key=lambda r: (r["draw"], r["doc_id"], r["i"], r["text"])):
         by.setdefault(r["lang"], []).append((r["text"], r["lang"]))
     return Model.fit([s for lang in sorted(by) for s in by[lang][:per_language]])
 
 
+ADDED = ("lang_pred", "score", "known")
+
+
 def identify(docs: DataFrame, model: Model, chars_at_once: int = 300_000) -> DataFrame:
-    """docs with lang_pred and score added (columns of these names are replaced).
+    """docs with lang_pred, score and known added (columns of these names are replaced).
 
     lang_pred is und, with score 0, for a null text and one without a letter;
-    score is else the language's share of the words' posteriors. Repeated rows
-    are all kept, and an empty table gives an empty result.
+    score is else the language's share of the words' posteriors. known: the share
+    of the text's trigrams that the model has seen; below model.least the text is
+    in none of its languages. Repeated rows are all kept, and an empty table gives
+    an empty result.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*ADDED)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,10 +322,11 @@ def identify(docs: DataFrame, model: Model, chars_at_once: int = 300_000) -> Dat
                 part.append(t)
                 size += len(t or "")
                 if size >= chars_at_once:
-                    said += model.predict(part)
+                    said += model.judge(part)
                     part, size = [], 0
-            said += model.predict(part) if part else []
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64())], [*b.schema.names, "lang_pred", "score"])
+            said += model.judge(part) if part else []
+            more = [pa.array(c, t) for c, t in zip(zip(*said, strict=True), (pa.string(), pa.float64(), pa.float64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, *ADDED])
 
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("known", DoubleType())])
     return docs.mapInArrow(run, schema)
