@@ -12,7 +12,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marlstone.llm import ann, bktree, chat, components, decontaminate, langid, packing, pii, sharding, simhash, substrings, urlfilter
+from marlstone.llm import ann, bktree, chat, decontaminate, langid, packing, pii, sharding, simhash, substrings, urlfilter
+from marlstone.operators import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string"
@@ -112,6 +113,23 @@ def test_chains_of_near_copies(spark):
         assert kept == set(least.values()) | {d for d, _ in others}
 
 
+def test_recall_at_the_least_similarity(spark):
+    rng = np.random.default_rng(17)
+    rows, pairs = [], 0
+    for g in range(400):
+        words = prose(20_000 + g, int(rng.integers(60, 400)), 50_000).split()
+        most = int((len(words) - 4) / 9 / 5)  # edits of five shingles each that leave a similarity of 0.8
+        other = list(words)
+        for at in (np.linspace(5, len(words) - 6, most).astype(int) if most else []):
+            other[at] = "edited"
+        a, b = (set(simhash.shingle_hashes(" ".join(x), 5).tolist()) for x in (words, other))
+        if 0.8 <= len(a & b) / len(a | b) < 0.85:
+            pairs += 1
+            rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(other))]
+    kept = simhash.deduplicated(frame(spark, rows)).count()
+    assert pairs > 200 and (2 * pairs - kept) / pairs >= 0.93, (pairs, 2 * pairs - kept)
+
+
 def brute_infix(item, text):
     row = [0] * (len(text) + 1)
     for i, a in enumerate(item, 1):
@@ -207,10 +225,25 @@ def test_language(spark):
     mixed = model.predict([f"{language_text('xx', 900, 30)} {language_text('yy', 901, 10)}"])[0]
     assert mixed[0] == "xx" and 0.6 < mixed[1] < 0.9
     assert langid.fit(docs.where("lang is null")).predict(["abc"]) == [("und", 0.0)]
+    strange = ["qxz wvk jjq zzx qqv kxw vzq xjw", "привет мир как дела сегодня", "漢字仮名交じり文の例です漢字仮名交じり文の例です", "thequick brownfox jumpsover thelazydog"]
+    at_home = [language_text("zz", 31, 4), f"{language_text('xx', 32, 9)} {language_text('yy', 33, 9)} {language_text('zz', 34, 9)}", language_text("yy", 35, 2000)]
+    assert all(known < model.least for _, _, known in model.judge(strange)) and all(known >= model.least for _, _, known in model.judge(at_home))
     held = {r.doc_id: r.h for r in docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("h")).collect()}
     assert all(h == (d is not None and zlib.crc32(str(d).encode()) % 5 == 0) for d, h in held.items())
 
 
+def test_language_of_held_out_documents(spark):
+    from pathlib import Path
+
+    if not Path("/root/testdata/sf0.01").exists():
+        pytest.skip("no tables")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    got = langid.identify(docs, model).where(langid.held_out(F.col("doc_id")) & F.col("lang").isNotNull()).collect()
+    assert len(got) > 100 and sum(r.lang == r.lang_pred for r in got) / len(got) >= 0.98
+    assert all(r.known >= model.least for r in got)
+
+
 def test_forward_backward():
     rng = np.random.default_rng(0)
     lengths = np.array([5, 0, 130, 64, 65, 1])
@@ -638,3 +671,10 @@ def test_compaction(spark):
     chain = [(i, i, i + 1) for i in range(1, 40)] + [(100, 70, 71), (101, 72, 73), (200, 80, 81), (201, 81, 80)]
     got = {r.h: r.path for r in substrings.compacted(frame(spark, chain, "h long, l long, r long")).collect()}
     assert got == {**{i: 1 for i in range(1, 40)}, 100: 100, 101: 101}  # two nodes on a cycle have no path
+
+
+def test_ties_and_long_hosts_of_urls(spark):
+    rules = frame(spark, [("b.net", "/", "allow"), ("net", "/b/", "allow"), ("c.net", "/x", "allow"), ("c.net", "/x", "block"), ("e.net", "/ab", "block"), ("e.net", "/", "allow")], "host string, path string, verdict string")
+    urls = ["http://b.net/b/", "http://c.net/x", "http://e.net/abc", "http://" + "a." * 20_000 + "net/b/1", "http://b.net"]
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge_urls(frame(spark, list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    assert got == {0: ("b.net/", "allow"), 1: ("c.net/x", "block"), 2: ("e.net/ab", "block"), 3: ("net/b/", "allow"), 4: (None, "allow")}
