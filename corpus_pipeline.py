@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 from marlstone.llm import decontaminate, langid, packing, pii, simhash
 from marlstone.llm.common import saved, table, unique_name
 
-#: Least share of the leading language; 0 keeps code-switched text of any mix, so that only text without a letter goes.
-LEAST_SHARE = 0.0
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the CRF can tell: those without a letter, or without a leading language, go.
+    """Documents in the learned languages, code-switched ones included.
 
-    So null and empty texts go, repeated rows stay, and further columns of any name stay as they are.
+    Those without a letter go, and those of whose letter trigrams too many are
+    in no labelled document (langid's calibrated share): gibberish, other scripts,
+    languages that no label names. So null and empty texts go, repeated rows stay,
+    and further columns of any name stay as they are.
     """
     model = langid.fit(docs.select("doc_id", "text", "lang"))
-    held = {c: unique_name(docs, f"own_{c}") for c in docs.columns if c.lower() in ("lang_pred", "score")}
+    held = {c: unique_name(docs, f"own_{c}") for c in docs.columns if c.lower() in langid.ADDED}
     said = langid.identify(docs.withColumnsRenamed(held), model)
-    kept = said.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE))
+    kept = said.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("known") >= model.least))
     return kept.select(*[F.col(held.get(c, c)).alias(c) for c in docs.columns])
 
 
