@@ -2,7 +2,7 @@
 
 The rounds follow Kiveris et al., "Connected Components in MapReduce and
 Beyond" (2014). Every round is a min aggregation and an equi-join, so no node's
-neighbour list meets in one task, and each round is checkpointed.
+neighbour list meets in one task, and each round is written to a table.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.staging import staged
+from marlstone.staging import written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -37,12 +37,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Self-loops, repeated edges and rows with a null end are ignored; nodes
     without an edge do not appear. An empty input gives an empty result.
     """
-    now = staged(edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = written(edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = _state(now)
     if before[0] == 0:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
-        now = staged(_small_star(_large_star(now)))
+        now = written(_small_star(_large_star(now)))
         after = _state(now)
         if after == before:
             break

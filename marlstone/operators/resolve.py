@@ -21,7 +21,7 @@ from marlstone.functions.fuzzy import LEAST_ADDRESS_WORDS, address_similarity, t
 from marlstone.functions.identity import content_hash
 from marlstone.functions.text import normalize_title
 from marlstone.operators.components import components
-from marlstone.staging import staged
+from marlstone.staging import written
 
 #: Fixed thresholds of the two passes.
 WINDOW_SECONDS, WITHIN, ACROSS, ADDRESS, NEAR_MISS = 1800, 85.0, 92.0, 90.0, 10.0
@@ -100,7 +100,7 @@ def matches(events: DataFrame, across: bool) -> DataFrame:
         placed = narrow.withColumn("_words", words).where(F.size("_words") >= LEAST_ADDRESS_WORDS)
         number = r"^\p{Nd}+$"
         lead = F.when(F.get("_words", F.lit(0)).rlike(number), F.get("_words", F.lit(0)))
-        placed = staged(placed.withColumns({"_lead": lead, "_numbers": F.array_distinct(F.filter("_words", lambda w: w.rlike(number)))}).drop("_words"))
+        placed = written(placed.withColumns({"_lead": lead, "_numbers": F.array_distinct(F.filter("_words", lambda w: w.rlike(number)))}).drop("_words"))
         led, some, none = placed.where("_lead is not null"), placed.where("_lead is null and size(_numbers) > 0"), placed.where("size(_numbers) = 0")
         each = lambda rows: rows.withColumn("_number", F.explode("_numbers"))
         shared = F.col("left._number") == F.array_min(F.array_intersect("left._numbers", "right._numbers"))  # once, however many they share
@@ -202,10 +202,10 @@ def merge_pass(events: DataFrame, sources: DataFrame, across: bool, preferences:
     cluster; members that only hang on through others go on among themselves.
     """
     events = events.drop("absorbed", "winner_rank", "richness")
-    edges = staged(matches(events, across))
+    edges = written(matches(events, across))
     involved = edges.select(F.explode(F.array("u", "v")).alias("uid")).distinct()
     ready = trusted(events.join(involved, "uid", "left_semi"), sources).withColumn("richness", richness())
-    goes = staged(absorptions(edges, ready))
+    goes = written(absorptions(edges, ready))
     took = "array<struct<uid:string,score:double,address_score:double,filled:array<string>,preferred:array<string>>>"
     out_columns = events.columns
     schema = StructType([*events.schema.fields, *StructType.fromDDL(f"absorbed {took}, _rehash boolean").fields])
@@ -228,7 +228,7 @@ def merge_pass(events: DataFrame, sources: DataFrame, across: bool, preferences:
 
 def dedupe(events: DataFrame, sources: DataFrame, preferences: list[tuple[str, str, list[str]]] = ()) -> DataFrame:
     """Both passes: within each space, then across spaces among the survivors."""
-    first = staged(merge_pass(events, sources, False, preferences))
+    first = written(merge_pass(events, sources, False, preferences))
     second = merge_pass(first.drop("absorbed"), sources, True, preferences)
     inner = first.select("uid", F.col("absorbed").alias("absorbed_within"))
     return second.withColumnRenamed("absorbed", "absorbed_across").join(inner, "uid", "left")

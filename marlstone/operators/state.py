@@ -130,6 +130,15 @@ def carried_events(plan: DataFrame, stored: DataFrame, now: Column, horizon_days
     return stored.join(plan.where("action in ('carry', 'replay')").select("source_key", "action"), "source_key").where(within_horizon(now, horizon_days))
 
 
+def carry_losses(plan: DataFrame, stored: DataFrame, now: Column, horizon_days: int) -> DataFrame:
+    """(source_key, reason, n): stored rows that the plan would republish and the horizon leaves out, as over or too_far."""
+    zone = F.col("tz")
+    ceiling = day_start_utc(F.date_add(local_day(now, zone), max(horizon_days, 0)), zone)
+    held = stored.join(plan.where("action in ('carry', 'replay')").select("source_key"), "source_key")
+    reason = F.when(F.col("start_utc") > ceiling, "too_far").when(~within_horizon(now, horizon_days), "over")
+    return held.withColumn("reason", reason).where("reason is not null").groupBy("source_key", "reason").agg(F.count("*").alias("n"))
+
+
 def http_state(stored: DataFrame, answers: DataFrame) -> DataFrame:
     """The next (source_key, etag, last_modified, body_sha256, failures) of each source.
 

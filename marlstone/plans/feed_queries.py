@@ -625,3 +625,140 @@ def health_document(spark, sf_dir):
     doc = health.document(verdicts, run, F.lit(NOW)).select(F.from_json("json", "blocked boolean, sources array<struct<source_key:string,event_count:bigint,horizon_count:bigint>>").alias("d"))
     back = doc.select(F.explode("d.sources").alias("s"))
     return back.select(F.col("s.source_key").cast("long").alias("user_id"), F.col("s.event_count").alias("kept"), F.col("s.horizon_count").alias("first_event"))
+
+
+# ---------------------------------------------------------------- registry, transport rules, publication
+
+
+@query("""SELECT n_name AS space_id, 's' || s_suppkey AS source_label, s_suppkey % 3 > 0 AS enabled, CAST(s_suppkey % 10 AS INTEGER) AS trust, 'https://example.org/' || s_suppkey || '?page=2&key=secret' AS url, coalesce(CASE WHEN n_nationkey % 2 = 0 THEN 'Europe/Paris' END, 'America/New_York') AS timezone
+FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def registry_sources(spark, sf_dir):
+    """A registry written as YAML, read with its placeholders filled, as spaces and sources."""
+    import yaml
+
+    rows = read(spark, sf_dir, "supplier").join(read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("n_name", "n_nationkey", "s_suppkey").collect()  # a registry is a file
+    spaces: dict[str, dict] = {}
+    for r in sorted(rows):
+        space = spaces.setdefault(r["n_name"], {"id": r["n_name"], "name": r["n_name"].title(), "sources": []} | ({"timezone": "Europe/Paris"} if r["n_nationkey"] % 2 == 0 else {}))
+        space["sources"].append({"adapter": "ics", "label": f"s{r['s_suppkey']}", "url": f"https://example.org/{r['s_suppkey']}?key=old&page=2", "params": {"key": "${KEY}"}, "enabled": r["s_suppkey"] % 3 > 0, "trust": r["s_suppkey"] % 10})
+    text_ = yaml.safe_dump({"defaults": {"timezone": "America/New_York"}, "spaces": list(spaces.values())})
+    found, sources = registry.load(text_, {"KEY": "secret"}).frames(spark)
+    return sources.join(found.select("space_id", "timezone"), "space_id").select("space_id", "source_label", "enabled", "trust", "url", "timezone")
+
+
+@query("""SELECT c_custkey, CASE WHEN s IN (408, 425, 429, 500, 502, 503, 504) OR s BETWEEN 520 AND 527 THEN '1.0,2.0' ELSE '' END AS waits FROM (SELECT c_custkey, 400 + c_custkey % 140 AS s FROM customer)""")
+def retry_waits(spark, sf_dir):
+    """Waits before further attempts where the same answer comes back each time."""
+    waits = {s: ",".join(map(str, payloads.delays([s] * 5))) for s in range(400, 540)}
+    known = F.create_map(*[F.lit(x) for pair in waits.items() for x in pair])
+    return read(spark, sf_dir, "customer").select("c_custkey", F.try_element_at(known, (F.lit(400) + F.col("c_custkey") % 140).cast("int")).alias("waits"))
+
+
+@query("""SELECT c_custkey, CASE c_nationkey % 4 WHEN 0 THEN CASE c_custkey % 4 WHEN 0 THEN false WHEN 1 THEN false WHEN 2 THEN true ELSE true END WHEN 1 THEN true WHEN 2 THEN false ELSE false END AS allowed FROM customer""")
+def robots_verdicts(spark, sf_dir):
+    """Paths by a host's robots.txt: both our agent and * must allow; 404 allows all, 503 and silence nothing."""
+    text_ = "User-agent: *\nDisallow: /private\nAllow: /private/open\n\nUser-agent: marlstone\nDisallow: /no # not us\nDisallow:\n"
+    hosts = [payloads.Robots.of(200, text_), payloads.Robots.of(404), payloads.Robots.of(503), payloads.Robots.of(None)]
+    paths = ["/private/x", "/no/thing", "/private/open/1", "/other"]
+    said = F.create_map(*[F.lit(x) for h, robots in enumerate(hosts) for p, path in enumerate(paths) for x in (h * 4 + p, robots.allows("Marlstone/1.0", path))])
+    return read(spark, sf_dir, "customer").select("c_custkey", F.try_element_at(said, ((F.col("c_nationkey") % 4) * 4 + F.col("c_custkey") % 4).cast("int")).alias("allowed"))
+
+
+@query("""SELECT CAST(n_regionkey AS VARCHAR) AS source_label, CASE n_regionkey % 3 WHEN 0 THEN 'http_error' WHEN 1 THEN 'some_pages_failed' END AS problem, count(*) AS pages, count(*) FILTER (WHERE n_regionkey % 3 = 0 OR (n_regionkey % 3 = 1 AND n_nationkey % 2 = 0)) AS failed FROM nation GROUP BY n_regionkey""")
+def seed_verdicts(spark, sf_dir):
+    """All pages of a seed list failing is a failure, some are a note."""
+    bad = (F.col("n_regionkey") % 3 == 0) | ((F.col("n_regionkey") % 3 == 1) & (F.col("n_nationkey") % 2 == 0))
+    pages = read(spark, sf_dir, "nation").select(F.lit("s").alias("space_id"), F.col("n_regionkey").cast("string").alias("source_label"), F.when(bad, "http_error").alias("problem"))
+    return markup.seed_verdicts(pages).drop("space_id")
+
+
+@query("""SELECT event_type AS source_key, CASE WHEN ts > timestamp '2024-01-25 08:00:00' THEN 'too_far' ELSE 'over' END AS reason, count(*) AS n FROM events WHERE event_type <> 'view' AND (ts > timestamp '2024-01-25 08:00:00' OR ts < timestamp '2024-01-15 08:00:00') GROUP BY ALL""")
+def carry_losses(spark, sf_dir):
+    """Stored events that a republication leaves out, with the reason."""
+    e = read(spark, sf_dir, "events").select(F.col("event_type").alias("source_key"), instant(F.col("ts")).alias("start_utc"), F.lit(False).alias("all_day"), F.lit(None).cast("date").alias("end_date"), F.lit("America/Los_Angeles").alias("tz"))
+    plan = e.select("source_key").distinct().withColumn("action", F.when(F.col("source_key") == "view", "none").otherwise("carry"))
+    return state.carry_losses(plan, e, F.lit(NOW), 10)
+
+
+@query("SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS at, CASE WHEN event_id % 3 > 0 THEN strftime(ts, '%Y-%m-%d') END AS day, props, list_value(event_type, NULL)[1] AS kind FROM events")
+def wire_codec(spark, sf_dir):
+    """Events to JSON texts and back."""
+    from marlstone.functions import wire
+
+    e = read(spark, sf_dir, "events").select("event_id", instant(F.col("ts")).alias("at"), F.when(F.col("event_id") % 3 > 0, F.to_date("ts")).alias("day"), "props", F.array("event_type", F.lit(None).cast("string")).alias("kinds"))
+    back = wire.decoded(e.select(wire.encoded(*e.columns).alias("json")), F.col("json"), e.schema)
+    return back.select("event_id", seconds("at").alias("at"), shown(F.col("day"), "yyyy-MM-dd").alias("day"), "props", F.get("kinds", F.lit(0)).alias("kind"))
+
+
+def _published(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Suppliers as events of their nations, and the nations as spaces."""
+    n = read(spark, sf_dir, "nation")
+    s = read(spark, sf_dir, "supplier")
+    k, none = F.col("s_suppkey"), F.lit(None).cast("string")
+    start = F.timestamp_seconds(F.lit(1704067200) + k * 3600)
+    e = s.select(
+        F.concat(F.lit("u"), k).alias("uid"), F.col("s_nationkey").cast("string").alias("space_id"), F.lit("l").alias("source_label"), F.concat("s_name", F.lit(", né")).alias("title"), start.alias("start_utc"), F.timestamp_seconds(F.unix_timestamp(start) + 3600).alias("end_utc"), F.lit("UTC").alias("tz"), (k % 4 == 0).alias("all_day"),
+        F.when(k % 4 == 0, F.to_date(start)).alias("start_date"), F.lit(None).cast("date").alias("end_date"), F.lit("1 Main St").alias("address"), F.lit("Hall").alias("location_name"), none.alias("url"), none.alias("price"), F.repeat(F.lit("long text; "), F.lit(40)).alias("description"), none.alias("summary_line"), F.array(F.lit("c")).alias("categories"),
+    )
+    return e, n.select(F.col("n_nationkey").cast("string").alias("space_id"), F.col("n_name").alias("name"), F.lit("https://example.org/").alias("url"))
+
+
+@query("""SELECT 'events.ics' AS file, count(*) AS events FROM supplier UNION ALL SELECT s_nationkey || '.ics', count(*) FROM supplier GROUP BY s_nationkey""")
+def published_calendars(spark, sf_dir):
+    """Calendar files written and read back: one for all and one a space, each valid."""
+    import tempfile
+    from pathlib import Path
+
+    e, spaces = _published(spark, sf_dir)
+    with tempfile.TemporaryDirectory() as folder:
+        paths = calendar.emit(e, spaces, folder, NOW)
+        found = [(p.name, calendar.validate(p.read_bytes(), Path(p).read_text().count("BEGIN:VEVENT"))) for p in paths]
+    return spark.createDataFrame(found, "file string, events long")
+
+
+@query("""SELECT 'u' || s_suppkey AS guid, '[' || n_name || '] ' || s_name || ', né' AS title, row_number() OVER (ORDER BY s_suppkey % 7 DESC, 'u' || s_suppkey) AS place FROM supplier JOIN nation ON s_nationkey = n_nationkey QUALIFY place <= 200""")
+def published_feed(spark, sf_dir):
+    """The feed file written and read back: newest first sight first, at most two hundred."""
+    import tempfile
+    from xml.etree import ElementTree
+
+    e, spaces = _published(spark, sf_dir)
+    seen = e.withColumn("seen_at", F.timestamp_seconds(F.lit(1700000000) + (F.substring("uid", 2, 9).cast("long") % 7) * 60))
+    with tempfile.TemporaryDirectory() as folder:
+        items = ElementTree.parse(feed.emit(seen, spaces, folder, NOW)).findall("./channel/item")
+    return spark.createDataFrame([(i.findtext("guid"), i.findtext("title"), n + 1) for n, i in enumerate(items)], "guid string, title string, place long")
+
+
+@query(f"""SELECT 's' AS space_id, 'o' || o_orderkey AS source_uid, md5(CAST(o_orderkey AS VARCHAR)) AS title FROM {ORDERS} WHERE o_custkey % 4 < 3 AND day BETWEEN date '1996-06-02' AND date '1996-06-16' AND o_orderkey % 5 > 0""")
+def nightly_events(spark, sf_dir):
+    """A night from calendars to the published set: three sources run, one is disabled, one filter drops, nothing is stored."""
+    import tempfile
+
+    from marlstone.plans import nightly
+
+    o = read(spark, sf_dir, "orders").where("o_orderdate between timestamp_ntz'1996-06-02' and timestamp_ntz'1996-06-16'").withColumns({"space_id": F.lit("s"), "source_label": F.concat(F.lit("c"), F.col("o_custkey") % 4)})
+    title = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("Private "), F.col("o_orderkey"))).otherwise(F.md5(F.col("o_orderkey").cast("string")))
+    entry = F.concat_ws("\r\n", F.lit("BEGIN:VEVENT"), F.concat(F.lit("UID:o"), "o_orderkey"), F.concat(F.lit("SUMMARY:"), title), F.concat(F.lit("DTSTART:"), shown(F.col("o_orderdate"), "yyyyMMdd'T'180000'Z'")), F.lit("END:VEVENT\r\n"))
+    bodies = joined(o, ["space_id", "source_label"], "o_orderkey", entry, "")
+    got = landed(bodies, F.concat(F.lit("BEGIN:VCALENDAR\r\nVERSION:2.0\r\nPRODID:x\r\n"), F.col("body"), F.lit("END:VCALENDAR\r\n")), "text/calendar")
+    listed = "".join(f"{{adapter: ics, label: c{i}, url: 'https://example.org/{i}', enabled: {str(i < 3).lower()}, health: {{allow_zero: true}}, filters: {{title_excludes: [PRIVATE]}}}}, " for i in range(4))
+    spaces, sources = registry.load(f"spaces: [{{id: s, name: Space, url: 'https://example.org', sources: [{listed}]}}]", {}).frames(spark)
+    with tempfile.TemporaryDirectory() as folder:
+        night = nightly.run(spark, got, spaces, sources, dt.datetime(1996, 6, 1, 12), folder, horizon_days=20, dry_run=True)
+    return night.events.select("space_id", "source_uid", "title")
+
+
+@query("SELECT event_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS seen FROM events WHERE event_id % 2 = 0")
+def state_snapshots(spark, sf_dir):
+    """State saved twice and read back: the newest snapshot is current."""
+    import uuid
+
+    from marlstone.plans import nightly
+    from marlstone.staging import shared_dir
+
+    path = f"{shared_dir(spark).removeprefix('file://')}/state-{uuid.uuid4().hex}"
+    e = read(spark, sf_dir, "events").select("event_id", "event_type", instant(F.col("ts")).alias("seen"))
+    rest = [spark.createDataFrame([], s) for s in (nightly.Snapshot.RUNS, nightly.Snapshot.HISTORY, nightly.Snapshot.HTTP)]
+    nightly.Snapshot(e, *rest).save(path, "run-1")
+    nightly.Snapshot(e.where("event_id % 2 = 0"), *rest).save(path, "run-2")
+    return nightly.Snapshot.load(spark, path, e.schema).events.select("event_id", "event_type", seconds("seen").alias("seen"))

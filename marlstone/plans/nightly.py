@@ -70,7 +70,7 @@ def collect(payloads: DataFrame, spaces: DataFrame, sources: DataFrame, now: dt.
     today, parsed = now.date(), None
     adapters = [r[0] for r in sources.where("enabled").select("adapter").distinct().sort("adapter").collect()]
     for adapter in adapters:
-        mine = payloads.join(F.broadcast(sources.where(F.col("adapter") == adapter).select("space_id", "source_label")), ["space_id", "source_label"], "left_semi")
+        mine = payloads.join(F.broadcast(sources.where(F.col("enabled") & (F.col("adapter") == adapter)).select("space_id", "source_label")), ["space_id", "source_label"], "left_semi")
         got = read_source(adapter, mine, today, horizon_days, **(options or {}).get(adapter, {}))
         parsed = got if parsed is None else parsed.unionByName(got)
     parsed = staged(parsed)

@@ -7,9 +7,10 @@ import html
 import re
 from xml.etree import ElementTree
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udf
+from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from marlstone.functions.text import clean, ordered_distinct, strip_tags
@@ -46,9 +47,9 @@ def parse(text: str) -> list[dict] | None:
         return found or None
 
 
-@udf(ITEMS)
-def feed_items(text):
-    return parse(text) if text else None
+@pandas_udf(ITEMS)
+def feed_items(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: parse(t) if t else None)
 
 
 def items(payloads: DataFrame) -> DataFrame:

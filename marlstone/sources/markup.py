@@ -6,9 +6,10 @@ import datetime as dt
 import html
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udf, udtf
+from pyspark.sql.functions import pandas_udf, udtf
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from marlstone.functions.fuzzy import html_unescape
@@ -77,14 +78,11 @@ def walk(document: str) -> tuple[list[dict], bool]:
     return found, True
 
 
-@udf(LD_EVENT)
-def ld_events(blocks):
-    return [e for b in blocks or [] for e in walk(b)[0]]
-
-
-@udf(BooleanType())
-def ld_whole(blocks):
-    return all(walk(b)[1] for b in blocks or [])
+@pandas_udf(StructType([StructField("events", LD_EVENT), StructField("whole", BooleanType())]))
+def ld_parsed(blocks: pd.Series) -> pd.DataFrame:
+    """Events of all blocks of a page, and whether every block is sound JSON; each is parsed once."""
+    walked = [[walk(b) for b in each] if each is not None else [] for each in blocks]
+    return pd.DataFrame({"events": [[e for found, _ in page for e in found] for page in walked], "whole": [all(ok for _, ok in page) for page in walked]})
 
 
 @udtf(returnType="uid string, title string, start string, end string, location string, price string, url string, status string, description string, kind string")
@@ -100,8 +98,8 @@ def read_jsonld(payloads: DataFrame, today: dt.date, horizon_days: int = 120, zo
     """Events in JSON-LD blocks of pages; a page whose blocks hold none, or whose JSON is broken, says so."""
     blocks = F.regexp_extract_all(text_body(), F.lit(LD_BLOCK), F.lit(1))
     pages = payloads.select("space_id", "source_label", "url", guard(HTML, F.coalesce(F.contains(F.lower(text_body()), F.lit("<")), F.lit(False)), "not_html").alias("problem"), blocks.alias("blocks"))
-    pages = pages.withColumn("e", F.when(F.col("problem").isNull(), ld_events("blocks")))
-    said = F.when(F.size("blocks") == 0, "no_jsonld").when((F.size("e") == 0) & ~ld_whole("blocks"), "unparseable").when(F.size("e") == 0, "no_events")
+    pages = pages.withColumn("p", ld_parsed(F.when(F.col("problem").isNull(), F.col("blocks")))).withColumn("e", F.col("p.events"))
+    said = F.when(F.size("blocks") == 0, "no_jsonld").when((F.size("e") == 0) & ~F.col("p.whole"), "unparseable").when(F.size("e") == 0, "no_events")
     pages = pages.withColumn("problem", F.coalesce("problem", said))
     rows = pages.select("space_id", "source_label", "url", "problem", F.explode_outer("e").alias("e"))
     whole = ~F.contains(F.col("e.start"), F.lit("T")) & (F.length("e.start") <= 10)
@@ -145,6 +143,12 @@ def read_agenda(payloads: DataFrame, today: dt.date, horizon_days: int = 120, zo
     ), today, horizon_days)
 
 
+def seed_verdicts(pages: DataFrame) -> DataFrame:
+    """(space_id, source_label, problem, pages, failed) of followed seed pages (.., problem): a source fails if all of its pages do; some that fail are a note."""
+    counts = pages.groupBy("space_id", "source_label").agg(F.count("*").alias("pages"), F.count("problem").alias("failed"), F.min("problem").alias("first"))
+    return counts.select("space_id", "source_label", F.when(F.col("failed") == F.col("pages"), F.col("first")).when(F.col("failed") > 0, "some_pages_failed").alias("problem"), "pages", "failed")
+
+
 def seed_links(links: DataFrame, most: int = 20) -> DataFrame:
     """(space_id, source_label, link, problem) of a seed list (.., feed_url, link, pos): distinct, the feed's host only, no format= routes, at most so many."""
     from pyspark.sql import Window

@@ -6,20 +6,34 @@ import atexit
 import re
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """df checkpointed in the folder that spark.checkpoint.dir names; a temporary one is set only where none is."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; a temporary one, set here, only in local mode and where none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        if not named:
-            own = tempfile.mkdtemp(prefix="marlstone-")
-            atexit.register(shutil.rmtree, own, True)
-            named = f"file://{own}"
+        own = tempfile.mkdtemp(prefix="marlstone-")
+        atexit.register(shutil.rmtree, own, True)
+        named = f"file://{own}"
+        spark.conf.set("spark.checkpoint.dir", named)
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df checkpointed in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written once as a Parquet table in the shared folder and read back; computed once, where a checkpoint computes twice."""
+    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -208,3 +208,28 @@ def test_gates(spark):
     assert v({"max_stale_days": 30}, stale_days=31.0) == ("blocked", ["stale_feed"]) and v({"max_stale_days": 30}) == ("ok", ["no_last_modified"]) and v(event_count=0) == ("ok", ["filtered_to_zero"])
     code = lambda cur, prev, sp=None: one(spark, gates.global_gate(F.lit(cur), F.lit(prev).cast("long"), F.lit(sp).cast("string"))["code"])[0]
     assert [code(60, 100), code(59, 100), code(5, None), code(1, 100, "s")] == ["global_ok", "global_count_drop", "global_no_baseline", "global_gate_skipped"]
+
+
+def test_switches_of_a_space_reach_its_sources(spark):
+    from marlstone.sources import registry
+
+    text = "spaces: [{id: a, name: A, health: {allow_zero: true, max_stale_days: 9}, sources: [{adapter: ics, label: x, url: 'https://e.org', health: {max_stale_days: 3}}, {adapter: ics, label: y, url: 'https://e.org'}]}]"
+    spaces, sources = registry.load(text, {}).frames(spark)
+    got = {r.source_label: r.health for r in gates.merged_health(spaces, sources).collect()}
+    assert got["x"].allow_zero and got["y"].allow_zero and (got["x"].max_stale_days, got["y"].max_stale_days) == (3, 9)
+
+
+def test_titles_of_compatible_forms(spark):
+    from marlstone.functions.text import normalize_title
+
+    rows = [("Ｆｕｌｌ　ｗｉｄｔｈ！",), ("ﬁne_arts",), ("Plain, text",), (None,), ("e\u0301tude",)]
+    got = [r.t for r in spark.createDataFrame(rows, "x string").select(normalize_title(F.col("x")).alias("t")).collect()]
+    assert got == ["full width", "fine arts", "plain text", "", "étude"]
+
+
+def test_chains_of_matches_share_no_winner(spark):
+    """One event that matches both ends joins them in a cluster, but each is compared with the winner."""
+    rows = [{"uid": "a", "start_utc": at(0), "title": "Welding"}, {"uid": "b", "start_utc": at(25), "title": "Welding"}, {"uid": "c", "start_utc": at(50), "title": "Welding"}, {"uid": "d", "start_utc": at(300), "title": "Welding"}]
+    sources = spark.createDataFrame([], "space_id string, source_label string, trust int")
+    done = resolve.merge_pass(events(spark, *rows), sources, False).collect()
+    assert {r.uid: [x.uid for x in r.absorbed] for r in done} == {"a": ["b"], "c": [], "d": []}

@@ -199,3 +199,27 @@ def test_fetch_rules(spark, tmp_path):
     archive(one, path)
     archive(payload(spark, "b", "text/html"), path)
     assert spark.read.parquet(path).count() == 2 and spark.read.parquet(path).select(F.first("extension")).first()[0] == "html"
+
+
+def test_organizer_pages_that_drifted(spark):
+    page = lambda props: payload(spark, f'<script id="__NEXT_DATA__" type="application/json">{json.dumps({"props": {"pageProps": props}})}</script>', "text/html")
+    item = {"id": "1", "name": "x", "start_date": "2026-03-08", "start_time": "11:00"}
+    said = lambda props: reports_of(read_source("nextdata", page(props), TODAY, 30)).first()["problem"]
+    assert said({"upcomingEvents": [], "upcomingEventsTotal": 0}) is None
+    assert said({"upcomingEvents": [item], "upcomingEventsTotal": 1}) is None
+    assert said({"upcomingEvents": [], "upcomingEventsTotal": 3}) == "count_disagrees"
+    assert said({"upcomingEvents": [item], "upcomingEventsTotal": 0}) == "count_disagrees"
+    assert said({"upcomingEvents": [item], "upcomingEventsTotal": True}) == "no_total"
+    assert said({"upcomingEvents": {}, "upcomingEventsTotal": 1}) == "no_events_key"
+    assert said({"upcomingEvents": [{"id": "1", "start_date": "2026-03-08"}], "upcomingEventsTotal": 1}) == "no_dates"
+
+
+def test_undated_calendar_entries_are_counted(spark):
+    body = "BEGIN:VCALENDAR\r\nVERSION:2.0\r\nPRODID:x\r\nBEGIN:VEVENT\r\nUID:1\r\nDTSTART:soon\r\nEND:VEVENT\r\nEND:VCALENDAR\r\n"
+    report = reports_of(read_source("ics", payload(spark, body, "text/calendar"), TODAY, 30)).first()
+    assert (report.undated_count, report.horizon_count, report.problem) == (1, 0, None)
+
+
+def test_request_parameters_replace_their_own():
+    spec = registry.SourceSpec(adapter="json", shape="s", url="https://e.org/x?page=1&orderby=name#f", params={"orderby": "date", "n": 5})
+    assert registry.source_url(spec) == "https://e.org/x?page=1&orderby=date&n=5#f"
