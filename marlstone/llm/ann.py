@@ -9,7 +9,10 @@ travel in bundles, so that a query goes to each bundle once with its lists there
 and k rows come back for it, however many of them it meets. How
 wide the beam must be depends on the table, so it is measured: some of its queries
 are answered exactly, and the beam, then the distance ratio, grow until these find
-the share ``recall`` of their true neighbours. At worst all lists are met. Bundles
+the share ``recall`` of their true neighbours. At worst all lists are met. Where the
+number of lists has reached its limit, lists grow with the table; one of over twice
+``list_rows`` rows is then cut into cells around rows of its own, and a query meets
+as many of its nearest cells as keep that recall, measured likewise. Bundles
 beyond ``bundle_rows`` are cut into parts, so a task's size
 is bounded however many vectors share a spot. Scores are inner products of the
 original vectors in double precision, added up in the order of the components.
@@ -31,6 +34,10 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import saved, spread
 
 
+#: Cells of a list have numbers below this.
+UNITS = 1 << 20
+
+
 @dataclass
 class Centroids:
     points: np.ndarray
@@ -173,6 +180,95 @@ def _merged(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
     return rows.drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k)
 
 
+def _by_list(spark, held: np.ndarray, cells: np.ndarray, bundle_rows: int) -> DataFrame:
+    """(list, cells, rate, parts) of the lists that are cut into cells; a row a list, at most a few times max_lists."""
+    at = np.flatnonzero(cells > 1)
+    rows = pd.DataFrame({"list": at, "rate": cells[at] / held[at], "parts": -(-held[at] // bundle_rows)})
+    return F.broadcast(spark.createDataFrame(rows, "list int, rate double, parts int"))
+
+
+def _pivots(posted: DataFrame, held: np.ndarray, cells: np.ndarray, bundle_rows: int) -> DataFrame:
+    """(list, cell, p, parts): rows of large lists drawn by hash, about one a cell; a list of which none is drawn stays whole."""
+    info = _by_list(posted.sparkSession, held, cells, bundle_rows)
+    draw = F.pmod(F.xxhash64("vec_id", "list"), F.lit(1 << 30))
+    drawn = posted.join(info, "list").where(draw < F.col("rate") * (1 << 30))
+    nth = F.row_number().over(Window.partitionBy("list").orderBy(F.xxhash64("vec_id", "list"), "vec_id"))
+    return saved(drawn.select("list", (nth - 1).alias("cell"), F.col("v").alias("p"), "parts"))
+
+
+def _celled(posted: DataFrame, pivots: DataFrame, held: np.ndarray, cells: np.ndarray, bundle_rows: int) -> DataFrame:
+    """posted with cell: the nearest pivot of the row's list, 0 in lists without."""
+    cut = pivots.select("list", "parts").distinct()
+    mine = posted.join(F.broadcast(cut), "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+    theirs = pivots.select(F.col("list").alias("l"), F.col("cell").alias("cell"), F.col("p").alias("p"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
+
+    def place(rows: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or near.empty:
+            return rows.assign(cell=0)[["vec_id", "v", "list", "cell"]]
+        near = near.sort_values("cell")
+        cell = nearest(np.stack(rows["v"].to_numpy()), np.stack(near["p"].to_numpy()))
+        return rows.assign(cell=near["cell"].to_numpy()[cell])[["vec_id", "v", "list", "cell"]]
+
+    out = mine.groupBy("list", "part").cogroup(theirs.groupBy("l", "k")).applyInPandas(place, "vec_id long, v array<double>, list int, cell int")
+    rest = posted.join(F.broadcast(cut.select("list")), "list", "left_anti")
+    return saved(rest.select("vec_id", "v", "list", F.lit(0).alias("cell")).union(out))
+
+
+def _order(q: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Cells by nearness for each query: by the inner product that they are searched for, less half the square of their centre (the order of Euclidean distance)."""
+    return np.argsort(squared(q, p), axis=1, kind="stable")
+
+
+def _near_cells(asks: DataFrame, pivots: DataFrame, most: int, query_rows: int) -> DataFrame:
+    """(query_id, q, unit): of each asked list (query_id, q, list) the most nearest cells."""
+    load = asks.groupBy("list").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("blocks"))
+    left = asks.join(load, "list").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int")).select("query_id", "q", "list", "block")
+    right = pivots.join(load.select(F.col("list").alias("l"), F.col("blocks").alias("n")), F.col("list") == F.col("l")).select("l", "cell", "p", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
+
+    def pick(rows: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({"query_id": [], "q": [], "unit": []}).astype({"query_id": "int64", "unit": "int64"})
+        at = int(rows["list"].iloc[0]) * UNITS
+        if near.empty:
+            return rows.assign(unit=at)[["query_id", "q", "unit"]]
+        near = near.sort_values("cell")
+        order = _order(np.stack(rows["q"].to_numpy()), np.stack(near["p"].to_numpy()))[:, :most]
+        who = np.repeat(np.arange(len(rows)), order.shape[1])
+        return pd.DataFrame({"query_id": rows["query_id"].to_numpy()[who], "q": rows["q"].to_numpy()[who], "unit": at + near["cell"].to_numpy()[order.ravel()]})
+
+    return left.groupBy("list", "block").cogroup(right.groupBy("l", "k")).applyInPandas(pick, "query_id long, q array<double>, unit long")
+
+
+def _cells_needed(spark, posted: DataFrame, pivots: DataFrame, asks: list[tuple], met: set, true: pd.DataFrame, cells: np.ndarray, recall: float) -> int:
+    """How many nearest cells of each list the pilots must meet to find the share recall of their true neighbours; asks: their (query_id, list, q) of cut lists, met: (query_id, list) of others."""
+    known = F.broadcast(spark.createDataFrame(true[["vec_id"]].drop_duplicates(), "vec_id long"))
+    homes: dict[int, list[tuple[int, int]]] = {}
+    for r in posted.join(known, "vec_id").select("vec_id", "list", "cell").collect():  # pilots times k rows, and their replicas
+        homes.setdefault(r["vec_id"], []).append((r["list"], r["cell"]))
+    wanted: dict[int, list[int]] = {}
+    for q, v in zip(true["query_id"].tolist(), true["vec_id"].tolist(), strict=True):
+        wanted.setdefault(q, []).append(v)
+
+    def ranks(rows: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if not rows.empty and not near.empty:
+            near = near.sort_values("cell")
+            order = _order(np.stack(rows["q"].to_numpy()), np.stack(near["p"].to_numpy()))
+            at, place = int(rows["list"].iloc[0]), np.argsort(order, axis=1)
+            row_of = {c: i for i, c in enumerate(near["cell"].tolist())}
+            for n, q in enumerate(rows["query_id"].tolist()):
+                out += [(q, v, int(place[n, row_of[c]])) for v in wanted[q] for lst, c in homes[v] if lst == at]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "rank"])
+
+    asked = spark.createDataFrame(asks, "query_id long, list int, q array<double>") if asks else None
+    found = asked.groupBy("list").cogroup(pivots.groupBy("list")).applyInPandas(ranks, "query_id long, vec_id long, rank int").groupBy("query_id", "vec_id").agg(F.min("rank").alias("rank")).collect() if asks else []
+    least = {(r["query_id"], r["vec_id"]): r["rank"] for r in found}
+    need = [0 if any((q, lst) in met for lst, _ in homes[v]) else least.get((q, v), np.inf) for q, vs in wanted.items() for v in vs]
+    at = int(np.ceil(recall * len(need))) - 1
+    rank = np.sort(np.array(need, float))[max(at, 0)]
+    return int(rank) + 1 if np.isfinite(rank) else int(cells.max()) + 1000
+
+
 def usable(vectors: DataFrame, vector: str) -> DataFrame:
     ok = F.coalesce(F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vector, lambda x: x != 0), F.lit(False))
     return vectors.where(F.col("vec_id").isNotNull() & ok)
@@ -225,6 +321,11 @@ def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding",
     held = np.zeros(len(centroids.points), np.int64)
     for c, size in counts.items():
         held[c] = size
+    cells = np.where(held > 2 * list_rows, -(-held // list_rows), 1)
+    big = cells > 1
+    pivots = _pivots(posted, held, cells, bundle_rows) if big.any() else None
+    posted = _celled(posted, pivots, held, cells, bundle_rows) if big.any() else posted.withColumn("cell", F.lit(0))
+    lists_recall = recall + (1 - recall) / 2 if big.any() else recall
 
     pilot = rows.where(is_query).orderBy(F.xxhash64("vec_id"), "vec_id").limit(pilots).toPandas()
     if pilot.empty:
@@ -250,7 +351,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding",
         r, c = np.nonzero(keep)
         met[r, ids[r, c]] = True
         share = np.mean([met[i, homes[v]].any() for i, v in zip(whose, true["vec_id"], strict=True)])
-        if share >= recall or (beam >= len(held) and probe == 1e300):
+        if share >= lists_recall or (beam >= len(held) and probe == 1e300):
             break
         if beam < len(held) and keep[:, -1].any():
             beam = -(-beam * 5 // 4)
@@ -258,37 +359,55 @@ def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding",
             probe = probe * 1.25 if probe < 100 else 1e300
             beam = beam if probe < 1e300 else len(held)
 
-    bundles = max(32, -(-int(held.sum()) // bundle_rows))
-    bundle = np.minimum((np.cumsum(held) - held / 2) * bundles // max(1, held.sum()), bundles - 1).astype(int)  # of about equal rows
+    near_cells = 1
+    if big.any() and len(true):
+        ids, keep = kept(pilot["v"], beam, probe)
+        asks = [(int(pilot["vec_id"][r]), int(ids[r, c]), [float(x) for x in pilot["v"][r]]) for r, c in zip(*np.nonzero(keep & big[ids]), strict=True)]
+        met = {(int(pilot["vec_id"][r]), int(ids[r, c])) for r, c in zip(*np.nonzero(keep & ~big[ids]), strict=True)}
+        near_cells = _cells_needed(spark, posted, pivots, asks, met, true, cells, recall)
+
+    loose = np.where(big, 0, held)
+    bundles = max(32, -(-int(loose.sum()) // bundle_rows))
+    bundle = np.minimum((np.cumsum(loose) - loose / 2) * bundles // max(1, loose.sum()), bundles - 1).astype(int)  # of about equal rows
+    more = max(1, -(-int(held[big].sum()) // bundle_rows))
 
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lo in range(0, len(b), 512):
                 part = b.iloc[lo : lo + 512]
                 ids, keep = kept(part["v"], beam, probe)
-                lists_of: dict[tuple[int, int], list[int]] = {}
+                units_of: dict[tuple[int, int, int], list[int]] = {}
                 for r, c in zip(*np.nonzero(keep), strict=True):
-                    lists_of.setdefault((r, bundle[ids[r, c]]), []).append(ids[r, c])
-                r = [r for r, _ in lists_of]
-                yield pd.DataFrame({"query_id": part["vec_id"].to_numpy()[r], "q": part["v"].to_numpy()[r], "bundle": [b for _, b in lists_of], "lists": list(lists_of.values())})
+                    at = int(ids[r, c])
+                    key = (r, -1, at) if big[at] else (r, int(bundle[at]), -1)
+                    units_of.setdefault(key, []).append(at * UNITS)
+                r = [k[0] for k in units_of]
+                yield pd.DataFrame({"query_id": part["vec_id"].to_numpy()[r], "q": part["v"].to_numpy()[r], "bundle": [k[1] for k in units_of], "list": [k[2] for k in units_of], "units": list(units_of.values())})
 
-    asked = rows.where(is_query).repartition(spread(vectors)).mapInPandas(probes, "query_id long, q array<double>, bundle int, lists array<int>")
+    asked = rows.where(is_query).repartition(spread(vectors)).mapInPandas(probes, "query_id long, q array<double>, bundle int, list int, units array<long>")
     asked = saved(asked)
+    unit_bundle = lambda unit: (F.lit(bundles) + F.pmod(F.xxhash64(unit), F.lit(more))).cast("int")
+    if big.any():
+        cut_units = _near_cells(asked.where("list >= 0"), pivots, near_cells, query_rows).withColumn("bundle", unit_bundle("unit"))
+        gathered = cut_units.groupBy("query_id", "bundle").agg(F.first("q").alias("q"), F.collect_list("unit").alias("units"))
+        asked = saved(asked.where("list < 0").select("query_id", "q", "bundle", "units").unionByName(gathered))
     cut = lambda id_, per, n: F.pmod(F.xxhash64(id_), F.ceil(n / F.lit(per))).cast("int")
-    posted = posted.join(F.broadcast(spark.createDataFrame(pd.DataFrame({"list": np.arange(len(bundle)), "bundle": bundle}), "list int, bundle int")), "list")
+    posted = posted.withColumn("unit", F.col("list").cast("long") * UNITS + F.col("cell"))
+    posted = posted.join(F.broadcast(spark.createDataFrame(pd.DataFrame({"list": np.arange(len(bundle)), "of": np.where(big, -1, bundle)}), "list int, of int")), "list")
+    posted = posted.withColumn("bundle", F.when(F.col("of") >= 0, F.col("of")).otherwise(unit_bundle("unit")))
     loads = posted.groupBy("bundle").agg(F.count("*").alias("n")).join(asked.groupBy("bundle").agg(F.count("*").alias("m")), "bundle")
     loads = saved(loads)  # a row per bundle
-    vs = posted.join(F.broadcast(loads), "bundle").withColumn("part", cut("vec_id", bundle_rows, F.col("n"))).withColumn("block", F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / query_rows).cast("int") - 1))).select("bundle", "part", "block", "list", "vec_id", "v")
-    qs = asked.join(F.broadcast(loads), "bundle").withColumn("block", cut("query_id", query_rows, F.col("m"))).withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / bundle_rows).cast("int") - 1))).select("bundle", "part", "block", "query_id", "q", "lists")
+    vs = posted.join(F.broadcast(loads), "bundle").withColumn("part", cut("vec_id", bundle_rows, F.col("n"))).withColumn("block", F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / query_rows).cast("int") - 1))).select("bundle", "part", "block", "unit", "vec_id", "v")
+    qs = asked.join(F.broadcast(loads), "bundle").withColumn("block", cut("query_id", query_rows, F.col("m"))).withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / bundle_rows).cast("int") - 1))).select("bundle", "part", "block", "query_id", "q", "units")
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
         if not len(left) or not len(right):
             return none
-        right = right.sort_values(["list", "vec_id"])
-        ids, x, of = right["vec_id"].to_numpy(), np.stack(right["v"].to_numpy()), right["list"].to_numpy()
+        right = right.sort_values(["unit", "vec_id"])
+        ids, x, of = right["vec_id"].to_numpy(), np.stack(right["v"].to_numpy()), right["unit"].to_numpy()
         own, q = left["query_id"].to_numpy(), np.stack(left["q"].to_numpy())
-        met = left["lists"].to_numpy()
+        met = left["units"].to_numpy()
         who, which = np.repeat(np.arange(len(left)), [len(m) for m in met]), np.concatenate(met)
         by = np.argsort(which, kind="stable")
         who, which = who[by], which[by]

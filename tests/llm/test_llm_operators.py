@@ -632,6 +632,22 @@ def test_neighbours_among_many_lists(spark):
     assert hits / (200 * 20) >= 0.9
 
 
+def test_neighbours_in_lists_that_outgrow_their_number(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(6000, 24))
+    x[100:700] = x[100]
+    vectors = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(vectors, F.col("vec_id") % 60 == 0, k=20, list_rows=60, max_lists=12, bundle_rows=500).toPandas()
+    hits = 0
+    for q in range(0, 6000, 60):
+        s = np.cumsum(x * x[q], axis=1)[:, -1]
+        order = [int(i) for i in np.lexsort((np.arange(6000), -s)) if i != q][:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert mine["rank"].tolist() == list(range(1, 21)) and mine.score.tolist() == s[mine.vec_id].tolist()
+        hits += len(set(order) & set(mine.vec_id))
+    assert hits / 2000 >= 0.9, hits / 2000
+
+
 URLS = ["https://a.example.net/en/1", "http://EXAMPLE.net/en", "http://example.net/en/", "x://b.example.com/de/2?q", "http://example.com/de", "http://q.org/fr/9#t", "http://org/fr/", "http://forg/fr/", "http://a.net", "http://a.net/", "http://a.net?x", "nourl", None, "", "http://example.net.evil.io/en/", "a://b://c.net/z", "http://example.com:80/de/", "http://É.net/É"]
 
 
