@@ -39,7 +39,7 @@ class Forest:
         by = np.argsort(keys, kind="stable")
         self.kids, self.keys = inner[by], keys[by]
 
-    def within(self, radius: int, budget: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def within(self, radius: int, budget: int = 300_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (i, j) of input positions in one shard with a distance of at most radius, i<>j; both directions."""
         sizes = np.repeat(self.sizes, self.sizes)
         roots = np.repeat(self.roots, self.sizes)

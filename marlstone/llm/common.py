@@ -2,50 +2,34 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from marlstone.staging import shared_dir
+from marlstone.staging import written as saved
+
+__all__ = ["LOWER_AZ", "lean", "saved", "shared_dir", "sliced", "spread", "table", "unique_name"]
+
 #: Byte table that lower-cases A-Z only.
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Rows of an Arrow batch of whole texts; Spark's own 10,000 hold tens of MB several times over, in the JVM and in each worker.
+BATCH_ROWS = 1000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one, set here, only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    if not named:
-        own = tempfile.mkdtemp(prefix="marlstone-")
-        atexit.register(shutil.rmtree, own, True)
-        named = f"file://{own}"
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """df written once as a Parquet table in the shared folder and read back: lineage ends there, and a lost executor costs no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """checkpoint() of a small intermediate result in an iteration."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def lean(df: DataFrame) -> DataFrame:
+    """df, its session set to hand whole texts to Python in small batches unless it names a number of its own."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(name)) == 10_000:
+        conf.set(name, BATCH_ROWS)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def unique_name(df: DataFrame | Iterable[str], base: str) -> str:

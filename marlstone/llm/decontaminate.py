@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import sliced
+from marlstone.llm.common import lean, sliced
 
 ITEMS_AT_ONCE = 20_000
 #: Words of the widest window: beyond, walks of edited texts part for good before they end.
@@ -251,7 +251,7 @@ def _portions(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple[l
         yield ids, texts
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.2, recall: float = 0.97, samples: int = 4, items_at_once: int = ITEMS_AT_ONCE, chars_at_once: int = 2_000_000) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.2, recall: float = 0.97, samples: int = 4, items_at_once: int = ITEMS_AT_ONCE, chars_at_once: int = 500_000) -> DataFrame:
     """(doc_id, item_id, distance, item_words, at_word): the best match of each item in each document, within ratio edits a word.
 
     recall: the share of matches edited to the limit of ratio that are found; of
@@ -263,7 +263,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.2, recall
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     n_parts = max(1, -(-items.count() // items_at_once))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = lean(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for part in range(n_parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)) == part).collect()  # about items_at_once rows

@@ -27,13 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from marlstone.llm.common import sliced
+from marlstone.llm.common import lean, sliced
 
 UNDETERMINED = "und"
 BITS = 17
 BLOCK = 64
 #: A text is rejected below this part of the least share of known trigrams among the samples (their lowest hundredth aside); its own share counts so many known ones more, since few letters tell little.
-LEAST_PART, GRACE = 0.75, 10
+LEAST_PART, GRACE = 0.7, 20
 
 
 @functools.lru_cache(maxsize=1)
@@ -302,7 +302,7 @@ def fit(docs: DataFrame, per_language: int = 400, stretch: int = 4000) -> Model:
 ADDED = ("lang_pred", "score", "known")
 
 
-def identify(docs: DataFrame, model: Model, chars_at_once: int = 300_000) -> DataFrame:
+def identify(docs: DataFrame, model: Model, chars_at_once: int = 200_000) -> DataFrame:
     """docs with lang_pred, score and known added (columns of these names are replaced).
 
     lang_pred is und, with score 0, for a null text and one without a letter;
@@ -311,7 +311,7 @@ def identify(docs: DataFrame, model: Model, chars_at_once: int = 300_000) -> Dat
     in none of its languages. Repeated rows are all kept, and an empty table gives
     an empty result.
     """
-    docs = docs.drop(*ADDED)
+    docs = lean(docs.drop(*ADDED))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

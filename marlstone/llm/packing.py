@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import saved, sliced
+from marlstone.llm.common import lean, saved, sliced
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 END_ID = 1
@@ -67,7 +67,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return lean(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
 
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:

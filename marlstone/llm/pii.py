@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from marlstone.llm.common import sliced, unique_name
+from marlstone.llm.common import lean, sliced, unique_name
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -432,13 +432,13 @@ def fit(docs: DataFrame, sample: int = 1500, stretch: int = 4000) -> Field:
     return Field.fit(build(texts, [patterns(t) for t in texts], told))
 
 
-def find(docs: DataFrame, field: Field, chars_at_once: int = 500_000) -> DataFrame:
+def find(docs: DataFrame, field: Field, chars_at_once: int = 300_000) -> DataFrame:
     """docs with base and spans added: arrays of (kind number, start, end) in code points, end exclusive.
 
     Null and empty texts have none; repeated rows are all kept; an empty table
     gives an empty result. Columns of docs named base or spans are replaced.
     """
-    docs = docs.drop("base", "spans")
+    docs = lean(docs.drop("base", "spans"))
     at = docs.columns.index("text")
     kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
     as_rows = lambda spans: [{"kind": k, "start": s, "end": e} for k, s, e in spans]

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import saved, sliced
+from marlstone.llm.common import lean, saved, sliced
 
 K = 8
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -247,7 +247,7 @@ def repeated_windows_removed(docs: DataFrame, window: int = 35, k: int = K) -> D
     are empty, short texts lose nothing, repeated rows count as copies of each
     other, extra columns are ignored, and an empty table gives an empty result.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = lean(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = source.select("text")
     rows = saved(source.mapInArrow(_rows, "doc_id long, rid binary, n_words long, whole_sha256 string"))
     copied = rows.where(F.col("n_words") >= window).groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select("rid")
