@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.bktree import Forest, least_labels
-from marlstone.llm.common import LOWER_AZ, saved, sliced, spread
+from marlstone.llm.common import LOWER_AZ, lean, saved, sliced, spread
 from marlstone.operators.components import components
 
 #: Fingerprints in a tree, and about those of a task.
-SHARD_ROWS, TASK_ROWS = 3000, 400_000
+SHARD_ROWS, TASK_ROWS = 3000, 200_000
 #: Differing bits of 64 beyond which texts are not compared exactly: at similarity 0.8 they differ in 9.7 on average, with a deviation of under 1 over twelve fingerprints.
 MOST_BITS = 14
 
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
             fp = np.array([majority(shingle_hashes(t, words, seed)) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return lean(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def _banded(df: DataFrame, bits: int, bands: int) -> DataFrame:
@@ -94,18 +94,23 @@ def shards(prints: DataFrame, radius: int, shard_rows: int = SHARD_ROWS) -> Data
         done.append(now.join(hot, "key", "left_anti").select("item", "fp", "key"))
         now = now.join(hot, "key", "left_semi")
         bits -= cut + bits % (radius + 1)  # the last band may be wider: later levels only use bits all have open
-    out = _blocked(now.select("item", "fp", "key"), shard_rows)
+    left = now.select("item", "fp", "key")
+    out = _blocked(left, _large(left, shard_rows))
     for part in done:
         out = out.union(part)
     return out
 
 
-def _blocked(rows: DataFrame, shard_rows: int) -> DataFrame:
-    """rows (item, ..., key) with every key of over shard_rows rows cut into blocks, each pair of which becomes a key of its own."""
-    big = rows.groupBy("key").count().where(F.col("count") > shard_rows).select("key", F.ceil(F.col("count") / shard_rows).cast("int").alias("n"))
-    if big.isEmpty():
+def _large(rows: DataFrame, shard_rows: int) -> DataFrame | None:
+    """(key, n) of keys of over shard_rows rows, with the blocks to cut them into; None if there are none."""
+    big = saved(rows.groupBy("key").count().where(F.col("count") > shard_rows).select("key", F.ceil(F.col("count") / shard_rows).cast("int").alias("n")))
+    return None if big.isEmpty() else big
+
+
+def _blocked(rows: DataFrame, big: DataFrame | None) -> DataFrame:
+    """rows (item, ..., key) with every key of big cut into blocks, each pair of which becomes a key of its own."""
+    if big is None:
         return rows
-    big = saved(big)
     others = [c for c in rows.columns if c != "key"]
     mine = F.pmod(F.xxhash64("item"), F.col("n")).cast("int")
     cut = rows.join(big, "key").select(*others, "key", mine.alias("x"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("y"))
@@ -113,12 +118,13 @@ def _blocked(rows: DataFrame, shard_rows: int) -> DataFrame:
     return rows.join(big, "key", "left_anti").select(*others, "key").union(cut)
 
 
-def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None, every: bool = False, apart: bool = False) -> DataFrame:
-    """(u, v): for each item with a neighbour in its shard, the smallest item that the shard's links connect it to; every: all its neighbours v < u instead.
+def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None, apart: str = "") -> DataFrame:
+    """(u, v, bits): for each item with a neighbour in its shard, the smallest item that the shard's links connect it to.
 
     parts: tasks to deal the shards out to; each holds its rows as arrays.
     second: most differing bits of a further fingerprint, fp2, for a link.
-    apart: no links between items of equal ``label``, with every.
+    apart: links between items of different ``label`` instead; "nearest": from
+    each item to the one that differs in the fewest bits, "every": all, v < u.
     """
     columns = ["key", "item", "fp", *(["fp2"] if second is not None else []), *(["label"] if apart else [])]
 
@@ -136,19 +142,30 @@ def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None
         if second is not None:
             other = df["fp2"].to_numpy().view(np.uint64)
             pairs = ((i[near], j[near]) for i, j in pairs if (near := np.bitwise_count(other[i] ^ other[j]) <= second).any())
-        if every:
-            label = df["label"].to_numpy() if apart else item
-            for i, j in pairs:
-                far = label[i] != label[j]
-                i, j = i[far], j[far]
-                u, v = item[i], item[j]
-                yield pd.DataFrame({"u": u[u > v], "v": v[u > v]}).drop_duplicates()
+        if not apart:
+            least = least_labels(len(item), pairs, item)
+            far = least != item
+            yield pd.DataFrame({"u": item[far], "v": least[far], "bits": 0}).drop_duplicates()
             return
-        least = least_labels(len(item), pairs, item)
-        far = least != item
-        yield pd.DataFrame({"u": item[far], "v": least[far]}).drop_duplicates()
+        label, best = df["label"].to_numpy(), None
+        for i, j in pairs:
+            far = label[i] != label[j]
+            u, v = item[i[far]], item[j[far]]
+            bits = np.bitwise_count(fp[i[far]] ^ fp[j[far]]).astype(np.int64) + (np.bitwise_count(other[i[far]] ^ other[j[far]]) if second is not None else 0)
+            new = pd.DataFrame({"u": u, "v": v, "bits": bits})
+            if apart == "every":
+                yield new[new["u"] > new["v"]].drop_duplicates()
+            else:
+                best = _first(new if best is None else pd.concat([best, new]))
+        if best is not None:
+            yield best
+
+    return sharded.repartition(parts, "key").select(*columns).mapInPandas(run, "u long, v long, bits long")
 
-    return sharded.repartition(parts, "key").select(*columns).mapInPandas(run, "u long, v long")
+
+def _first(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of each u the row of the fewest bits, then of the smallest v."""
+    return rows.sort_values(["u", "bits", "v"]).drop_duplicates("u")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, seed: int = 42, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -163,7 +180,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, seed: int
     prints = saved(fingerprints(docs, words, seed))
     reps = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("item")).select("item", "fp"))
     parts = max(spread(docs), reps.count() * (radius + 1) // TASK_ROWS)
-    found = components(links(shards(reps.where("item is not null"), radius, shard_rows), radius, parts))
+    found = components(links(shards(reps.where("item is not null"), radius, shard_rows), radius, parts).select("u", "v"))
     named = reps.join(found.withColumnRenamed("node", "item"), "item", "left").select("fp", F.coalesce("component", "item").alias("component_id"))
     return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
@@ -209,54 +226,62 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, print
     one, differ in at most radius bits of it (found by the band's BK-tree) and
     in at most second bits of the next are candidates. In every component of
     candidates the smallest document is compared with the others by the exact
-    Jaccard similarity of their shingles; those at similarity or more join its star,
-    and the rest form components anew, as long as that removes many. Then large
-    groups are stars, and the candidate pairs of all, but for those in one star, are
-    compared one by one. Of each component of similar pairs the smallest stays,
-    whatever the rounds were. So each row dropped is similar to another of its
-    group, and a clean row stays.
+    Jaccard similarity of their shingles, and similar ones form its group. Then
+    groups grow together: each document is compared with its nearest candidate in
+    another group, and groups with a similar pair become one, until no such pair is
+    similar. What candidates still lie in different groups are compared one by one.
+    Large groups of near copies are thus never paired with themselves. Of each
+    component of similar pairs the smallest stays, whatever the rounds were. So
+    each row dropped is similar to another of its group, and a clean row stays.
 
     At similarity 0.8 a pair is a candidate with a chance of about 0.96, at 0.85 of over 0.99.
     Null texts count as copies of each other, null doc_ids come last, repeated rows
     are copies, and an empty table gives an empty result.
     """
-    columns = docs.columns
+    columns = lean(docs).columns
     row = F.struct(*[docs[c] for c in columns])
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
     unique = docs.groupBy(F.md5("text").alias("digest_")).agg(F.min_by(row, order).alias("r"))
     unique = saved(unique.select("r", F.xxhash64("r.doc_id", "digest_").alias("item")))
     sketched = saved(unique.select("item", "r.text").mapInArrow(_sketches(words, prints), "item long, prints array<long>"))
-    bands = [F.struct(F.xxhash64(F.lit(p), F.lit(b), F.shiftrightunsigned(F.col("prints")[p], 16 * b).bitwiseAND(F.lit(0xFFFF))).alias("key"), F.col("prints")[p].alias("fp"), F.col("prints")[(p + 1) % prints].alias("fp2")) for p in range(prints) for b in range(4)]
-    banded = saved(sketched.select("item", F.explode(F.array(*bands)).alias("b")).select("item", "b.fp", "b.fp2", "b.key"))
+    band = lambda p, b: F.struct(F.xxhash64(F.lit(p), F.lit(b), F.shiftrightunsigned(F.col("prints")[p], 16 * b).bitwiseAND(F.lit(0xFFFF))).alias("key"), F.col("prints")[p].alias("fp"), F.col("prints")[(p + 1) % prints].alias("fp2"))
+    bands = F.explode(F.array(*[band(p, b) for p in range(prints) for b in range(4)])).alias("b")
+    banded = sketched.select("item", bands).select("item", "b.fp", "b.fp2", "b.key")
+    big = _large(banded, shard_rows)
     parts = max(spread(docs), sketched.count() * 4 * prints // TASK_ROWS)
-    near_in = lambda rows: components(links(_blocked(rows, shard_rows), radius, parts, second)).withColumnRenamed("node", "item")
-    found = saved(near_in(banded))
+    found = components(links(_blocked(banded, big), radius, parts, second).select("u", "v")).withColumnRenamed("node", "item")
     members = saved(found.join(unique, "item").select("item", "component", "r.doc_id", "r.text"))
     texts, rank = members.select("item", "text"), F.struct(F.col("doc_id").isNull(), "doc_id", "item")
-    alike = lambda pairs: saved(pairs.join(texts, "item").join(texts.select(F.col("item").alias("lead"), F.col("text").alias("lead_text")), "lead").select("item", "lead", "text", "lead_text").mapInArrow(_jaccard(words), "item long, lead long, near double")).where(F.col("near") >= similarity)
-    rest, left, stars = members.select("item", "component", "doc_id"), members.count(), None
-    while left:
-        first = rest.groupBy("component").agg(F.count("*").alias("n"), F.min_by("item", rank).alias("lead")).where("n > 1").select("component", "lead")
-        pairs = saved(rest.join(first, "component").where("item <> lead").select("item", "doc_id", "lead"))
-        near = alike(pairs.select("item", "lead")).select("item", "lead")
-        stars = near if stars is None else stars.union(near)
-        rest = saved(pairs.join(near, "item", "left_anti").select("item", "doc_id"))
-        dropped, left = near.count(), rest.count()
-        if dropped <= left // 10:
-            break  # no large group is left: the rest is settled pair by pair
-        rest = saved(near_in(banded.join(rest, "item", "left_semi")).join(rest, "item"))
-        left = rest.count()
-    if stars is not None:
-        stars = saved(stars)
-        labels = members.select("item").join(stars, "item", "left").select("item", F.coalesce("lead", "item").alias("label"))
-        pairs = links(_blocked(banded.join(labels, "item"), shard_rows), radius, parts, second, every=True, apart=True).distinct().select(F.col("u").alias("item"), F.col("v").alias("lead"))
-        sketch = sketched.select("item", "prints")
-        both = pairs.join(sketch, "item").join(sketch.select(F.col("item").alias("lead"), F.col("prints").alias("p2")), "lead")
+    sketch = sketched.select("item", "prints")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The similar ones of pairs (item, lead), as edges (u, v)."""
+        both = pairs.join(texts, "item").join(texts.select(F.col("item").alias("lead"), F.col("text").alias("lead_text")), "lead")
+        judged = both.select("item", "lead", "text", "lead_text").mapInArrow(_jaccard(words), "item long, lead long, near double")
+        return saved(judged.where(F.col("near") >= similarity).select(F.col("item").alias("u"), F.col("lead").alias("v")))
+
+    def between(groups: DataFrame, among: DataFrame, apart: str) -> tuple[DataFrame, DataFrame]:
+        """(similar edges between groups (node, component), items that have a candidate in another group), among items."""
+        labels = among.join(groups.withColumnRenamed("node", "item"), "item", "left").select("item", F.coalesce("component", "item").alias("label"))
+        rows = sketched.join(labels, "item").select("item", "label", bands).select("item", "label", "b.fp", "b.fp2", "b.key")
+        found = links(_blocked(rows, big), radius, parts, second, apart)
+        found = saved(found.groupBy("u").agg(F.min_by("v", F.struct("bits", "v")).alias("v")) if apart == "nearest" else found.select("u", "v").distinct())
+        both = found.select(F.col("u").alias("item"), F.col("v").alias("lead")).join(sketch, "item").join(sketch.select(F.col("item").alias("lead"), F.col("prints").alias("p2")), "lead")
         bits = F.aggregate(F.zip_with("prints", "p2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-        similar = alike(both.where(bits <= MOST_BITS * prints).select("item", "lead"))
-        edges = similar.select("item", "lead").union(stars).select(F.col("item").alias("u"), F.col("lead").alias("v"))
-        groups = components(edges).withColumnRenamed("node", "item").join(members.select("item", "doc_id"), "item")
-        first = groups.groupBy("component").agg(F.min_by("item", rank).alias("lead"))
-        gone = groups.join(first, "component").where("item <> lead").select("item")
-        unique = unique.join(gone, "item", "left_anti")
+        return alike(both.where(bits <= MOST_BITS * prints).select("item", "lead")), found.select(F.col("u").alias("item"))
+
+    heads = members.groupBy("component").agg(F.min_by("item", rank).alias("lead"))
+    edges = alike(members.join(heads, "component").where("item <> lead").select("item", "lead"))
+    groups, open_items = components(edges), members.select("item")
+    joined = lambda more: components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
+    while True:
+        grown, open_items = between(groups, open_items, "nearest")
+        if grown.isEmpty():
+            break
+        groups = joined(grown)
+    groups = joined(between(groups, open_items, "every")[0])
+    groups = groups.withColumnRenamed("node", "item").join(members.select("item", "doc_id"), "item")
+    first = groups.groupBy("component").agg(F.min_by("item", rank).alias("lead"))
+    gone = groups.join(first, "component").where("item <> lead").select("item")
+    unique = unique.join(gone, "item", "left_anti")
     return unique.select(*[F.col(f"r.{c}").alias(c) for c in columns])
