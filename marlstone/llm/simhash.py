@@ -26,6 +26,8 @@ from marlstone.operators.components import components
 
 #: Fingerprints in a tree, and about those of a task.
 SHARD_ROWS, TASK_ROWS = 3000, 200_000
+#: Bytes of a task that compares shingles.
+TASK_BYTES = 32 << 20
 #: Differing bits of 64 beyond which texts are not compared exactly: at similarity 0.8 they differ in 9.7 on average, with a deviation of under 1 over twelve fingerprints.
 MOST_BITS = 14
 
@@ -118,15 +120,17 @@ def _blocked(rows: DataFrame, big: DataFrame | None) -> DataFrame:
     return rows.join(big, "key", "left_anti").select(*others, "key").union(cut)
 
 
-def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None, apart: str = "") -> DataFrame:
+def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None, apart: str = "", similarity: float = 1.0) -> DataFrame:
     """(u, v, bits): for each item with a neighbour in its shard, the smallest item that the shard's links connect it to.
 
     parts: tasks to deal the shards out to; each holds its rows as arrays.
     second: most differing bits of a further fingerprint, fp2, for a link.
     apart: links between items of different ``label`` instead; "nearest": from
-    each item to the one that differs in the fewest bits, "every": all, v < u.
+    each item to the one that differs in the fewest bits; "similar": every two whose
+    hashes in ``shingles`` are similar, as far as they join labels that are not yet
+    joined in the task, so that there are fewer links than labels.
     """
-    columns = ["key", "item", "fp", *(["fp2"] if second is not None else []), *(["label"] if apart else [])]
+    columns = ["key", "item", "fp", *(["fp2"] if second is not None else []), *(["label"] if apart else []), *(["shingles"] if apart == "similar" else [])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [b for b in batches if len(b)]
@@ -148,21 +152,59 @@ def links(sharded: DataFrame, radius: int, parts: int, second: int | None = None
             yield pd.DataFrame({"u": item[far], "v": least[far], "bits": 0}).drop_duplicates()
             return
         label, best = df["label"].to_numpy(), None
+        if apart == "similar":
+            yield _joining(item, label, df["shingles"].tolist(), pairs, similarity)
+            return
         for i, j in pairs:
             far = label[i] != label[j]
             u, v = item[i[far]], item[j[far]]
             bits = np.bitwise_count(fp[i[far]] ^ fp[j[far]]).astype(np.int64) + (np.bitwise_count(other[i[far]] ^ other[j[far]]) if second is not None else 0)
             new = pd.DataFrame({"u": u, "v": v, "bits": bits})
-            if apart == "every":
-                yield new[new["u"] > new["v"]].drop_duplicates()
-            else:
-                best = _first(new if best is None else pd.concat([best, new]))
+            best = _first(new if best is None else pd.concat([best, new]))
         if best is not None:
             yield best
 
     return sharded.repartition(parts, "key").select(*columns).mapInPandas(run, "u long, v long, bits long")
 
 
+def _joining(item: np.ndarray, label: np.ndarray, shingles: list[bytes], pairs: Iterator[tuple[np.ndarray, np.ndarray]], similarity: float) -> pd.DataFrame:
+    """(u, v, bits) of similar pairs that join labels not joined before; shingles: each row's distinct hashes, sorted."""
+    at = {x: np.frombuffer(raw, np.uint64) for x, raw in zip(item.tolist(), shingles, strict=True)}
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = x = root.get(up, up)
+        return x
+
+    out, tried = [], set()
+    for i, j in pairs:
+        far = (label[i] != label[j]) & (item[i] > item[j])
+        for u, v, a, b in zip(item[i[far]].tolist(), item[j[far]].tolist(), label[i[far]].tolist(), label[j[far]].tolist(), strict=True):
+            if (u, v) in tried or top(a) == top(b):
+                continue
+            if len(tried) < 500_000:
+                tried.add((u, v))
+            x, y = at[u], at[v]
+            less, more = sorted((len(x), len(y)))
+            if less < similarity * more:
+                continue
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if not more or both / (less + more - both) >= similarity:
+                root[top(a)] = top(b)
+                out.append((u, v, 0))
+    return pd.DataFrame(out, columns=["u", "v", "bits"]).astype("int64")
+
+
+def _shingled(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):
+            found = [np.unique(shingle_hashes(t, words)).tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["item", "shingles"])
+
+    return run
+
+
 def _first(rows: pd.DataFrame) -> pd.DataFrame:
     """Of each u the row of the fewest bits, then of the smallest v."""
     return rows.sort_values(["u", "bits", "v"]).drop_duplicates("u")
@@ -229,8 +271,9 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, print
     Jaccard similarity of their shingles, and similar ones form its group. Then
     groups grow together: each document is compared with its nearest candidate in
     another group, and groups with a similar pair become one, until no such pair is
-    similar. What candidates still lie in different groups are compared one by one.
-    Large groups of near copies are thus never paired with themselves. Of each
+    similar. What candidates still lie in different groups are compared where their
+    band rows meet, the shingles travelling with them, and only pairs that join groups
+    come out. No group of copies or candidates is thus paired with itself in a table. Of each
     component of similar pairs the smallest stays, whatever the rounds were. So
     each row dropped is similar to another of its group, and a clean row stays.
 
@@ -260,26 +303,37 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, print
         judged = both.select("item", "lead", "text", "lead_text").mapInArrow(_jaccard(words), "item long, lead long, near double")
         return saved(judged.where(F.col("near") >= similarity).select(F.col("item").alias("u"), F.col("lead").alias("v")))
 
-    def between(groups: DataFrame, among: DataFrame, apart: str) -> tuple[DataFrame, DataFrame]:
-        """(similar edges between groups (node, component), items that have a candidate in another group), among items."""
-        labels = among.join(groups.withColumnRenamed("node", "item"), "item", "left").select("item", F.coalesce("component", "item").alias("label"))
-        rows = sketched.join(labels, "item").select("item", "label", bands).select("item", "label", "b.fp", "b.fp2", "b.key")
-        found = links(_blocked(rows, big), radius, parts, second, apart)
-        found = saved(found.groupBy("u").agg(F.min_by("v", F.struct("bits", "v")).alias("v")) if apart == "nearest" else found.select("u", "v").distinct())
+    def rows_of(groups: DataFrame, among: DataFrame) -> DataFrame:
+        """Band rows of items with the label of their group (node, component)."""
+        labels = among.join(groups.withColumnRenamed("node", "item"), "item", "left").select(*among.columns, F.coalesce("component", "item").alias("label"))
+        rows = sketched.join(labels, "item")
+        return rows.select("label", *among.columns, bands).select("label", *among.columns, "b.fp", "b.fp2", "b.key")
+
+    def nearest(groups: DataFrame, among: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(similar edges from items to their nearest candidate in another group, items that have such a candidate)."""
+        found = links(_blocked(rows_of(groups, among), big), radius, parts, second, "nearest")
+        found = saved(found.groupBy("u").agg(F.min_by("v", F.struct("bits", "v")).alias("v")))
         both = found.select(F.col("u").alias("item"), F.col("v").alias("lead")).join(sketch, "item").join(sketch.select(F.col("item").alias("lead"), F.col("prints").alias("p2")), "lead")
         bits = F.aggregate(F.zip_with("prints", "p2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
         return alike(both.where(bits <= MOST_BITS * prints).select("item", "lead")), found.select(F.col("u").alias("item"))
 
+    def settled(groups: DataFrame, among: DataFrame) -> DataFrame:
+        """Edges that join groups with a similar pair of candidates, all pairs compared where they meet."""
+        sets = saved(texts.join(among, "item").select("item", "text").mapInArrow(_shingled(words), "item long, shingles binary"))
+        size = sets.agg(F.sum(F.octet_length("shingles") + 64)).first()[0] or 0
+        rows = _blocked(rows_of(groups, sets), big)
+        return saved(links(rows, radius, max(parts, size * 4 * prints // TASK_BYTES), second, "similar", similarity).select("u", "v"))
+
     heads = members.groupBy("component").agg(F.min_by("item", rank).alias("lead"))
     edges = alike(members.join(heads, "component").where("item <> lead").select("item", "lead"))
     groups, open_items = components(edges), members.select("item")
     joined = lambda more: components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
     while True:
-        grown, open_items = between(groups, open_items, "nearest")
+        grown, open_items = nearest(groups, open_items)
         if grown.isEmpty():
             break
         groups = joined(grown)
-    groups = joined(between(groups, open_items, "every")[0])
+    groups = joined(settled(groups, open_items))
     groups = groups.withColumnRenamed("node", "item").join(members.select("item", "doc_id"), "item")
     first = groups.groupBy("component").agg(F.min_by("item", rank).alias("lead"))
     gone = groups.join(first, "component").where("item <> lead").select("item")
