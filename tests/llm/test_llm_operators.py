@@ -113,6 +113,72 @@ def test_chains_of_near_copies(spark):
         assert kept == set(least.values()) | {d for d, _ in others}
 
 
+def brute_groups(sets, similarity):
+    least = dict.fromkeys(sets)
+    for d in sets:
+        least[d] = d
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if least[b] < least[a] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                    least[a], changed = least[b], True
+    return least
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
+def test_alike(similarity):
+    rng = np.random.default_rng(31)
+    for _ in range(60):
+        base = rng.choice(500, int(rng.integers(1, 40)), replace=False)
+        sets = {}
+        for d in range(int(rng.integers(1, 20))):
+            kept = base[rng.random(len(base)) > rng.random() * 0.3].tolist()
+            sets[d] = set(kept + rng.integers(500, 520, int(rng.integers(0, 1 + len(base) // 5))).tolist()) or {0}
+        label = simhash.alike([np.array(sorted(x), np.uint64) for x in sets.values()], similarity).tolist()
+        least = brute_groups(sets, similarity)
+        assert {(label[a] == label[b]) == (least[a] == least[b]) for a in sets for b in sets} == {True}
+
+
+def crowd():
+    """Two crowds of edited copies: of the first hardly two are similar, of the second those of one edit are."""
+    rng, texts = np.random.default_rng(41), {}
+    for c, edits in enumerate(((3, 4), (1, 3, 4))):
+        words = prose(31_000 + c, 150, 5000).split()
+        for i in range(100):
+            own = list(words)
+            for at in rng.choice(150, edits[i % len(edits)], replace=False):
+                own[at] = f"own{c}_{i}_{at}"
+            texts[1000 * c + i] = " ".join(own)
+    return texts
+
+
+@pytest.mark.parametrize("unit_rows", [10, 60, 1000])  # in blocks, taken apart, whole
+def test_crowds_of_near_copies(spark, monkeypatch, unit_rows):
+    texts, tables, saved = crowd(), [], simhash.saved
+    least = brute_groups({d: set(simhash.shingle_hashes(t, 5).tolist()) for d, t in texts.items()}, 0.8)
+    assert 60 < len(set(least.values())) < 180
+    monkeypatch.setattr(simhash, "saved", lambda df: tables.append(saved(df)) or tables[-1])
+    rows = [*texts.items(), (0, texts[0]), (None, texts[1000])]
+    kept = [r.doc_id for r in simhash.deduplicated(frame(spark, rows), **({} if unit_rows == 1000 else {"unit_rows": unit_rows})).collect()]
+    assert sorted(kept) == sorted(set(least.values()))
+    if unit_rows == 1000:  # no table of pairs
+        assert max(t.count() for t in tables) <= len(rows)
+
+
+def test_met_loses_no_pair():
+    rng = np.random.default_rng(43)
+    for classes in (2000, 4):
+        for _ in range(50):
+            n = int(rng.integers(2, 40))
+            size = rng.integers(5, 60, n)
+            most = size + rng.integers(-10, 12, n)
+            least = bktree.least_labels(n, simhash._met(np.arange(n), size, most, classes), np.arange(n))
+            for i in range(n):
+                assert all(least[i] == least[j] for j in range(n) if i != j and size[i] <= most[j] and size[j] <= most[i])
+
+
 def test_recall_at_the_least_similarity(spark):
     rng = np.random.default_rng(17)
     rows, pairs = [], 0
