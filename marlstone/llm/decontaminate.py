@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import lean, sliced
+from marlstone.llm.common import lean, saved, sliced
 
 ITEMS_AT_ONCE = 20_000
 #: Words of the widest window: beyond, walks of edited texts part for good before they end.
@@ -282,6 +282,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.2, recall
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """docs without those that hold a benchmark item; rows with a null doc_id stay."""
-    leaks = find_leaks(docs, benchmark, **how).select("doc_id").distinct()
+    """docs without those that hold a benchmark item; rows with a null doc_id stay.
+
+    The leaks are written first: while they are few, which their table tells, no text is shuffled to meet them.
+    """
+    leaks = saved(find_leaks(docs, benchmark, **how).select("doc_id").distinct())
     return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)

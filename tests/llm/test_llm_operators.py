@@ -234,6 +234,15 @@ def test_decontamination(spark):
     assert decontaminate.find_leaks(frame(spark, rows), frame(spark, [], "item_id long, text string")).count() == 0
 
 
+def test_few_leaks_shuffle_no_text(spark):
+    items = [(1, prose(100, 30, 3000))]
+    rows = [(i, f"{prose(300 + i, 40, 5000)} {items[0][1] if i == 3 else ''}") for i in range(12)]
+    left = decontaminate.clean(frame(spark, rows), frame(spark, items, "item_id long, text string"))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert sorted(r.doc_id for r in left.collect()) == [i for i in range(12) if i != 3]
+
+
 def test_decontamination_against_all_pairs(spark):
     rng = np.random.default_rng(8)
     items = [(i, prose(400 + i, n, 2000)) for i, n in enumerate((1, 3, 5, 8, 12, 15, 30, 59, 71, 100, 142, 300))]
