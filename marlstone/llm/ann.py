@@ -3,13 +3,15 @@
 After SPANN (Chen et al. 2021): centroids are fitted on a bounded sample and
 overfull clusters split; every vector goes to the list of its nearest centroid
 and, if it lies near a boundary, to further ones (distance ratio and relative
-neighbourhood rule). Queries find centroids by beam search in a neighbour graph
-held in memory, and keep the lists within a distance ratio of the nearest. Lists
+neighbourhood rule). Queries rank the centroids, which are held in memory, and
+keep the lists within a distance ratio of the nearest, a beam at most. Lists
 travel in bundles, so that a query goes to each bundle once with its lists there,
 and k rows come back for it, however many of them it meets. How
 wide the beam must be depends on the table, so it is measured: some of its queries
 are answered exactly, and the beam, then the distance ratio, grow until these find
-the share ``recall`` of their true neighbours. At worst all lists are met. Where the
+the share ``recall`` of their true neighbours, and all but a few of them a fair share
+each, so that a kind of query that is rare is not given up for the others. At worst all
+lists are met. Where the
 number of lists has reached its limit, lists grow with the table; one of over twice
 ``list_rows`` rows is then cut into cells around rows of its own, and a query meets
 as many of its nearest cells as keep that recall, measured likewise. Bundles
@@ -41,11 +43,9 @@ UNITS = 1 << 20
 @dataclass
 class Centroids:
     points: np.ndarray
-    graph: np.ndarray
-    entry: np.ndarray
 
     @staticmethod
-    def fit(sample: np.ndarray, lists: int, seed: int = 1, degree: int = 24) -> Centroids:
+    def fit(sample: np.ndarray, lists: int, seed: int = 1) -> Centroids:
         rng = np.random.default_rng(seed)
         points = sample[rng.permutation(len(sample))[: max(1, lists)]].copy()
         for _ in range(10):
@@ -69,46 +69,23 @@ class Centroids:
                 break
             points = np.vstack([points, more])
         points = np.unique(points, axis=0)
-        k = min(degree, len(points) - 1)
-        d = ((points[:, None] - points[None]) ** 2).sum(2) if len(points) <= 512 else np.vstack([squared(points[i : i + 512], points) for i in range(0, len(points), 512)])
-        graph = np.argsort(d, axis=1, kind="stable")[:, 1 : k + 1] if k > 0 else np.zeros((len(points), 0), np.int64)
-        return Centroids(points, graph, rng.permutation(len(points))[: min(8, len(points))])
+        return Centroids(points)
 
     def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and squared distances of up to beam near centroids for each row of x, nearest first: best-first walks of the graph, side by side."""
-        q, c, rows = len(x), len(self.points), np.arange(len(x))[:, None]
-        if beam >= c:  # all of them: a walk would miss what the graph doesn't reach
-            d = squared(x, self.points)
+        """Ids and squared distances of the beam nearest centroids of each row of x, nearest first.
+
+        All centroids are ranked, by one matrix product: a walk of a neighbour graph
+        would not come to those that lie in groups of their own.
+        """
+        d = squared(x, self.points)
+        if beam < d.shape[1]:
+            ids = np.argpartition(d, beam - 1, axis=1)[:, :beam]
+            ids.sort(axis=1)
+            order = np.argsort(np.take_along_axis(d, ids, 1), axis=1, kind="stable")
+            ids = np.take_along_axis(ids, order, 1)
+        else:
             ids = np.argsort(d, axis=1, kind="stable")
-            return ids, np.take_along_axis(d, ids, 1)
-        wide = max(1, beam // 64)  # nodes that a step opens
-        size = (self.points**2).sum(1)
-        near = lambda ids: size[ids] - 2 * np.einsum("qd,qkd->qk", x, self.points[ids])
-        seen = np.zeros((q, c), bool)
-        start = np.broadcast_to(self.entry, (q, len(self.entry)))
-        seen[rows, start] = True
-        ids = np.concatenate([start, np.zeros((q, max(0, beam - start.shape[1])), np.int64)], axis=1)
-        dist = np.concatenate([near(start), np.full((q, ids.shape[1] - start.shape[1]), np.inf)], axis=1)
-        done = np.isinf(dist)
-        while not done.all():
-            at = np.argsort(np.where(done, np.inf, dist), axis=1, kind="stable")[:, :wide]
-            active = np.repeat(~np.take_along_axis(done, at, 1), self.graph.shape[1], axis=1)
-            done[rows, at] = True
-            fresh = self.graph[ids[rows, at]].reshape(q, -1)
-            skip = seen[rows, fresh] | ~active
-            if wide > 1:  # a node may neighbour several of those opened
-                by = np.argsort(np.where(skip, c, fresh), axis=1, kind="stable")
-                lined = np.take_along_axis(fresh, by, 1)
-                again = np.zeros_like(skip)
-                again[:, 1:] = lined[:, 1:] == lined[:, :-1]
-                np.put_along_axis(skip, by, np.take_along_axis(skip, by, 1) | again, 1)
-            new = np.where(skip, np.inf, near(fresh))
-            r, f = np.nonzero(~skip)
-            seen[r, fresh[r, f]] = True
-            ids, dist, done = np.concatenate([ids, fresh], 1), np.concatenate([dist, new], 1), np.concatenate([done, np.isinf(new)], 1)
-            by = np.argsort(dist, axis=1, kind="stable")[:, :beam]
-            ids, dist, done = np.take_along_axis(ids, by, 1), np.take_along_axis(dist, by, 1), np.take_along_axis(done, by, 1)
-        return ids, np.maximum(dist + (x**2).sum(1)[:, None], 0)
+        return ids, np.take_along_axis(d, ids, 1)
 
 
 def squared(x: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -264,9 +241,20 @@ def _cells_needed(spark, posted: DataFrame, pivots: DataFrame, asks: list[tuple]
     found = asked.groupBy("list").cogroup(pivots.groupBy("list")).applyInPandas(ranks, "query_id long, vec_id long, rank int").groupBy("query_id", "vec_id").agg(F.min("rank").alias("rank")).collect() if asks else []
     least = {(r["query_id"], r["vec_id"]): r["rank"] for r in found}
     need = [0 if any((q, lst) in met for lst, _ in homes[v]) else least.get((q, v), np.inf) for q, vs in wanted.items() for v in vs]
-    at = int(np.ceil(recall * len(need))) - 1
-    rank = np.sort(np.array(need, float))[max(at, 0)]
-    return int(rank) + 1 if np.isfinite(rank) else int(cells.max()) + 1000
+    need, whose = np.array(need, float), np.repeat(np.arange(len(wanted)), [len(vs) for vs in wanted.values()])
+    ranks_met = np.unique(need[np.isfinite(need)])
+    lo, hi = 0, len(ranks_met)
+    while lo < hi:  # the fewest cells that serve
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if _served(need <= ranks_met[mid], whose, recall) else (mid + 1, hi)
+    return int(ranks_met[lo]) + 1 if lo < len(ranks_met) else int(cells.max()) + 1000
+
+
+def _served(found: np.ndarray, whose: np.ndarray, recall: float, least: float = 0.75, apart: float = 0.02) -> bool:
+    """Whether the share recall of all true neighbours is found, and the share least of each pilot's own, but for the share apart of pilots; whose: the pilot of each."""
+    own = np.bincount(whose, found) / np.maximum(np.bincount(whose), 1)
+    own = own[np.bincount(whose) > 0]
+    return bool(found.mean() >= recall and (own < least).mean() <= apart)
 
 
 def usable(vectors: DataFrame, vector: str) -> DataFrame:
@@ -274,7 +262,7 @@ def usable(vectors: DataFrame, vector: str) -> DataFrame:
     return vectors.where(F.col("vec_id").isNotNull() & ok)
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding", list_rows: int = 2000, max_lists: int = 4096, sample_rows: int = 60_000, close: float = 1.12, replicas: int = 6, probe: float = 1.8, beam: int = 64, bundle_rows: int = 20_000, query_rows: int = 20_000, recall: float = 0.95, pilots: int = 128) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding", list_rows: int = 2000, max_lists: int = 4096, sample_rows: int = 60_000, close: float = 1.12, replicas: int = 6, probe: float = 1.8, beam: int = 64, bundle_rows: int = 20_000, query_rows: int = 20_000, recall: float = 0.95, pilots: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of vectors where is_query holds its k nearest found among all other rows.
 
     Null or zero vectors, those with null or non-finite components or of another
@@ -350,8 +338,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, vector: str = "embedding",
         met = np.zeros((len(pilot), len(held)), bool)
         r, c = np.nonzero(keep)
         met[r, ids[r, c]] = True
-        share = np.mean([met[i, homes[v]].any() for i, v in zip(whose, true["vec_id"], strict=True)])
-        if share >= lists_recall or (beam >= len(held) and probe == 1e300):
+        found = np.array([met[i, homes[v]].any() for i, v in zip(whose, true["vec_id"], strict=True)])
+        if _served(found, whose, lists_recall) or (beam >= len(held) and probe == 1e300):
             break
         if beam < len(held) and keep[:, -1].any():
             beam = -(-beam * 5 // 4)

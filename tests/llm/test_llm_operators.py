@@ -723,6 +723,21 @@ def test_neighbours_in_lists_that_outgrow_their_number(spark):
     assert hits / 2000 >= 0.9, hits / 2000
 
 
+def test_neighbours_in_groups_of_their_own(spark):
+    """Groups far from each other: no query is lost because the others of the table find theirs."""
+    rng = np.random.default_rng(3)
+    x = 5 * rng.normal(size=(60, 16))[rng.integers(0, 60, 9000)] + rng.normal(size=(9000, 16))
+    vectors = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(vectors, F.col("vec_id") % 20 == 0, k=20, list_rows=100).toPandas()
+    found = {q: set(f.vec_id) for q, f in got.groupby("query_id")}
+    share = []
+    for q in range(0, 9000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        share.append(len(set(np.argsort(-s)[:20].tolist()) & found.get(q, set())) / 20)
+    assert np.mean(share) >= 0.95 and np.mean(np.array(share) < 0.75) <= 0.03, (np.mean(share), np.mean(np.array(share) < 0.75))
+
+
 URLS = ["https://a.example.net/en/1", "http://EXAMPLE.net/en", "http://example.net/en/", "x://b.example.com/de/2?q", "http://example.com/de", "http://q.org/fr/9#t", "http://org/fr/", "http://forg/fr/", "http://a.net", "http://a.net/", "http://a.net?x", "nourl", None, "", "http://example.net.evil.io/en/", "a://b://c.net/z", "http://example.com:80/de/", "http://É.net/É"]
 
 
