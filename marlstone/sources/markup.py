@@ -116,9 +116,13 @@ def read_jsonld(payloads: DataFrame, today: dt.date, horizon_days: int = 120, zo
 AGENDA_ROW = r"""(?is)<tr\b[^>]*data-event\s*=\s*["']ev-[^"']*["'].*?</tr>"""
 
 
+#: A string literal with a table row. Its loops are possessive: Java's others take a stack frame a character, and a long page overflows the stack.
+ROW_LITERAL = r'"((?:[^"\\<]++|\\.|<(?!tr))*+<tr(?:[^"\\]++|\\.)*+)"'
+
+
 def agenda_fragments(body: Column) -> Column:
     """HTML of a page, or of the string literals of a script that inserts it."""
-    literals = F.regexp_extract_all(body, F.lit(r'"((?:[^"\\]|\\.)*<tr(?:[^"\\]|\\.)*)"'), F.lit(1))
+    literals = F.regexp_extract_all(body, F.lit(ROW_LITERAL), F.lit(1))
     decoded = F.array_join(F.transform(literals, lambda x: F.get_json_object(F.concat(F.lit('{"x":"'), x, F.lit('"}')), "$.x")), "")
     return F.when(~F.ltrim(body).startswith("<") & (F.size(literals) > 0), decoded).otherwise(body)
 

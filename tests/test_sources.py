@@ -125,6 +125,13 @@ def test_json_ld(spark):
     assert markup.walk('{"item": [{"@type": "Festival", "name": "F"}]}')[0][0]["title"] == "F"
 
 
+def test_agenda_in_a_long_script(spark):
+    row = r"""<tr data-event='ev-s{0}-20260306183000'><td class=\"title\"><a href='/e/{0}'>Lathe {0}</a></td></tr>\n"""
+    script = r"""track("a \"quoted\" <b>", "<t"); agenda.insert("<table class=\"agenda\">""" + "".join(row.format(i) for i in range(3000)) + '</table>");'
+    got = events_of(read_source("bookwhen_html", payload(spark, script, "text/javascript"), TODAY, 30)).select("source_uid", "title").collect()
+    assert sorted((r.source_uid, r.title) for r in got) == sorted((f"ev-s{i}-20260306183000", f"Lathe {i}") for i in range(3000))
+
+
 def test_agenda(spark):
     page = '<table class="agenda"><tr data-event="ev-ab1-20260306183000"><td class="title"><a href="/ev-ab1">Lathe &amp; mill</a></td><td class="location">Bay 3</td></tr></table>'
     row = events_of(read_source("bookwhen_html", payload(spark, page, "text/html", url="https://b.example/x"), TODAY, 30)).first()
