@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import identity, text, times
-from marlstone.functions.fuzzy import address_similarity, html_unescape
+from marlstone.functions.fuzzy import address_similarity, entities_decoded
 from marlstone.operators import gates, normalize, resolve, rules, state
 from marlstone.plans.queries import HISTORY, NOW, RECORDS, _history, _records, instant, query, read
 from marlstone.schemas import RAW_EVENT
@@ -380,8 +380,8 @@ def address_scores(spark, sf_dir):
 
 @query("SELECT page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '^ +| +$', '', 'g')), '') AS text FROM pages")
 def html_text(spark, sf_dir):
-    """Page text with entities decoded."""
-    return read(spark, sf_dir, "pages").select("page_id", text.clean(html_unescape(text.strip_tags(F.col("html")))).alias("text"))
+    """Page text with whole entities decoded."""
+    return read(spark, sf_dir, "pages").select("page_id", text.clean(entities_decoded(text.strip_tags(F.col("html")))).alias("text"))
 
 
 # ---------------------------------------------------------------- horizon, order, gates, history

@@ -132,6 +132,14 @@ def test_agenda_in_a_long_script(spark):
     assert sorted((r.source_uid, r.title) for r in got) == sorted((f"ev-s{i}-20260306183000", f"Lathe {i}") for i in range(3000))
 
 
+def test_page_text_decodes_whole_references_only(spark):
+    from marlstone.functions.fuzzy import entities_decoded
+
+    texts = ["a &amp; b&#39;s &#x41;&eacute; &lt;i&gt;", "cut off &amp", "&copy 2026 &nope; &ampx;", "&amp;lt;", None, "none"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", entities_decoded("t").alias("t")).sort("i").collect()
+    assert [r.t for r in got] == ["a & b's Aé <i>", "cut off &amp", "&copy 2026 &nope; &ampx;", "&lt;", None, "none"]
+
+
 def test_agenda(spark):
     page = '<table class="agenda"><tr data-event="ev-ab1-20260306183000"><td class="title"><a href="/ev-ab1">Lathe &amp; mill</a></td><td class="location">Bay 3</td></tr></table>'
     row = events_of(read_source("bookwhen_html", payload(spark, page, "text/html", url="https://b.example/x"), TODAY, 30)).first()
