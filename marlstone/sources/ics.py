@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 import pyarrow as pa
@@ -92,14 +93,18 @@ def occurrences(start: dt.date | dt.datetime, rules: list[str], extra: list, gon
             yield at.date() if whole_day else at.replace(tzinfo=zone)
 
 
+@lru_cache(maxsize=2048)
+def _expanded(start: dt.datetime, rule: str, first: dt.date, last: dt.date) -> tuple[tuple[dt.datetime], ...]:
+    return tuple((at,) for at in occurrences(start, [rule], [], set(), first, last))
+
+
 @udtf(returnType="occurrence timestamp_ntz")
 class ExpandRule:
-    """expand_rrule(dtstart, rule, first, last): the wall-clock starts of a rule between two days."""
+    """expand_rrule(dtstart, rule, first, last): the wall-clock starts of a rule between two days; series of one start and rule are expanded once."""
 
     def eval(self, start: dt.datetime, rule: str, first: dt.date, last: dt.date):
         if start is not None and rule:
-            for at in occurrences(start, [rule], [], set(), first, last):
-                yield (at,)
+            yield from _expanded(start, rule, first, last)
 
 
 def _span(text: str) -> dt.timedelta:

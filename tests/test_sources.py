@@ -238,3 +238,10 @@ def test_undated_calendar_entries_are_counted(spark):
 def test_request_parameters_replace_their_own():
     spec = registry.SourceSpec(adapter="json", shape="s", url="https://e.org/x?page=1&orderby=name#f", params={"orderby": "date", "n": 5})
     assert registry.source_url(spec) == "https://e.org/x?page=1&orderby=date&n=5#f"
+
+
+def test_equal_series_are_expanded_once(monkeypatch):
+    calls, real = [], ics.rrule.rrulestr
+    monkeypatch.setattr(ics.rrule, "rrulestr", lambda *a, **k: calls.append(1) or real(*a, **k))
+    series = lambda: list(ics.ExpandRule.func().eval(dt.datetime(2031, 1, 6), "FREQ=WEEKLY", dt.date(2031, 1, 1), dt.date(2031, 1, 31)))
+    assert [series() for _ in range(3)] == [[(dt.datetime(2031, 1, d),) for d in (6, 13, 20, 27)]] * 3 and len(calls) == 1
