@@ -641,7 +641,7 @@ def registry_sources(spark, sf_dir):
     for r in sorted(rows):
         space = spaces.setdefault(r["n_name"], {"id": r["n_name"], "name": r["n_name"].title(), "sources": []} | ({"timezone": "Europe/Paris"} if r["n_nationkey"] % 2 == 0 else {}))
         space["sources"].append({"adapter": "ics", "label": f"s{r['s_suppkey']}", "url": f"https://example.org/{r['s_suppkey']}?key=old&page=2", "params": {"key": "${KEY}"}, "enabled": r["s_suppkey"] % 3 > 0, "trust": r["s_suppkey"] % 10})
-    text_ = yaml.safe_dump({"defaults": {"timezone": "America/New_York"}, "spaces": list(spaces.values())})
+    text_ = yaml.dump({"defaults": {"timezone": "America/New_York"}, "spaces": list(spaces.values())}, Dumper=getattr(yaml, "CSafeDumper", yaml.SafeDumper))
     found, sources = registry.load(text_, {"KEY": "secret"}).frames(spark)
     return sources.join(found.select("space_id", "timezone"), "space_id").select("space_id", "source_label", "enabled", "trust", "url", "timezone")
 

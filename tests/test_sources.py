@@ -245,3 +245,12 @@ def test_equal_series_are_expanded_once(monkeypatch):
     monkeypatch.setattr(ics.rrule, "rrulestr", lambda *a, **k: calls.append(1) or real(*a, **k))
     series = lambda: list(ics.ExpandRule.func().eval(dt.datetime(2031, 1, 6), "FREQ=WEEKLY", dt.date(2031, 1, 1), dt.date(2031, 1, 31)))
     assert [series() for _ in range(3)] == [[(dt.datetime(2031, 1, d),) for d in (6, 13, 20, 27)]] * 3 and len(calls) == 1
+
+
+def test_registries_are_read_by_libyaml():
+    import yaml
+
+    text = "defaults: {timezone: Europe/Paris}\nspaces:\n- &a {id: a, name: 'A: ${X}', sources: [{adapter: ics, url: \"u\\u00e9\", trust: 0x1f, enabled: no}]}\n"
+    assert not yaml.__with_libyaml__ or registry.LOADER is yaml.CSafeLoader
+    space = registry.load(text, {"X": "1"}).spaces[0]
+    assert (space.name, space.sources[0].url, space.sources[0].trust, space.sources[0].enabled) == ("A: 1", "ué", 31, False)
