@@ -233,14 +233,13 @@ def fuzzy_pairs(spark, sf_dir):
 @query(f"SELECT CAST(l AS VARCHAR) AS left_uid, CAST(r AS VARCHAR) AS right_uid, round(score, 6) AS score FROM {FUZZY} WHERE score >= 75 AND score < 85 ORDER BY score DESC, left_uid, right_uid LIMIT 500")
 def near_misses(spark, sf_dir):
     """The report of pairs that fell just short: the best five hundred."""
-    listed, _ = resolve.near_misses(resolve.scored_pairs(_events(spark, sf_dir, title=_worded()), across=False))
+    listed = resolve.near_miss_report(_events(spark, sf_dir, title=_worded()))
     return listed.select("left_uid", "right_uid", F.round("score", 6).alias("score"))
 
 
 @query(f"SELECT count(*) AS found, greatest(count(*) - 500, 0) AS not_listed FROM {FUZZY} WHERE score >= 75 AND score < 85")
 def near_miss_count(spark, sf_dir):
-    _, count = resolve.near_misses(resolve.scored_pairs(_events(spark, sf_dir, title=_worded()), across=False))
-    return count
+    return resolve.near_miss_count(_events(spark, sf_dir, title=_worded()))
 
 
 def _grouped(spark: SparkSession, sf_dir: str, url: Column | None = None) -> DataFrame:

@@ -233,3 +233,70 @@ def test_chains_of_matches_share_no_winner(spark):
     sources = spark.createDataFrame([], "space_id string, source_label string, trust int")
     done = resolve.merge_pass(events(spark, *rows), sources, False).collect()
     assert {r.uid: [x.uid for x in r.absorbed] for r in done} == {"a": ["b"], "c": [], "d": []}
+
+
+def crowd(spark, seed, n=160):
+    """Events of few titles, starts and addresses, so that many are equal, alike, or fall just short."""
+    import random
+
+    r = random.Random(seed)
+    titles = ["Open Shop Night", "open shop night!", "Open Shop Nights", "Shop Night", "Intro to Welding", "Introduction to Welding", "Welding intro", "", None, "Knit", "Café Crème 12", "5f2b9a77c01de4aa", "5f2b9a77c01de4ab"]
+    places = [None, "12 Main Street, Oakland", "12 main st oakland", "14 Main St Oakland", "Main St Oakland", "Oakland", "Hall 12 Main St Oakland"]
+    return [{"uid": f"u{i:03}", "space_id": r.choice("ab"), "source_label": r.choice("lk"), "title": r.choice(titles), "address": r.choice(places), "off_site": r.random() < 0.3, "url": r.choice([None, "http://x"]), "start_utc": at(10 * r.randrange(14)) if r.random() < 0.97 else None} for i in range(n)]
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_merges_equal_those_of_all_pairs(spark, across):
+    rows, trust = crowd(spark, 5 + across), {("a", "l"): 3, ("b", "k"): 2}
+    conf = spark.createDataFrame([(*k, t) for k, t in trust.items()], "space_id string, source_label string, trust int")
+    rich = lambda e: bool(e["address"]) + bool(e["url"])
+    order = sorted(rows, key=lambda e: (-trust.get((e["space_id"], e["source_label"]), 0), e["off_site"], -rich(e), e["uid"]))
+
+    def match(x, y):
+        if x["start_utc"] is None or y["start_utc"] is None or abs(x["start_utc"] - y["start_utc"]) > dt.timedelta(minutes=30) or (x["space_id"] == y["space_id"]) == across:
+            return False
+        return fuzzy.title_score(x["title"], y["title"]) >= (resolve.ACROSS if across else resolve.WITHIN) and (not across or fuzzy.address_score(x["address"], y["address"]) >= resolve.ADDRESS)
+
+    taken, want = set(), {}
+    for e in order:
+        if e["uid"] not in taken:
+            mine = [o for o in order if o["uid"] not in taken and o is not e and match(e, o)]
+            taken |= {e["uid"], *(o["uid"] for o in mine)}
+            want[e["uid"]] = [(o["uid"], round(fuzzy.title_score(e["title"], o["title"]), 9)) for o in mine]
+    got = {r.uid: [(x.uid, round(x.score, 9)) for x in r.absorbed] for r in resolve.merge_pass(events(spark, *rows), conf, across).collect()}
+    assert got == want
+
+
+def test_near_misses_are_counted_without_their_pairs(spark):
+    rows = events(spark, *crowd(spark, 8, 300))
+    listed, count = resolve.near_misses(resolve.scored_pairs(rows, False), most=40)
+    assert [tuple(r) for r in resolve.near_miss_report(rows, most=40).collect()] == [tuple(r) for r in listed.collect()]
+    assert resolve.near_miss_count(rows, most=40).first() == count.first() and count.first().found > 40
+
+
+def test_twins_stand_for_one_another(spark, monkeypatch):
+    """Equal events make no pairs, and titles that many events share are compared once."""
+    met, real = [], resolve.matches
+    monkeypatch.setattr(resolve, "matches", lambda rows, across: met.append(rows.count()) or real(rows, across))
+    rows = [{"uid": f"u{i:04}", "start_utc": at(0), "title": "Open Shop" if i % 2 else "shop, OPEN"} for i in range(1000)] + [{"uid": "v", "start_utc": at(5), "title": "Open shops"}]
+    done = resolve.merge_pass(events(spark, *rows), sources(spark), False).collect()
+    assert met == [2] and [r.uid for r in done] == ["u0000"] and len(done[0].absorbed) == 1000 and {x.score for x in done[0].absorbed} == {100.0, fuzzy.title_score("Open Shop", "Open shops")}
+
+
+@given(st.text("ab ce01!éz", max_size=24), st.text("ab ce01!éz", max_size=24), st.sampled_from([75.0, 85.0, 92.0]))
+def test_no_likely_pair_is_passed_over(a, b, least):
+    """What SQL computes of two profiles, here in Python."""
+    x, y = (dict(zip(("key", "n", "words", "c0", "c1", "c2", "c3"), fuzzy._profile(t), strict=True)) for t in (a, b))
+    spread = lambda p: [p[f"c{i}"] >> 8 * j & 255 for i in range(4) for j in range(7)]
+    shared = x["n"] - sum(max(s - t, 0) for s, t in zip(spread(x), spread(y), strict=True))
+    whole, parts = least / 200 * (x["n"] + y["n"]), least / (200 - least) * min(x["n"], y["n"])
+    assert fuzzy.set_ratio(x["key"], y["key"]) < least or shared >= (min(whole, parts) if x["words"] & y["words"] else whole) - 1e-6
+
+
+def test_bound_in_sql(spark):
+    titles = ["Open Shop Night", "Shop open", "abcdef0123", "abcdef0124", "zzz", "Ünïcode ü" * 3, "x" * 400, "x" * 399 + "y"]
+    t = spark.createDataFrame([(i, x) for i, x in enumerate(titles)], "i int, s string").withColumn("t", fuzzy.title_profile("s")).persist()
+    rows = t.alias("p").join(t.alias("q")).select(F.col("p.i").alias("i"), F.col("q.i").alias("j"), F.col("p.t").alias("x"), F.col("q.t").alias("y")).withColumn("may", F.expr(fuzzy.may_reach("x", "y", 85.0))).collect()
+    may = {(r.i, r.j): r.may for r in rows}
+    assert all(may[i, j] for i, a in enumerate(titles) for j, b in enumerate(titles) if fuzzy.title_score(a, b) >= 85)
+    assert not may[0, 4] and not may[2, 4] and may[6, 7] and may[2, 3] and not may[0, 2] and all(may[i, j] == may[j, i] for i, j in may)
