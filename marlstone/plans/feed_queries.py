@@ -374,8 +374,13 @@ def address_scores(spark, sf_dir):
     n = F.col("s_nationkey")
     form = F.when(F.col("s_suppkey") % 4 == 0, F.concat(n, F.lit(" North Main Street, Oakland"))).when(F.col("s_suppkey") % 4 == 1, F.concat(n, F.lit(" n. main st oakland"))).when(F.col("s_suppkey") % 4 == 2, F.lit("N Main St Oakland")).otherwise("Oakland")
     s = read(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_suppkey") % 50).alias("g"), form.alias("a"))
-    both = s.alias("x").join(s.alias("y"), F.expr("x.g = y.g and x.s_suppkey < y.s_suppkey"))
-    return both.select(F.col("x.s_suppkey").alias("l"), F.col("y.s_suppkey").alias("r"), address_similarity("x.a", "y.a").alias("score"))
+    kinds = s.select("g", "a").distinct()
+    known = resolve.value_scores(kinds.join(kinds.select("g", F.col("a").alias("b")), "g"), address_similarity)
+    # a block of the left meets all of its group, so that no group is one task's alone
+    n, parts = resolve.spread(s), 16
+    left = s.select("g", F.col("s_suppkey").alias("l"), "a", F.pmod(F.xxhash64("s_suppkey"), F.lit(parts)).alias("part")).repartition(n, "g", "part")
+    right = s.select("g", F.col("s_suppkey").alias("r"), F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part")).repartition(n, "g", "part")
+    return left.join(right, ["g", "part"]).where("l < r").join(known, ["a", "b"]).select("l", "r", "score")
 
 
 @query("SELECT page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '^ +| +$', '', 'g')), '') AS text FROM pages")

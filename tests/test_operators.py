@@ -300,3 +300,10 @@ def test_bound_in_sql(spark):
     may = {(r.i, r.j): r.may for r in rows}
     assert all(may[i, j] for i, a in enumerate(titles) for j, b in enumerate(titles) if fuzzy.title_score(a, b) >= 85)
     assert not may[0, 4] and not may[2, 4] and may[6, 7] and may[2, 3] and not may[0, 2] and all(may[i, j] == may[j, i] for i, j in may)
+
+
+def test_equal_values_are_scored_once(spark):
+    pairs = spark.createDataFrame([("1 N Main St", "1 North Main Street")] * 50 + [("1 N Main St", "2 N Main St"), (None, "1 N Main St")], "a string, b string")
+    got = {(r.a, r.b): r.score for r in resolve.value_scores(pairs, fuzzy.address_similarity).collect()}
+    assert got == {("1 N Main St", "1 North Main Street"): 100.0, ("1 N Main St", "2 N Main St"): 0.0, (None, "1 N Main St"): 0.0}
+    assert resolve.value_scores(pairs, fuzzy.address_similarity).count() == 3
