@@ -14,8 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from marlstone.schemas import ddl
 from marlstone.sources.base import ADAPTERS, CALENDAR, PARSED, finished, guard, text_body
+from marlstone.staging import written
+
+#: Events that a chunk of a calendar holds, more or less.
+CHUNK = 200
 
 NAME = re.compile(r'^([A-Za-z0-9-]+)((?:;[A-Za-z0-9-]+=(?:"[^"]*"|[^;:"]*)(?:,(?:"[^"]*"|[^;:"]*))*)*):(.*)$', re.S)
 PARAM = re.compile(r';([A-Za-z0-9-]+)=((?:"[^"]*"|[^;:"])*)')
@@ -115,14 +121,14 @@ def _span(text: str) -> dt.timedelta:
     return (-1 if m[1] == "-" else 1) * dt.timedelta(weeks=w, days=d, hours=h, minutes=mi, seconds=s)
 
 
-def parse(text: str, first: dt.date, last: dt.date) -> tuple[list[dict], dt.datetime | None, str | None]:
-    """(occurrences as rows, newest change, calendar zone) of one calendar."""
+def parse(text: str, first: dt.date, last: dt.date) -> tuple[list[dict], dict[str, dt.datetime | None], str | None]:
+    """(occurrences as rows, newest LAST-MODIFIED and DTSTAMP, calendar zone) of one calendar."""
     calendar, *parts = components(text)
     own = lambda props, name: [(p, v) for n, p, v in props if n == name]
     zone = next((v.strip() for _, v in own(calendar[1], "X-WR-TIMEZONE")), None)
     events = [props for kind, props in parts if kind == "VEVENT"]
     changes = {name: [m for props in [*events, *([calendar[1]] if name == "LAST-MODIFIED" else [])] for p, v in own(props, name) if isinstance(m := moment(v, p)[0], dt.datetime)] for name in ("LAST-MODIFIED", "DTSTAMP")}
-    aware = [x if x.tzinfo else x.replace(tzinfo=dt.timezone.utc) for x in changes["LAST-MODIFIED"] or changes["DTSTAMP"]]
+    newest = {name: max((x if x.tzinfo else x.replace(tzinfo=dt.timezone.utc) for x in found), default=None) for name, found in changes.items()}
     text_of = lambda props, name: next((unescape(v).strip() or None for _, v in own(props, name)), None)
     masters: dict[str | None, list] = {}
     for props in events:
@@ -168,25 +174,51 @@ def parse(text: str, first: dt.date, last: dt.date) -> tuple[list[dict], dt.date
                 row["days"] = max((until.date() - at.date()).days + 1, 1) if until is not None else 1
                 row |= {"start_instant": at, "end_instant": until, "tz": source_tz} if at.tzinfo else {"start_local": at, "end_local": until, "tz": zone}
             rows.append(row)
-    return rows, max(aware, default=None), zone
+    return rows, newest, zone
+
+
+def chunks(calendars: DataFrame) -> DataFrame:
+    """calendars (pid, .., text) cut into calendars of about CHUNK events each, so that no task of Python holds a whole one.
+
+    Events of one UID stay together, in their order, for a series, its overrides
+    and repeated UIDs are read as one; every chunk has the calendar's zone.
+    """
+    plain = F.regexp_replace("text", "\r?\n[ \t]", "")
+    outside = lambda c: F.regexp_replace(c, r"(?is)(?<=[\r\n])BEGIN:(?!VCALENDAR)([A-Z0-9-]+).*?[\r\n]END:\1[^\r\n]*", "")
+    zone = lambda c: F.regexp_extract(c, r"(?i)[\r\n](X-WR-TIMEZONE[;:][^\r\n]*)", 1)
+    parts = calendars.withColumn("text", plain).withColumn("parts", F.split("text", r"(?i)(?<=\n)(?=BEGIN:VEVENT[ \t]*[\r\n])"))
+    head = zone(outside(F.get("parts", F.lit(0))))  # as a rule the zone stands before the events
+    parts = parts.withColumn("own", F.when(head != "", head).when(zone(F.col("text")) != "", zone(outside(F.col("text")))).otherwise("")).drop("text")
+    pieces = parts.withColumn("many", F.ceil(F.size("parts") / CHUNK)).select("*", F.posexplode_outer("parts").alias("pos", "piece")).drop("parts")
+    inner = F.when(F.col("piece").rlike(r"(?i)[\r\n]BEGIN:(?!VEVENT)"), F.regexp_replace("piece", r"(?is)(?<=[\r\n])BEGIN:(?!VEVENT|VCALENDAR)([A-Z0-9-]+).*?[\r\n]END:\1", "")).otherwise(F.col("piece"))
+    uid = F.trim(F.regexp_replace(F.regexp_extract(inner, r"(?i)[\r\n]UID(?:;[^:\r\n]*)?:([^\r\n]*)", 1), r"\\", ""))
+    chunk = F.pmod(F.when(uid == "", F.xxhash64("pos")).otherwise(F.xxhash64(uid)), F.greatest("many", F.lit(1)))
+    keys = [c for c in pieces.columns if c not in ("own", "many", "pos", "piece")]
+    found = pieces.withColumn("chunk", chunk).groupBy(*keys, "chunk").agg(F.first("own").alias("own"), F.sort_array(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("pos", "piece")))).alias("p"))
+    return found.select(*keys, F.concat("own", F.lit("\r\n"), F.array_join(F.transform("p", lambda x: x["piece"]), "")).alias("text"))
 
 
 def read_ics(payloads: DataFrame, today: dt.date, horizon_days: int = 120) -> DataFrame:
     """PARSED rows of calendars. Series are expanded between today and the horizon only."""
     last = today + dt.timedelta(days=horizon_days)
     looks = F.contains(F.substring(text_body(), 1, 4096), F.lit("BEGIN:VCALENDAR"))
-    checked = payloads.select("space_id", "source_label", text_body().alias("text"), guard(CALENDAR, F.coalesce(looks, F.lit(False)), "not_calendar").alias("problem"))
+    checked = payloads.select(F.monotonically_increasing_id().alias("pid"), "space_id", "source_label", guard(CALENDAR, F.coalesce(looks, F.lit(False)), "not_calendar").alias("problem"), text_body().alias("text"))
+    checked = chunks(checked.withColumn("text", F.when(F.col("problem").isNull(), F.col("text"))))
+    chunked = StructType([*PARSED.fields, *ddl("pid long, modified timestamp, stamped timestamp").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = to_arrow_schema(PARSED)
+        schema = to_arrow_schema(chunked)
         for b in batches:
-            for space, label, text, problem in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                base = {"space_id": space, "source_label": label, "problem": problem}
-                rows, newest, _ = ([], None, None) if problem else parse(text, today, last)
-                out = [base | r | {"newest_change": newest, "has_event": True} for r in rows] or [base | {"newest_change": newest, "has_event": False}]
+            for i in range(b.num_rows):
+                pid, space, label, problem, text = (c[i].as_py() for c in b.columns)
+                rows, newest, _ = ([], {}, None) if problem else parse(text, today, last)
+                base = {"pid": pid, "space_id": space, "source_label": label, "problem": problem, "modified": newest.get("LAST-MODIFIED"), "stamped": newest.get("DTSTAMP")}
+                out = [base | r | {"has_event": True} for r in rows] or [base | {"has_event": False}]
                 yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in out], f.type) for f in schema], schema=schema)
 
-    return finished(checked.mapInArrow(run, PARSED), today, horizon_days)
+    rows = written(checked.mapInArrow(run, chunked))
+    newest = rows.groupBy("pid").agg(F.coalesce(F.max("modified"), F.max("stamped")).alias("newest_change"))
+    return finished(rows.drop("newest_change").join(newest.select("pid", "newest_change"), "pid"), today, horizon_days)
 
 
 ADAPTERS["ics"] = ADAPTERS["gcal_ics"] = read_ics

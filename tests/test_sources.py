@@ -254,3 +254,24 @@ def test_registries_are_read_by_libyaml():
     assert not yaml.__with_libyaml__ or registry.LOADER is yaml.CSafeLoader
     space = registry.load(text, {"X": "1"}).spaces[0]
     assert (space.name, space.sources[0].url, space.sources[0].trust, space.sources[0].enabled) == ("A: 1", "ué", 31, False)
+
+
+def test_calendars_are_read_in_chunks(spark):
+    """A long calendar gives what its parts give: overrides find their series, and the calendar's own properties hold for all."""
+    event = "BEGIN:VEVENT\r\nBEGIN:VALARM\r\nUID:alarm\r\nEND:VALARM\r\n{}\r\nEND:VEVENT\r\n"
+    plain = [event.format(f"UID:e{i}\r\nSUMMARY:E {i}\r\nDTSTART:202603{1 + i % 28:02}T100000\r\nDTSTAMP:20260401T000000Z") for i in range(700)]
+    series = event.format("UID:a\\,b\r\nSUMMARY:S\r\nDTSTART:20260302T180000Z\r\nRRULE:FREQ=WEEKLY;COUNT=3")
+    moved = event.format("UID:a,b\r\nSUMMARY:Moved\r\nRECURRENCE-ID:20260309T180000Z\r\nDTSTART:20260310T180000Z\r\nDESCRIPTION:BEGIN:VEVENT\r\n \r\n BEGIN:VEVENT")
+    nameless = [event.format(f"SUMMARY:N {i}\r\nDTSTART:20260305T1{i}0000Z") for i in range(3)]
+    text = "BEGIN:VCALENDAR\r\nVERSION:2.0\r\nX-WR-TIME\r\n ZONE:Europe/Paris\r\n" + series + "".join(plain) + moved + "".join(nameless) + "LAST-MODIFIED:20260215T000000Z\r\nEND:VCALENDAR\r\n"
+    parsed = read_source("ics", payload(spark, text, "text/calendar"), TODAY, 60)
+    rows = events_of(parsed).collect()
+    want, newest, zone = ics.parse(text, TODAY, TODAY + dt.timedelta(days=60))
+    key = lambda r: (r["source_uid"] or "", r["title"], str(r["start_instant"] or r["start_local"]))
+    shown = lambda r: (r["source_uid"], r["title"], r["recurring"], r["tz"], r["description"])
+    full = [{"start_instant": None, "start_local": None} | {k: (v.replace(tzinfo=None) if k == "start_instant" else v) for k, v in w.items()} for w in want]
+    assert [shown(r) for r in sorted(rows, key=key)] == [shown({"description": None} | r) for r in sorted(full, key=key)] and len(rows) == 706
+    assert {r["tz"] for r in rows if r["source_uid"] == "e5"} == {"Europe/Paris"} and zone == "Europe/Paris"
+    assert all(r["recurring"] for r in rows if r["source_uid"] == "a,b") and reports_of(parsed).first()["newest_change"] == dt.datetime(2026, 2, 15)
+    cut = ics.chunks(spark.createDataFrame([(1, text)], "pid long, text string")).collect()
+    assert len(cut) == 4 and max(len(r.text) for r in cut) < len(text) / 2
