@@ -275,3 +275,22 @@ def test_calendars_are_read_in_chunks(spark):
     assert all(r["recurring"] for r in rows if r["source_uid"] == "a,b") and reports_of(parsed).first()["newest_change"] == dt.datetime(2026, 2, 15)
     cut = ics.chunks(spark.createDataFrame([(1, text)], "pid long, text string")).collect()
     assert len(cut) == 4 and max(len(r.text) for r in cut) < len(text) / 2
+
+
+def test_feeds_are_read_an_item_at_a_time(spark):
+    import tracemalloc
+
+    item = '<item><guid>g{0}</guid><title>T &amp; {0}</title><link>https://e.org/{0}</link><category>a</category><description><![CDATA[<b></item>x</b>]]></description></item>'
+    long = '<?xml version="1.0"?><rss version="2.0" xmlns:dc="urn:d"><channel><title>t</title>' + "\n".join(item.format(i) for i in range(5000)) + "</channel></rss>"
+    nested = "<rss><channel><item><title>a</title><item><title>b</title></item></item><item/></channel></rss>"
+    atom = '<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>1</id><link href="/x"/><link rel="self" href="/y"/><updated>2026-01-01T00:00:00Z</updated></entry></feed>'
+    for text in (long, nested, atom, "<rss><channel/></rss>", long[:-9], "<rss><item><title>a & b</title></item></rss>", "<rss>&nope;</rss>"):
+        found, want = feeds.streamed(memoryview(text.encode())), feeds.parse(text)
+        assert (found if found is None else list(found)) == want
+    tracemalloc.start()
+    assert sum(1 for _ in feeds.streamed(memoryview(long.encode()))) == 5000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * len(long), peak
+    got = feeds.liveness(payload(spark, long, "application/rss+xml")).first()
+    assert got["item_count"] == 5000 and got["digest"] == __import__("hashlib").sha1("\n".join(f"g{i}" for i in range(5000)).encode()).hexdigest()[:16]
